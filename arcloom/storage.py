@@ -20,11 +20,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 def run_dir(spark: SparkSession, name: str) -> str:
     """A new folder below the shared one; it is deleted when the application's file system closes."""
-    path = f"{shared_dir(spark)}/arcloom-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return path
+    base = f"{shared_dir(spark)}/arcloom-{spark.sparkContext.applicationId}"
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(target)
+    files.deleteOnExit(target)
+    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
