@@ -48,3 +48,14 @@ def release(spark: SparkSession) -> None:
     """Let Spark drop shuffle files and broadcasts that nothing refers to any more."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+
+
+#: Rows of narrow keys (about 40 bytes each once hashed) up to which a written table may be broadcast.
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def small_side(df: DataFrame, most: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``df``, a written table of narrow keys, marked for broadcast only if it is counted and small enough."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
