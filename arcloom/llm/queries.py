@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from arcloom.llm import exact_dedup
+import public_tokenizers
+
+from arcloom.llm import exact_dedup, sentencepiece_codec, token_files
 from arcloom.llm.text import documents
 
 QUERIES: dict = {}
@@ -23,3 +25,19 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY text_sha256) AS keep_id,
        doc_id = min(doc_id) OVER (PARTITION BY text_sha256) AS kept, text_sha256
 FROM t
 """
+
+
+def op8_token_files(spark, sf_dir):
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    return token_files.digest_documents(docs, public_tokenizers.path("word_bpe_49k.json"), 2)
+
+
+QUERIES["op8_token_files"] = op8_token_files
+
+
+def op10_sentencepiece(spark, sf_dir):
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    return sentencepiece_codec.digest_documents(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+QUERIES["op10_sentencepiece"] = op10_sentencepiece
