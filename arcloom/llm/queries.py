@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from arcloom.llm import exact_dedup, sentencepiece_codec, token_files
+from arcloom.llm import decontaminate, exact_dedup, sentencepiece_codec, token_files
 from arcloom.llm.text import documents
 
 QUERIES: dict = {}
@@ -41,3 +41,35 @@ def op10_sentencepiece(spark, sf_dir):
 
 
 QUERIES["op10_sentencepiece"] = op10_sentencepiece
+
+
+def op6_decontaminate(spark, sf_dir):
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
+    return decontaminate.judge(decontaminate.find_hits(documents(spark, sf_dir, "doc_id", "text"), items))
+
+
+QUERIES["op6_decontaminate"] = op6_decontaminate
+ORACLE_SQL["op6_decontaminate"] = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM documents),
+i AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM benchmark),
+iw AS (
+  SELECT DISTINCT item_id, least(10, len(ws)) AS m, array_to_string(ws[p:p + least(10, len(ws)) - 1], ' ') AS win
+  FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS p FROM i WHERE len(ws) > 0)),
+dw AS (
+  SELECT doc_id, p, m, array_to_string(ws[p:p + m - 1], ' ') AS win
+  FROM (SELECT doc_id, ws, m, unnest(range(1, len(ws) - m + 2)) AS p
+        FROM w, (SELECT DISTINCT m FROM iw) WHERE len(ws) >= m)),
+hit AS (SELECT doc_id, p, dw.m, item_id FROM dw JOIN iw ON dw.m = iw.m AND dw.win = iw.win),
+hw AS (SELECT doc_id, count(DISTINCT x) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + m)) AS x FROM hit) GROUP BY 1),
+hi AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
+              array_to_string(list_sort(list(DISTINCT CAST(item_id AS VARCHAR))), ',') AS s FROM hit GROUP BY 1)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM w LEFT JOIN hw USING (doc_id) LEFT JOIN hi USING (doc_id)
+"""
