@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from arcloom.llm import decontaminate, exact_dedup, sentencepiece_codec, token_files
+from arcloom.llm import decontaminate, exact_dedup, jaccard_join, sentencepiece_codec, token_files
 from arcloom.llm.text import documents
 
 QUERIES: dict = {}
@@ -73,3 +73,25 @@ SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit
        sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM w LEFT JOIN hw USING (doc_id) LEFT JOIN hi USING (doc_id)
 """
+
+
+def op3_jaccard_join(spark, sf_dir):
+    return jaccard_join.linked_components(documents(spark, sf_dir, "doc_id", "text"))
+
+
+QUERIES["op3_jaccard_join"] = op3_jaccard_join
+ORACLE_SQL["op3_jaccard_join"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[p:p + 3], ' ') AS sh
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) AS p FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS o FROM s x JOIN s y ON x.sh = y.sh AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM c JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * o >= 85 * (na.n + nb.n - o)),
+r AS (SELECT doc_id, doc_id AS m FROM documents UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.m = e.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(r.m) AS component_id
+FROM documents d LEFT JOIN n USING (doc_id) JOIN r USING (doc_id) GROUP BY 1, 2
+"""
