@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from arcloom.llm import decontaminate, exact_dedup, jaccard_join, sentencepiece_codec, token_files
+from arcloom.llm import decontaminate, exact_dedup, jaccard_join, language_id, sentencepiece_codec, token_files
 from arcloom.llm.text import documents
 
 QUERIES: dict = {}
@@ -95,3 +96,13 @@ r AS (SELECT doc_id, doc_id AS m FROM documents UNION SELECT r.doc_id, e.b FROM
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(r.m) AS component_id
 FROM documents d LEFT JOIN n USING (doc_id) JOIN r USING (doc_id) GROUP BY 1, 2
 """
+
+
+def op1_language_id(spark, sf_dir):
+    docs = documents(spark, sf_dir, "doc_id", "text", "lang")
+    model = language_id.train(docs.where(language_id.fold(F.col("doc_id"), 4) != 2))
+    held_out = (language_id.fold(F.col("doc_id"), 4) == 2).alias("held_out")
+    return language_id.label(docs, model).select("doc_id", held_out, "lang_pred", "score")
+
+
+QUERIES["op1_language_id"] = op1_language_id

@@ -335,3 +335,27 @@ def digest_documents(
     return docs.select(id_col, text_col).mapInArrow(
         run, "doc_id long, n_ids long, ids_crc32 long, n_byte_ids long, round_trip boolean, parity boolean"
     )
+
+
+def tokenize_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, ids, n_ids, round_trip``: the ids themselves, and whether decoding them gives the text back.
+
+    Null and empty texts have no ids and come back as empty.
+    """
+
+    def run(batches):
+        own = codec(model_path)
+        for b in small_batches(batches, text_col, 2 << 20):
+            texts = [t or "" for t in b.column(text_col).to_pylist()]
+            ids, _ = own.encode(texts)
+            lens = np.array([len(x) for x in ids], np.int64)
+            lists = pa.ListArray.from_arrays(
+                pa.array(np.concatenate([[0], np.cumsum(lens)]).astype(np.int32)),
+                pa.array(np.concatenate([*ids, np.empty(0, own.dtype)]).astype(np.int32)),
+            )
+            same = pa.array([t == own.decode(x) for t, x in zip(texts, ids, strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays(
+                [b.column(id_col).cast(pa.int64()), lists, pa.array(lens), same], names=["doc_id", "ids", "n_ids", "round_trip"]
+            )
+
+    return docs.select(id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>, n_ids long, round_trip boolean")
