@@ -13,8 +13,8 @@ from arcloom.llm.text import NOT_SPACE, mix, small_batches, words
 from arcloom.operators.graph import connected_components
 from arcloom.storage import small_side, written
 
-#: Share of the token space that the first pass counts, as a fraction of 64.
-PROBE_64THS = 18
+#: The first pass counts a share of the token space: so many times the share of tokens that a linked set may lack.
+PROBE = 1.9
 #: Token orders; a pair must meet in a prefix under every one of them before it is verified.
 ORDERS = 3
 #: A token of at least so many sets comes after all rarer ones in every order, if it is among the HOT_MOST hottest.
@@ -228,7 +228,7 @@ def _candidates(rows: DataFrame, percent: int) -> DataFrame:
 
 def linked_components(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, percent: int = 85,
-    probe_64ths: int = PROBE_64THS, orders: int = ORDERS, hot_sets: int = HOT_SETS, hot_most: int = HOT_MOST,
+    probe: float = PROBE, orders: int = ORDERS, hot_sets: int = HOT_SETS, hot_most: int = HOT_MOST,
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``.
 
@@ -255,13 +255,13 @@ def linked_components(
         named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).withColumn(
             "__node", F.xxhash64("id", "t", F.lit("n"))
         )
-        found = linked_components(named.dropDuplicates(["__node"]), "__node", "t", k, percent, probe_64ths, orders, hot_sets, hot_most)
+        found = linked_components(named.dropDuplicates(["__node"]), "__node", "t", k, percent, probe, orders, hot_sets, hot_most)
         found = written(named.select("id", "__node").join(found.withColumnRenamed("doc_id", "__node"), "__node"), "named")
         least = found.groupBy("component_id").agg(F.min("id").alias("least"))
         return found.join(least, "component_id").select(F.col("id").alias("doc_id"), "n_shingles", F.col("least").alias("component_id"))
     classes = rows.where("n > 0").groupBy("key", "key2", "n").agg(F.min("doc_id").alias("id"))
     alone = (
-        _probe_tokens(docs, text_col, k, probe_64ths).groupBy("token")
+        _probe_tokens(docs, text_col, k, min(64, math.ceil(probe * 64 * (100 - percent) / 100))).groupBy("token")
         .agg(F.min("key").alias("key"), F.max("key").alias("other")).where("key = other")
         .groupBy("key").agg(F.count("*").alias("alone"))
     )
