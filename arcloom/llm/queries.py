@@ -5,7 +5,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from arcloom.llm import decontaminate, exact_dedup, jaccard_join, language_id, sentencepiece_codec, token_files
+from arcloom.llm import (
+    decontaminate,
+    exact_dedup,
+    html_extract,
+    jaccard_join,
+    language_id,
+    sentencepiece_codec,
+    token_files,
+    url_filter,
+)
 from arcloom.llm.text import documents
 
 QUERIES: dict = {}
@@ -106,3 +115,71 @@ def op1_language_id(spark, sf_dir):
 
 
 QUERIES["op1_language_id"] = op1_language_id
+
+
+def op9_url_filter(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    return url_filter.judge(pages).select("page_id", "host", "path", "rule", "verdict")
+
+
+def _spread_sql(name: str, shares: str, seeds: str) -> str:
+    """The rounds of `url_filter.spread` as common table expressions."""
+    d, digits = url_filter.DAMPING, url_filter.DIGITS
+    out = [f"{name}0 AS MATERIALIZED (SELECT host, round(weight, {digits}) AS score FROM {seeds})"]
+    for i in range(url_filter.ROUNDS):
+        out.append(f"""{name}{i + 1} AS MATERIALIZED (
+  SELECT host, round(sum(score), {digits}) AS score FROM (
+    SELECT dst AS host, {d} * score * share AS score FROM {name}{i} JOIN {shares} ON host = src
+    UNION ALL
+    SELECT host, score * ((1 - {d}) + {d} * (
+      SELECT coalesce(sum(score), 0.0) FROM {name}{i} WHERE host NOT IN (SELECT src FROM {shares}))) FROM {name}0)
+  GROUP BY host)""")
+    return ",\n".join(out)
+
+
+def _rules_sql() -> tuple[str, str]:
+    rule = verdict = "CAST(NULL AS VARCHAR)"
+    for what, host, path in sorted(url_filter.RULES, key=lambda r: len(r[1] + r[2])):
+        fits = f"(host = '{host}' OR host LIKE '%.{host}') AND starts_with(path, '{path}')"
+        rule = f"CASE WHEN {fits} THEN '{host}{path}' ELSE {rule} END"
+        verdict = f"CASE WHEN {fits} THEN '{what}' ELSE {verdict} END"
+    return rule, verdict
+
+
+QUERIES["op9_url_filter"] = op9_url_filter
+_HOST = ("translate(regexp_extract(substr({0}, strpos({0}, '://') + 3), '^[^/?#]*'), "
+         "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
+ORACLE_SQL["op9_url_filter"] = rf"""
+WITH u AS (
+  SELECT page_id, coalesce(html, '') AS html,
+         CASE WHEN coalesce(strpos(url, '://'), 0) = 0 THEN '' ELSE {_HOST.format("url")} END AS host,
+         CASE WHEN coalesce(strpos(url, '://'), 0) = 0 THEN ''
+              ELSE regexp_extract(substr(url, strpos(url, '://') + 3), '^[^/?#]*([^?#]*)', 1) END AS path
+  FROM pages),
+r AS (SELECT page_id, html, host, path, {_rules_sql()[0]} AS rule, {_rules_sql()[1]} AS by_rule FROM u),
+h AS (SELECT host, count(*) FILTER (WHERE coalesce(by_rule, 'allow') = 'allow') AS good,
+             count(*) FILTER (WHERE by_rule = 'block') AS bad FROM r WHERE host <> '' GROUP BY host),
+l AS (SELECT host AS src, unnest(regexp_extract_all(html,
+        '(?i)<a\b[^>]*?\bhref\s*=\s*["'']?\s*((?:https?:)?//[^"''\s>]+)', 1)) AS link FROM r WHERE host <> ''),
+e AS (SELECT src, dst, count(*) AS links FROM (
+        SELECT src, {_HOST.format("CASE WHEN starts_with(link, '//') THEN 'http:' || link ELSE link END")} AS dst FROM l)
+      WHERE dst <> '' AND dst <> src GROUP BY 1, 2),
+sf AS (SELECT src, dst, links / sum(links) OVER (PARTITION BY src) AS share FROM e),
+sb AS (SELECT dst AS src, src AS dst, links / sum(links) OVER (PARTITION BY dst) AS share FROM e),
+good AS (SELECT host, good / (SELECT sum(good) FROM h) AS weight FROM h WHERE good > 0),
+bad AS (SELECT host, bad / (SELECT sum(bad) FROM h) AS weight FROM h WHERE bad > 0),
+{_spread_sql("t", "sf", "good")},
+{_spread_sql("d", "sb", "bad")},
+te AS (SELECT * FROM t{url_filter.ROUNDS} WHERE EXISTS (SELECT 1 FROM e) UNION ALL SELECT * FROM t0 WHERE NOT EXISTS (SELECT 1 FROM e)),
+de AS (SELECT * FROM d{url_filter.ROUNDS} WHERE EXISTS (SELECT 1 FROM e) UNION ALL SELECT * FROM d0 WHERE NOT EXISTS (SELECT 1 FROM e))
+SELECT page_id, r.host, path, rule, coalesce(by_rule, CASE WHEN coalesce(de.score, 0) > {url_filter.THRESHOLD} * coalesce(te.score, 0)
+       THEN 'block' ELSE 'allow' END) AS verdict
+FROM r LEFT JOIN te ON te.host = r.host LEFT JOIN de ON de.host = r.host
+"""
+
+
+def op2_html_extract(spark, sf_dir):
+    return html_extract.extract_pages(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"))
+
+
+QUERIES["op2_html_extract"] = op2_html_extract
