@@ -13,6 +13,7 @@ from arcloom.llm import (
     language_id,
     sentencepiece_codec,
     token_files,
+    toxicity,
     url_filter,
 )
 from arcloom.llm.text import documents
@@ -183,3 +184,14 @@ def op2_html_extract(spark, sf_dir):
 
 
 QUERIES["op2_html_extract"] = op2_html_extract
+
+
+def op7_toxicity(spark, sf_dir):
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    models = toxicity.train(docs, labels.where(language_id.fold(F.col("doc_id"), 5) != 0))
+    held_out = (language_id.fold(F.col("doc_id"), 5) == 0).alias("held_out")
+    return toxicity.score(docs, models).select("doc_id", held_out, "score", "predicted")
+
+
+QUERIES["op7_toxicity"] = op7_toxicity
