@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arcloom.llm.decontaminate import pair_hash
-from arcloom.llm.text import ALNUM, small_batches, words
+from arcloom.llm.text import ALNUM, hash_words, passes, small_batches, word_bounds
 from arcloom.storage import small_side, written
 
 #: Labelled documents of each class that the models learn from, about: a share chosen by a hash of the id.
@@ -16,26 +16,54 @@ MAX_TRAIN_DOCS = 6_000
 #: Of them, one in so many is held back to turn likelihood ratios into probabilities.
 CALIBRATE = 4
 DISCOUNT = 0.75
-#: Words are hashed into this many slots.
-SLOT_BITS = 20
+#: Words are hashed into so many slots, as powers of two; so are roots and stems, the first bytes of words.
+SLOT_BITS, PART_BITS = 20, 18
+PARTS = (6, 4)
+#: A word whose log-likelihood ratio exceeds this, whatever stands before it, is a strong sign.
+STRONG = 3.0
 _START = np.uint64(0x5851F42D4C957F2D)
 
 
+def _slots(col: pa.Array):
+    """``(first row, row starts, word hashes, word, stem and root slots, slots before)`` for passes over a column."""
+    for i, _, data, rows in passes(col):
+        starts, ends = word_bounds(data, ALNUM)
+        w, at = hash_words(data, starts, ends), np.searchsorted(starts, rows)
+        short = lambda n: hash_words(data, starts, np.minimum(starts + n, ends)) >> np.uint64(64 - PART_BITS)
+        before = np.concatenate([[_START], w[:-1]]).astype(np.uint64) if len(w) else w
+        before[at[:-1][np.diff(at) > 0]] = _START
+        yield i, at, w, before, (w >> np.uint64(64 - SLOT_BITS)).astype(np.int64), *(short(n).astype(np.int64) for n in PARTS)
+
+
 class Models:
-    """Both models: P(w | v, class) = found(v, w) + share(v) * P(w | class), class unigrams backing off to shared ones."""
+    """Both models. A level's probability given the level above is ``add + share(above) * shared``.
+
+    Levels: root and stem (a word's first bytes), word, and word after word. Counts below the last level are of
+    distinct contexts. ``shared`` counts both classes, so an expression that neither class has seen is judged by
+    its stem, and one whose stem is new by nothing.
+    """
 
     def __init__(self, uni: pa.Table, context: pa.Table, pairs: pa.Table) -> None:
-        n = 1 << SLOT_BITS
+        n, m = 1 << SLOT_BITS, 1 << PART_BITS
         col = lambda t, c: t.column(c).to_numpy().astype(np.float64)
-        k = np.zeros((3, n))
-        slot = uni.column("w").to_numpy()
-        for i, c in enumerate(("k0", "k1", "ks")):
-            k[i, slot] = col(uni, c)
-        shared = (k[2] + 0.5) / (k[2].sum() + 0.5 * n)
-        self.uni = np.stack([
-            (np.maximum(k[c] - DISCOUNT, 0) + (DISCOUNT * (k[c] > 0).sum() + 1) * shared) / (k[c].sum() + 1) for c in (0, 1)
-        ]).astype(np.float32)
-        self.share = np.ones((2, n), np.float32)
+        word, stem, root = (uni.column(c).to_numpy() for c in ("w", "stem", "root"))
+        up = np.zeros(m, np.int64)
+        up[stem] = root
+        k = [np.array([np.bincount(s, col(uni, c), size) for c in ("k0", "k1", "ks")]) for s, size in ((word, n), (stem, m), (root, m))]
+        parent = np.zeros(n, np.int64)
+        parent[word] = stem
+        none = np.zeros(m, np.int64)
+        top = np.tile(k[2].sum(1, keepdims=True), m)
+        self.add, self.shared, self.share = [], [], []
+        for own, above, link in ((k[2], top, none), (k[1], k[2], up), (k[0], k[1], parent)):
+            total = above[:, link]
+            kinds = np.array([np.bincount(link, own[c] > 0, m) for c in (0, 1)])
+            kinds[:, 1:] = kinds[:, 1:] if link is not none else kinds[:, :1]
+            self.add.append((np.maximum(own[:2] - DISCOUNT, 0) / np.maximum(total[:2], 1)).astype(np.float32))
+            self.shared.append(((own[2] + 0.5) / (total[2] + 1)).astype(np.float32))
+            some = above[:2] > 0
+            self.share.append(np.where(some, (DISCOUNT * kinds + 1e-3) / np.maximum(above[:2], 1), 1).astype(np.float32))
+        self.after = np.ones((2, n), np.float32)
         total = np.zeros((2, n))
         slot = context.column("v").to_numpy()
         for c in (0, 1):
@@ -43,7 +71,7 @@ class Models:
             kinds = np.zeros(n)
             kinds[slot] = col(context, f"n{c}")
             some = total[c] > 0
-            self.share[c, some] = DISCOUNT * kinds[some] / total[c, some]
+            self.after[c, some] = DISCOUNT * kinds[some] / total[c, some]
         key = pairs.column("pair").to_numpy().view(np.uint64)
         order = np.argsort(key)
         self.pairs = key[order]
@@ -55,24 +83,26 @@ class Models:
         self.coarse[self.pairs >> np.uint64(42)] = True
         self.weights = np.zeros(3)
 
-    def features(self, w: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    def features(self, rows, w, before, word, stem, root) -> np.ndarray:
         """Per row: the log-likelihood ratio by token, and the mean of its strong positive parts."""
         out = np.zeros((len(rows) - 1, 2))
         if not len(w):
             return out
-        before = np.concatenate([[_START], w[:-1]]).astype(np.uint64)
-        before[rows[:-1][np.diff(rows) > 0]] = _START
-        v, u = (before >> np.uint64(64 - SLOT_BITS)).astype(np.int64), (w >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-        p = self.share[:, v] * self.uni[:, u]
+        p = self.add[0][:, root] + self.share[0][:, root] * self.shared[0][root]
+        p *= self.add[1][:, stem] + self.share[1][:, root] * self.shared[1][stem]
+        p *= self.add[2][:, word] + self.share[2][:, stem] * self.shared[2][word]
+        alone = np.log(np.maximum(p, 1e-30))
+        p *= self.after[:, (before >> np.uint64(64 - SLOT_BITS)).astype(np.int64)]
         if len(self.pairs):
             h = pair_hash(before, w)
             near = np.flatnonzero(self.coarse[h >> np.uint64(42)])
             at = np.minimum(np.searchsorted(self.pairs, h[near]), len(self.pairs) - 1)
             same = self.pairs[at] == h[near]
             p[:, near[same]] += self.found[:, at[same]]
-        ratio = np.log(p[1]) - np.log(p[0])
+        p = np.log(np.maximum(p, 1e-30))
+        ratio = p[1] - p[0]
         sums = np.concatenate([[0.0], np.cumsum(ratio, dtype=np.float64)])
-        strong = np.concatenate([[0.0], np.cumsum(np.maximum(ratio - 2, 0), dtype=np.float64)])
+        strong = np.concatenate([[0.0], np.cumsum(np.maximum(alone[1] - alone[0] - STRONG, 0), dtype=np.float64)])
         n = np.maximum(np.diff(rows), 1)
         out[:, 0], out[:, 1] = np.diff(sums[rows]) / n, np.diff(strong[rows]) / n
         return out
@@ -94,28 +124,26 @@ class Models:
 
 
 def _pairs(docs: DataFrame) -> DataFrame:
-    """``pair, v, w, c0, c1``: counts of neighbouring words by class, in ``t`` of each row with label ``toxic``."""
+    """``pair, v, w, stem, root, c0, c1``: counts of neighbouring words by class, in ``t`` of each row with label ``toxic``."""
 
     def run(batches):
         for b in small_batches(batches, "t", 4 << 20):
             labels = b.column("toxic").to_numpy(zero_copy_only=False)
-            for i, _, w, rows in words(b.column("t"), ALNUM):
+            for i, rows, w, before, word, stem, root in _slots(b.column("t")):
                 if not len(w):
                     continue
-                before = np.concatenate([[_START], w[:-1]]).astype(np.uint64)
-                before[rows[:-1][np.diff(rows) > 0]] = _START
                 label = np.repeat(labels[i : i + len(rows) - 1], np.diff(rows))
                 key, first, inverse = np.unique(pair_hash(before, w), return_index=True, return_inverse=True)
-                slot = lambda x: pa.array((x[first] >> np.uint64(64 - SLOT_BITS)).astype(np.int32))
+                v = (before >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), slot(before), slot(w)]
+                    [pa.array(key.view(np.int64)), *(pa.array(x[first].astype(np.int32)) for x in (v, word, stem, root))]
                     + [pa.array(np.bincount(inverse, label == c, len(key)).astype(np.int64)) for c in (0, 1)],
-                    names=["pair", "v", "w", "c0", "c1"],
+                    names=["pair", "v", "w", "stem", "root", "c0", "c1"],
                 )
 
     return (
-        docs.mapInArrow(run, "pair long, v int, w int, c0 long, c1 long")
-        .groupBy("pair").agg(F.min("v").alias("v"), F.min("w").alias("w"), F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
+        docs.mapInArrow(run, "pair long, v int, w int, stem int, root int, c0 long, c1 long")
+        .groupBy("pair").agg(*(F.min(c).alias(c) for c in ("v", "w", "stem", "root")), *(F.sum(c).alias(c) for c in ("c0", "c1")))
     )
 
 
@@ -124,8 +152,8 @@ def _features(docs: DataFrame, shared, id_type: str) -> DataFrame:
         own = shared.value
         for b in small_batches(batches, "t", 4 << 20):
             x = np.zeros((b.num_rows, 2))
-            for i, j, w, rows in words(b.column("t"), ALNUM):
-                x[i:j] = own.features(w, rows)
+            for i, *slots in _slots(b.column("t")):
+                x[i : i + len(slots[0]) - 1] = own.features(*slots)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(x[:, 0]), pa.array(x[:, 1])], names=["doc_id", "x0", "x1"])
 
     return docs.select("doc_id", "t").mapInArrow(run, f"doc_id {id_type}, x0 double, x1 double")
@@ -150,6 +178,7 @@ def train(
     apart = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(CALIBRATE)) == 0
     pairs = written(_pairs(text.where(~apart).select("t", "toxic")), "pairs")
     uni = pairs.groupBy("w").agg(
+        F.min("stem").alias("stem"), F.min("root").alias("root"),
         F.count_if(F.col("c0") > 0).alias("k0"), F.count_if(F.col("c1") > 0).alias("k1"), F.count("*").alias("ks")
     )
     context = pairs.groupBy("v").agg(
@@ -183,8 +212,8 @@ def score(docs: DataFrame, models: Models, id_col: str = "doc_id", text_col: str
         own = shared.value
         for b in small_batches(batches, text_col, 4 << 20):
             x = np.zeros((b.num_rows, 2))
-            for i, j, w, rows in words(b.column(text_col), ALNUM):
-                x[i:j] = own.features(w, rows)
+            for i, *slots in _slots(b.column(text_col)):
+                x[i : i + len(slots[0]) - 1] = own.features(*slots)
             p = own.scores(x)
             yield pa.RecordBatch.from_arrays(
                 [b.column(id_col).cast(pa.int64()), pa.array(p), pa.array((p >= 0.5).astype(np.int32)), pa.array(x[:, 0])],
