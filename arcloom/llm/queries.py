@@ -11,6 +11,7 @@ from arcloom.llm import (
     html_extract,
     jaccard_join,
     language_id,
+    maxent_lm,
     sentencepiece_codec,
     token_files,
     toxicity,
@@ -195,3 +196,15 @@ def op7_toxicity(spark, sf_dir):
 
 
 QUERIES["op7_toxicity"] = op7_toxicity
+
+
+def op5_maxent_lm(spark, sf_dir):
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    train = docs.where(language_id.fold(F.col("doc_id"), 10) != 0)
+    held_out = (language_id.fold(F.col("doc_id"), 10) == 0).alias("held_out")
+    return maxent_lm.score_documents(train, docs).select(
+        "doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
+QUERIES["op5_maxent_lm"] = op5_maxent_lm
