@@ -1,10 +1,726 @@
-"""The registered queries and their SQL."""
+"""The registered queries: each operator over a fixture view, with the SQL that gives the same rows."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from arcloom.config import DEFAULTS
+from arcloom.fixtures import ctes, view
+from arcloom.functions import blocks, labels
+from arcloom.operators import annotate, closure, crossrun, hits, intervals, legacy, liftover, matrix, quant, scoring, sequences, votes
+from arcloom.plans import consensus
+
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
 
+_OUT = {"start": "start_", "end": "end_"}
+_GROUP = ["sample", "chrom", "strand", "group_start", "group_end"]
+
+
+def _query(sql: str | None = None, name: str | None = None):
+    def add(f):
+        key = name or f.__name__
+        QUERIES[key] = lambda spark, sf_dir: f(lambda v: view(spark, sf_dir, v)).withColumnsRenamed(_OUT)
+        if sql:
+            ORACLE_SQL[key] = sql
+        return f
+
+    return add
+
+
+def _g(alias: str = "") -> str:
+    a = alias + "." if alias else ""
+    return f"{a}sample, {a}chrom, {a}strand, {a}rs, {a}re"
+
+
+# calls with their group (rs, re: its smallest interval) and the best record per caller
+_CALLS = f"""WITH RECURSIVE {ctes("calls")},
+pts AS (SELECT DISTINCT sample, chrom, strand, start_, end_ FROM calls),
+reach AS (SELECT *, start_ AS rs, end_ AS re FROM pts
+  UNION SELECT r.sample, r.chrom, r.strand, r.start_, r.end_, p.start_, p.end_ FROM reach r JOIN pts p
+    ON r.sample = p.sample AND r.chrom = p.chrom AND r.strand = p.strand AND abs(p.start_ - r.rs) <= 5 AND abs(p.end_ - r.re) <= 5),
+root AS (SELECT sample, chrom, strand, start_, end_, min(struct_pack(s := rs, e := re)) AS k FROM reach GROUP BY ALL),
+j AS (SELECT c.*, k.s AS rs, k.e AS re, CASE tool WHEN 'isocirc' THEN 1 WHEN 'circfl' THEN 2 WHEN 'cirilong' THEN 3 ELSE 4 END AS rank
+      FROM calls c JOIN root r USING (sample, chrom, strand, start_, end_)),
+best AS (SELECT * EXCLUDE (rn, score), CAST(score AS BIGINT) AS score FROM (SELECT *, row_number() OVER (PARTITION BY {_g()}, tool
+      ORDER BY CAST(score AS BIGINT) DESC, start_, end_, block_count, block_sizes, block_starts) AS rn FROM j) WHERE rn = 1)"""
+
+_ORDER = ["start", "end", "block_count", "block_sizes", "block_starts"]
+_ENTRY_COLS = ("sample, chrom, strand, start_, end_, bsj_source, struct_source, bsj_confidence, struct_agree_count, isoform_tools, "
+               "max_score, block_count, block_sizes, block_starts, isoform_label")
+
+
+@_query(_CALLS + f"""
+SELECT sample, chrom, strand, rs AS start_, re AS end_, count(*) AS n_calls, count(DISTINCT tool) AS n_tools,
+       count(DISTINCT struct_pack(a := start_, b := end_)) AS n_junctions FROM j GROUP BY {_g()}""")
+def closure_relaxed(v):
+    """Relaxed groups by two-dimensional closure."""
+    calls = v("calls")
+    roots = closure.closure(calls, ["sample", "chrom", "strand"], DEFAULTS.bsj_tolerance)
+    return calls.join(roots, ["sample", "chrom", "strand", "start", "end"]).groupBy(
+        "sample", "chrom", "strand", F.col("root_start").alias("start_"), F.col("root_end").alias("end_")
+    ).agg(F.count("*").alias("n_calls"), F.count_distinct("tool").alias("n_tools"), F.count_distinct("start", "end").alias("n_junctions"))
+
+
+@_query(_CALLS + f"""
+SELECT {_g()}, tool, start_, end_, score, block_count, block_sizes, block_starts FROM best""")
+def best_record(v):
+    """One record per group and caller."""
+    return consensus.best(v("calls"), order=_ORDER).withColumnsRenamed({"root_start": "rs", "root_end": "re"})
+
+
+# junction vote: strict majority, else the first caller
+_VOTED = f"""{_CALLS},
+b AS (SELECT *, count(*) OVER (PARTITION BY {_g()}) AS n, count(*) OVER (PARTITION BY {_g()}, start_, end_) AS c FROM best),
+w AS (SELECT *, first_value(start_) OVER x AS ws, first_value(end_) OVER x AS we FROM b
+      WINDOW x AS (PARTITION BY {_g()} ORDER BY (c * 2 > n) DESC, rank ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))"""
+
+
+def _at_winner(order: str) -> str:
+    """Entries of a mode whose structures are compared as text among callers at the winning junction."""
+    return f"""{_VOTED},
+a AS (SELECT *, count(*) OVER (PARTITION BY {_g()}) AS na, count(*) OVER (PARTITION BY {_g()}, block_count, block_sizes, block_starts) AS cs
+      FROM w WHERE start_ = ws AND end_ = we),
+a2 AS (SELECT *, first_value(rank) OVER (PARTITION BY {_g()} ORDER BY {order}, rank) AS top_rank FROM a),
+a3 AS (SELECT {_g()}, block_count, block_sizes, block_starts, min(start_) AS start_, min(end_) AS end_, min(na) AS bsj_confidence,
+         count(*) AS struct_agree_count, string_agg(tool, ',' ORDER BY tool) AS isoform_tools, max(score) AS max_score,
+         arg_min(tool, rank) AS struct_source, min(rank) AS first_rank, bool_or(rank = top_rank) AS is_main FROM a2
+       GROUP BY {_g()}, block_count, block_sizes, block_starts),
+src AS (SELECT {_g()}, arg_min(tool, rank) AS bsj_source FROM a GROUP BY {_g()}),
+m AS (SELECT {_g()}, start_, end_, count(*) AS bsj_confidence, arg_min(tool, rank) AS src, string_agg(tool, ',' ORDER BY tool) AS isoform_tools,
+        max(score) AS max_score, arg_min(block_count, rank) AS block_count, arg_min(block_sizes, rank) AS block_sizes,
+        arg_min(block_starts, rank) AS block_starts FROM w WHERE NOT (start_ = ws AND end_ = we) GROUP BY {_g()}, start_, end_),
+e AS (SELECT {_g()}, start_, end_, bsj_source, struct_source, bsj_confidence, struct_agree_count, isoform_tools, max_score, block_count, block_sizes,
+        block_starts, CASE WHEN is_main THEN 0 ELSE 1 END AS part, first_rank AS o1, 0 AS o2 FROM a3 JOIN src USING ({_g()})
+      UNION ALL SELECT {_g()}, start_, end_, src, src, bsj_confidence, 1, isoform_tools, max_score, block_count, block_sizes, block_starts, 2, start_, end_ FROM m),
+l AS (SELECT *, row_number() OVER (PARTITION BY {_g()} ORDER BY part, o1, o2) - 1 AS pos FROM e),
+z AS (SELECT * REPLACE (CAST(bsj_confidence AS INT) AS bsj_confidence, CAST(struct_agree_count AS INT) AS struct_agree_count),
+        CASE WHEN pos = 0 THEN 'main' ELSE 'iso' || pos END AS isoform_label FROM l)"""
+
+
+_CONSENSUS, _HYBRID = _at_winner("(cs * 2 > na) DESC"), _at_winner("cs DESC")
+
+
+def _entries(v, mode, tolerance):
+    return consensus.entries(v("calls"), mode, tolerance, order=_ORDER).drop("root_start", "root_end")
+
+
+@_query(_VOTED + f"""
+SELECT {_g()}, min(ws) AS start_, min(we) AS end_, count(*) FILTER (WHERE start_ = ws AND end_ = we) AS agree, min(n) AS n_tools,
+       arg_min(tool, CASE WHEN start_ = ws AND end_ = we THEN rank ELSE 99 END) AS bsj_source FROM w GROUP BY {_g()}""")
+def vote_bsj(v):
+    """V1, V3: strict majority, else the priority caller's junction."""
+    main = _entries_raw(v, "hybrid", 0).where("isoform_label = 'main'")
+    n = consensus.best(v("calls"), order=_ORDER).groupBy("sample", "chrom", "strand", "root_start", "root_end").agg(F.count("*").alias("n_tools"))
+    return main.join(n, ["sample", "chrom", "strand", "root_start", "root_end"]).select(
+        "sample", "chrom", "strand", F.col("root_start").alias("rs"), F.col("root_end").alias("re"), "start", "end",
+        F.col("bsj_confidence").cast("long").alias("agree"), "n_tools", "bsj_source",
+    )
+
+
+def _entries_raw(v, mode, tolerance):
+    return consensus.entries(v("calls"), mode, tolerance, order=_ORDER)
+
+
+@_query(f"{_CONSENSUS} SELECT {_ENTRY_COLS} FROM z")
+def mode_consensus(v):
+    """V4, W4."""
+    return _entries(v, "consensus", 5)
+
+
+@_query(f"{_HYBRID} SELECT {_ENTRY_COLS} FROM z")
+def mode_hybrid_tol0(v):
+    """V6, V2, G9 where similar means equal."""
+    return _entries(v, "hybrid", 0)
+
+
+@_query()
+def mode_hybrid(v):
+    """V6 at the production tolerance."""
+    return _entries(v, "hybrid", 5)
+
+
+@_query()
+def mode_xstruct(v):
+    """V5 at the production tolerance."""
+    return _entries(v, "xstruct", 5)
+
+
+_MOVED = "array_to_string([CAST(CAST(x AS BIGINT) + r_start - ws AS VARCHAR) FOR x IN string_split(block_starts, ',')], ',')"
+
+
+@_query(f"""{_VOTED},
+x AS (SELECT *, count(*) OVER (PARTITION BY {_g()}, start_, block_count, block_sizes, block_starts) AS cs, start_ = ws AND end_ = we AS own FROM w),
+x2 AS (SELECT *, first_value(rank) OVER (PARTITION BY {_g()} ORDER BY cs DESC, rank) AS top_rank,
+         count(*) FILTER (WHERE own) OVER (PARTITION BY {_g()}) AS bsj_confidence,
+         arg_min(tool, CASE WHEN own THEN rank ELSE 99 END) OVER (PARTITION BY {_g()}) AS bsj_source FROM x),
+x3 AS (SELECT {_g()}, start_ AS r_start, block_count, block_sizes, block_starts, min(ws) AS ws, min(we) AS we, min(bsj_confidence) AS bsj_confidence,
+         min(bsj_source) AS bsj_source, count(*) AS struct_agree_count, string_agg(tool, ',' ORDER BY tool) AS isoform_tools, max(score) AS max_score,
+         arg_min(tool, CASE WHEN own THEN rank ELSE rank + 10 END) AS struct_source, bool_or(own) AS has_own, min(rank) AS first_rank,
+         bool_or(rank = top_rank) AS is_main FROM x2 GROUP BY {_g()}, start_, block_count, block_sizes, block_starts)
+SELECT sample, chrom, strand, ws AS start_, we AS end_, bsj_source, struct_source, CAST(bsj_confidence AS INT) AS bsj_confidence,
+  CAST(struct_agree_count AS INT) AS struct_agree_count, isoform_tools, max_score, block_count, block_sizes,
+  CASE WHEN has_own THEN block_starts ELSE {_MOVED} END AS block_starts,
+  CASE WHEN is_main THEN 'main' ELSE 'iso' || (row_number() OVER (PARTITION BY {_g()} ORDER BY is_main DESC, first_rank) - 1) END AS isoform_label
+FROM x3""")
+def mode_xstruct_tol0(v):
+    """V5, P5 where similar means equal."""
+    return _entries(v, "xstruct", 0)
+
+
+@_query(f"""{_CALLS},
+b AS (SELECT *, count(*) OVER (PARTITION BY {_g()}, start_, end_) AS nb, count(*) OVER (PARTITION BY {_g()}, block_count, block_sizes, block_starts) AS ns,
+        min(rank) OVER (PARTITION BY {_g()}) AS top FROM best),
+c AS (SELECT {_g()}, start_, end_, block_count, block_sizes, block_starts, arg_min(tool, rank) AS src, min(nb) AS nb, min(ns) AS ns,
+        string_agg(tool, ',' ORDER BY tool) AS isoform_tools, max(score) AS max_score, min(rank) = min(top) AS is_main FROM b
+      GROUP BY {_g()}, start_, end_, block_count, block_sizes, block_starts),
+p AS (SELECT *, row_number() OVER (PARTITION BY {_g()} ORDER BY is_main DESC, start_, end_, block_count, block_sizes, block_starts) - 1 AS pos FROM c)
+SELECT sample, chrom, strand, start_, end_, src AS bsj_source, src AS struct_source, CAST(nb AS INT) AS bsj_confidence, CAST(ns AS INT) AS struct_agree_count,
+  isoform_tools, max_score, block_count, block_sizes, block_starts, CASE WHEN pos = 0 THEN 'main' ELSE 'iso' || pos END AS isoform_label FROM p""")
+def mode_priority(v):
+    """V7."""
+    return _entries(v, "priority", 5)
+
+
+_BIN = "CASE WHEN {0} * 4 <= 4 THEN 1 WHEN {0} * 4 <= 8 THEN 2 WHEN {0} * 4 <= 12 THEN 3 ELSE 4 END"
+_LABEL = "CASE {0} WHEN 1 THEN 'Low' WHEN 4 THEN 'High' ELSE 'Medium' END"
+_SCORE = f""", s AS (SELECT *, len(string_split(isoform_tools, ',')) AS ic, {_BIN.format('bsj_confidence')} AS bsj_score FROM z),
+s2 AS (SELECT *, {_BIN.format('ic')} AS isoform_score FROM s),
+sc AS (SELECT *, {_LABEL.format('bsj_score')} AS bsj_consensus, {_LABEL.format('isoform_score')} AS isoform_consensus FROM s2)"""
+_SCORED_COLS = "sample, chrom, strand, start_, end_, isoform_label, isoform_tools, bsj_source, bsj_score, isoform_score, bsj_consensus, isoform_consensus"
+
+
+def _scored(v, mode="hybrid", tolerance=0):
+    cols = [c.strip() for c in _SCORED_COLS.replace("start_", "start").replace("end_", "end").split(",")]
+    return scoring.add_scores(_entries(v, mode, tolerance), 4).select(*cols)
+
+
+@_query(f"{_HYBRID}{_SCORE} SELECT {_SCORED_COLS} FROM sc")
+def score_labels(v):
+    """V10, V14, P7, P9."""
+    return _scored(v)
+
+
+_LOW_OK = {
+    "no_low": ("false", "false"), "high_only": ("false", "false"),
+    "trusted_only": ("bsj_source IN ('cirilong', 'isocirc')", "list_has_any(string_split(isoform_tools, ','), ['cirilong', 'isocirc'])"),
+    "isocirc_only": ("bsj_source = 'isocirc'", "list_contains(string_split(isoform_tools, ','), 'isocirc')"),
+    "high_only_isocirc": ("bsj_source = 'isocirc'", "list_contains(string_split(isoform_tools, ','), 'isocirc')"),
+}
+
+
+def _tier_sql(mode: str) -> str:
+    b, i = _LOW_OK[mode]
+    if mode.startswith("high"):
+        return f"(bsj_consensus = 'High' OR (bsj_consensus = 'Low' AND {b})) AND (isoform_consensus = 'High' OR (isoform_consensus = 'Low' AND {i}))"
+    return f"(bsj_consensus <> 'Low' OR {b}) AND (isoform_consensus <> 'Low' OR {i})"
+
+
+for _mode in _LOW_OK:
+    _query(f"{_HYBRID}{_SCORE} SELECT {_SCORED_COLS} FROM sc WHERE {_tier_sql(_mode)}", f"tier_{_mode}")(
+        lambda v, mode=_mode: _scored(v).where(scoring.passes(mode))  # P10
+    )
+
+
+@_query(f"""{_HYBRID}{_SCORE}
+SELECT tier, sample, isoform_label, count(*) AS n FROM (
+  SELECT 'discovery' AS tier, sample, isoform_label FROM sc
+  UNION ALL SELECT 'balanced_precision', sample, isoform_label FROM sc WHERE {_tier_sql('isocirc_only')}
+  UNION ALL SELECT 'high_confidence', sample, isoform_label FROM sc WHERE {_tier_sql('high_only_isocirc')}) GROUP BY ALL""")
+def tiers(v):
+    """The tiers that the hybrid mode feeds, as one table."""
+    return consensus.tiers(v("calls"), 0, _ORDER, only="hybrid").groupBy("tier", "sample", "isoform_label").agg(F.count("*").alias("n"))
+
+
+@_query(f"""{_CONSENSUS}{_SCORE} SELECT {_SCORED_COLS} FROM sc WHERE {_tier_sql('trusted_only')}""")
+def tier_balanced_recall(v):
+    """The consensus mode's tier."""
+    return _scored(v, "consensus", 5).where(scoring.passes("trusted_only"))
+
+
+@_query(f"""WITH {ctes("calls")}
+SELECT sample, chrom, strand, start_, end_, string_agg(DISTINCT tool, ',' ORDER BY tool) AS tools, count(DISTINCT tool) AS n_tools,
+  max(CAST(score AS BIGINT)) AS max_score FROM calls GROUP BY ALL""")
+def strict_group(v):
+    """G2, V11."""
+    return legacy.strict_groups(v("calls"), ["sample", "chrom", "strand"])
+
+
+@_query(f"""WITH {ctes("calls")}
+SELECT sample, chrom, strand, start_, end_, string_agg(DISTINCT tool, ',' ORDER BY tool) AS tools, count(DISTINCT tool) AS n_tools,
+  max(CAST(score AS BIGINT)) AS max_score FROM calls GROUP BY ALL HAVING count(DISTINCT tool) >= 3""")
+def legacy_intersection(v):
+    """Groups of all active callers (here three)."""
+    return legacy.strict_groups(v("calls").where("true"), ["sample", "chrom", "strand"]).where("n_tools >= 3")
+
+
+@_query()
+def legacy_leader_group(v):
+    """G3."""
+    calls = v("calls").withColumn("ord", F.xxhash64("start", "end"))
+    return legacy.leader_groups(calls, ["sample", "chrom", "strand"], DEFAULTS.bsj_tolerance).groupBy(
+        "sample", "chrom", "strand", "lead_start", "lead_end").agg(F.count("*").alias("n_calls"))
+
+
+def _records(v):
+    return v("calls").select(
+        "chrom", "strand", F.floor(F.col("start") / 1000).alias("locus"), F.col("sample").alias("run"), F.col("tool").alias("source"),
+        F.col("score").cast("long").alias("agree"), F.col("score").cast("long").alias("score"), "start", "end", "block_sizes", "block_starts",
+        F.struct("start", "end", "sample", "tool", "score", "block_sizes").alias("o"),
+    ).withColumn("agree", F.col("agree") % 4).dropDuplicates().withColumn(
+        "ord", F.xxhash64("start", "end", "run", "source", "score", "block_sizes", "block_starts")).drop("o")
+
+
+@_query()
+def crossrun_entries(v):
+    """V8, V9."""
+    return crossrun.cross_run_entries(_records(v), ["chrom", "strand", "locus"], 0, DEFAULTS.min_tool_agreement)
+
+
+_OBS = "CAST(greatest(0, least(a.{0}, b.{1}) - greatest(a.{2}, b.{3})) AS BIGINT)"
+_BLOCKS = """SELECT *, unnest(list_zip(string_split(block_sizes, ','), string_split(block_starts, ','))) AS u FROM {0}"""
+
+
+def _typed(v):
+    calls = v("calls").dropDuplicates(["sample", "tool", "chrom", "start", "end", "strand", "block_sizes"])
+    rank = votes.rank_of(F.col("tool"))
+    return calls.select(
+        "sample", "chrom", "start", "end", "strand", "tool", rank.alias("rank"),
+        F.concat_ws("/", "tool", blocks.junction_id(F.col("chrom"), F.col("start"), F.col("end"), F.col("strand")), "block_sizes").alias("id"),
+        blocks.absolute(F.col("start"), F.col("block_sizes"), F.col("block_starts")).alias("blocks"),
+    )
+
+
+_TYPED = f"""WITH {ctes("calls")},
+t AS (SELECT DISTINCT sample, tool, chrom, start_, end_, strand, block_sizes, block_starts,
+        CASE tool WHEN 'isocirc' THEN 1 WHEN 'circfl' THEN 2 WHEN 'cirilong' THEN 3 ELSE 4 END AS rank,
+        tool || '/' || chrom || ':' || start_ || '-' || end_ || ':' || strand || '/' || block_sizes AS id FROM calls),
+u AS ({_BLOCKS.format("t")}),
+bl AS (SELECT sample, chrom, id, rank, tool, start_ + CAST(u[2] AS BIGINT) AS s, start_ + CAST(u[2] AS BIGINT) + CAST(u[1] AS BIGINT) AS e FROM u),
+pr AS (SELECT a.sample, a.tool AS tool_a, b.tool AS tool_b, a.id AS id_a, b.id AS id_b, CAST(sum({_OBS.format('e', 'e', 's', 's')}) AS BIGINT) AS overlap_bp
+       FROM bl a JOIN bl b ON a.sample = b.sample AND a.chrom = b.chrom AND a.rank < b.rank AND a.s < b.e AND b.s < a.e GROUP BY ALL),
+ln AS (SELECT sample, id, CAST(sum(e - s) AS BIGINT) AS n FROM bl GROUP BY ALL),
+pf AS (SELECT pr.*, a.n AS length_a, b.n AS length_b FROM pr JOIN ln a ON a.sample = pr.sample AND a.id = id_a JOIN ln b ON b.sample = pr.sample AND b.id = id_b)"""
+
+
+@_query(f"{_TYPED} SELECT * FROM pf")
+def pair_overlap(v):
+    """J1."""
+    return intervals.pair_overlaps(_typed(v))
+
+
+@_query(f"""{_TYPED}
+SELECT sample, tool_a, tool_b, count(*) AS n, count(*) FILTER (WHERE overlap_bp * 20 >= length_a * 19 AND overlap_bp * 20 >= length_b * 19) AS n_pass FROM pf GROUP BY ALL""")
+def pair_summary(v):
+    """V15."""
+    rows = intervals.pair_fractions(intervals.pair_overlaps(_typed(v)).withColumn("n", F.lit(0)), ["n"], 0.95)
+    return rows.groupBy("sample", "tool_a", "tool_b").agg(F.count("*").alias("n"), F.count_if("passes").alias("n_pass"))
+
+
+@_query(f"""{_TYPED}, f AS (SELECT sample, tool_a, tool_b, id_a AS id, count(*) AS n FROM pf GROUP BY ALL
+  UNION ALL SELECT sample, tool_a, tool_b, id_b, count(*) FROM pf GROUP BY ALL)
+SELECT sample, id, count(*) AS n_pairs FROM f GROUP BY ALL""")
+def pair_fraction_lookup(v):
+    """An OR of two keys as two equi-joins."""
+    pairs = intervals.pair_fractions(intervals.pair_overlaps(_typed(v)).withColumn("n", F.struct("id_a", "id_b")), ["n"], 0.95)
+    ids = _typed(v).select("sample", "id").distinct()
+    return intervals.fraction_lookup(ids, pairs).groupBy("sample", "id").agg(F.count("*").alias("n_pairs"))
+
+
+@_query()
+def overlap_scores(v):
+    """Mean fractions of the pairs among an entry's callers."""
+    typed = _typed(v)
+    pairs = intervals.pair_fractions(intervals.pair_overlaps(typed).withColumn("n", F.struct("id_a", "id_b")), ["n"], 0.95)
+    found = intervals.fraction_lookup(typed.select("sample", "id").distinct(), pairs)
+    entries = typed.select("sample", "id").distinct().withColumn("tools", F.array(F.lit("isocirc"), F.lit("circfl"), F.lit("cirilong")))
+    out = intervals.overlap_score(entries, found)
+    return out.select("sample", "id", labels.overlap_bin(F.col("mean_fraction")).alias("overlap_score"))
+
+
+@_query(f"""WITH {ctes("exons")},
+x AS (SELECT *, max(end_) OVER (PARTITION BY chrom, strand ORDER BY start_, end_ ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM exons),
+y AS (SELECT *, sum(CASE WHEN reach IS NULL OR start_ > reach THEN 1 ELSE 0 END) OVER (PARTITION BY chrom, strand ORDER BY start_, end_ ROWS UNBOUNDED PRECEDING) AS isl FROM x)
+SELECT chrom, strand, min(start_) AS start_, max(end_) AS end_ FROM y GROUP BY chrom, strand, isl""")
+def feature_merge(v):
+    """S22, W3."""
+    return intervals.merge(v("exons"), ["chrom", "strand"])
+
+
+def _circles(v):
+    c = v("calls").select("chrom", "start", "end", "strand", "block_sizes", "block_starts").dropDuplicates(["chrom", "start", "end", "strand"]) \
+        if False else v("calls").groupBy("chrom", "start", "end", "strand").agg(F.max("block_sizes").alias("block_sizes"), F.max("block_starts").alias("block_starts"))
+    return c.select(
+        blocks.junction_id(F.col("chrom"), F.col("start"), F.col("end"), F.col("strand")).alias("id"), "chrom", "start", "end", "strand",
+        blocks.absolute(F.col("start"), F.col("block_sizes"), F.col("block_starts")).alias("blocks"), F.lit(0).alias("ord"),
+    )
+
+
+_CIRCLES = f"""WITH {ctes("calls", "genes", "exons")},
+x AS (SELECT *, max(end_) OVER (PARTITION BY chrom, strand ORDER BY start_, end_ ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM exons),
+y AS (SELECT *, sum(CASE WHEN reach IS NULL OR start_ > reach THEN 1 ELSE 0 END) OVER (PARTITION BY chrom, strand ORDER BY start_, end_ ROWS UNBOUNDED PRECEDING) AS isl FROM x),
+ex AS (SELECT chrom, strand, min(start_) AS s, max(end_) AS e FROM y GROUP BY chrom, strand, isl),
+c AS (SELECT chrom, start_, end_, strand, max(block_sizes) AS block_sizes, max(block_starts) AS block_starts,
+        chrom || ':' || start_ || '-' || end_ || ':' || strand AS id FROM calls GROUP BY chrom, start_, end_, strand),
+u AS ({_BLOCKS.format("c")}),
+bl AS (SELECT id, chrom, strand, start_ + CAST(u[2] AS BIGINT) AS s, start_ + CAST(u[2] AS BIGINT) + CAST(u[1] AS BIGINT) AS e FROM u),
+ln AS (SELECT id, sum(e - s) AS n FROM bl GROUP BY id),
+gs AS (SELECT DISTINCT id FROM bl a JOIN genes g ON a.chrom = g.chrom AND a.strand = g.strand AND a.s < g.end_ AND g.start_ < a.e),
+ga AS (SELECT DISTINCT id FROM bl a JOIN genes g ON a.chrom = g.chrom AND a.strand <> g.strand AND a.s < g.end_ AND g.start_ < a.e),
+xo AS (SELECT id, sum(least(a.e, ex.e) - greatest(a.s, ex.s)) AS bp FROM bl a JOIN ex ON a.chrom = ex.chrom AND a.strand = ex.strand AND a.s < ex.e AND ex.s < a.e GROUP BY id)"""
+
+
+@_query(f"""{_CIRCLES}
+SELECT ln.id, CASE WHEN gs.id IS NOT NULL THEN CASE WHEN coalesce(bp, 0) >= n THEN 'eciRNA' WHEN coalesce(bp, 0) > 0 THEN 'EIciRNA' ELSE 'ciRNA' END
+  WHEN ga.id IS NOT NULL THEN 'antisense' ELSE 'intergenic' END AS circ_type
+FROM ln LEFT JOIN gs USING (id) LEFT JOIN ga USING (id) LEFT JOIN xo USING (id)""")
+def type_classify(v):
+    """C4, J2, A4."""
+    return annotate.classify_types(_circles(v), v("genes"), intervals.merge(v("exons"), ["chrom", "strand"]))
+
+
+def _table(v):
+    t = v("both_strands").withColumn("strand", F.when(F.col("strand") == "U", ".").otherwise(F.col("strand")))
+    return t.groupBy("chrom", "start", "end", "strand").agg(F.max("reads").alias("value")).withColumn(
+        "ord", F.col("start") * 100000 + F.col("end") % 100000)
+
+
+_LOOKUP = f"""WITH {ctes("calls", "both_strands")},
+t AS (SELECT chrom, start_, end_, CASE WHEN strand = 'U' THEN '.' ELSE strand END AS strand, max(reads) AS value FROM both_strands GROUP BY ALL),
+q AS (SELECT DISTINCT chrom, start_, end_, strand, chrom || ':' || start_ || '-' || end_ || ':' || strand AS id FROM calls),
+n AS (SELECT q.id, t.value, t.strand <> q.strand AS p, t.start_ * 100000 + t.end_ % 100000 AS ord FROM q JOIN t
+      ON q.chrom = t.chrom AND abs(q.start_ - t.start_) <= 5 AND abs(q.end_ - t.end_) <= 5 AND (t.strand = q.strand OR t.strand = '.'))"""
+
+
+@_query(f"{_LOOKUP} SELECT id, arg_min(value, struct_pack(p := p, ord := ord)) AS value FROM n GROUP BY id")
+def expr_lookup(v):
+    """J4."""
+    return intervals.band_lookup(_circles(v), _table(v), 5, "value")
+
+
+@_query(f"""{_LOOKUP},
+n2 AS (SELECT id, value, p, ord, value % 4 AS rank FROM n), r AS (SELECT id, rank, arg_min(value, struct_pack(p := p, ord := ord)) AS value FROM n2 GROUP BY id, rank)
+SELECT q.id, (SELECT arg_min(value, rank) FROM r WHERE r.id = q.id) AS expression FROM q""")
+def expr_priority(v):
+    """J5."""
+    out = intervals.expression(_circles(v), _table(v).withColumn("source_rank", F.col("value") % 4), 5)
+    return out.select("id", "expression")
+
+
+@_query(f"""WITH {ctes("loci", "genes")}, tm AS (SELECT 'q' || ord AS qry_id, 'L' || (ord + 1) AS qry_gene_id, 'c' || ord % 5 AS class_code, 'r' || ord AS ref_id, ord FROM loci WHERE ord % 3 <> 0),
+k AS (SELECT coalesce(CASE WHEN qry_id LIKE 'q%' AND ord % 2 = 0 THEN 'L' || ord END, qry_id) AS bsj_id, class_code, ref_id, ord, 0 AS k FROM tm
+      UNION ALL SELECT qry_gene_id, class_code, ref_id, ord, 1 FROM tm),
+m AS (SELECT bsj_id, arg_max(class_code, struct_pack(o := ord, k := k)) AS class_code, arg_max(ref_id, struct_pack(o := ord, k := k)) AS ref_id FROM k GROUP BY bsj_id)
+SELECT bsj_id, coalesce(class_code, 'NA') AS class_code, coalesce(ref_id, '.') AS ref_id FROM loci LEFT JOIN m USING (bsj_id)""")
+def class_code_join(v):
+    """S23, S24, J10."""
+    loci = v("loci")
+    o = F.col("ord").cast("string")
+    tmap = loci.where("ord % 3 <> 0").select(
+        F.concat(F.lit("q"), o).alias("qry_id"), F.concat(F.lit("L"), (F.col("ord") + 1).cast("string")).alias("qry_gene_id"),
+        F.concat(F.lit("c"), (F.col("ord") % 5).cast("string")).alias("class_code"), F.concat(F.lit("r"), o).alias("ref_id"), F.lit("g").alias("ref_gene_id"), "ord")
+    names = loci.where("ord % 2 = 0").select(F.concat(F.lit("q"), o).alias("gff_id"), F.concat(F.lit("L"), o).alias("name"))
+    return annotate.class_codes(loci, tmap, names).select("bsj_id", "class_code", "ref_id")
+
+
+@_query(f"WITH {ctes('both_strands')} SELECT chrom, start_, end_, strand, count(DISTINCT read_id) AS n_reads FROM both_strands GROUP BY ALL")
+def readset_union(v):
+    """S11 to S13, A1, U3."""
+    return quant.readset_union(v("both_strands"))
+
+
+_STRAND = "CASE {0} WHEN '+' THEN 1 WHEN '-' THEN 2 WHEN '.' THEN 3 ELSE 4 END"
+_FALL = f"""WITH {ctes("calls", "both_strands")},
+t AS (SELECT chrom, start_, end_, strand AS ts, count(DISTINCT read_id) AS n_reads, CAST(max(reads) AS BIGINT) AS native FROM both_strands GROUP BY ALL),
+q AS (SELECT DISTINCT chrom, start_, end_, strand, chrom || ':' || start_ || '-' || end_ || ':' || strand AS id FROM calls),
+f AS (SELECT id, arg_min(n_reads, struct_pack(a := ts <> strand, b := {_STRAND.format("ts")})) AS n_reads,
+        arg_min(native, struct_pack(a := ts <> strand, b := {_STRAND.format("ts")})) AS native FROM q JOIN t USING (chrom, start_, end_) GROUP BY id)"""
+
+
+@_query(f"{_FALL} SELECT q.id, n_reads FROM q LEFT JOIN f USING (id)")
+def strand_fallback_lookup(v):
+    """J7."""
+    return quant.strand_fallback(_circles(v).drop("blocks"), quant.readset_union(v("both_strands")), "n_reads").select("id", "n_reads")
+
+
+@_query(f"{_FALL} SELECT q.id, greatest(coalesce(n_reads, 0), coalesce(native, 0)) AS old_tool_count FROM q LEFT JOIN f USING (id)")
+def read_baseline(v):
+    """S14, A2."""
+    reads = v("both_strands")
+    return quant.baseline(_circles(v).drop("blocks"), reads, reads.select("chrom", "start", "end", "strand", F.col("reads").cast("long").alias("count")))
+
+
+_LOCI = f"""WITH RECURSIVE {ctes("loci", "tier1", "old_counts", "tier2", "tier3", "family_hits")},
+pts AS (SELECT DISTINCT chrom, strand, start_, end_ FROM loci),
+reach AS (SELECT *, start_ AS rs, end_ AS re FROM pts UNION SELECT r.chrom, r.strand, r.start_, r.end_, p.start_, p.end_ FROM reach r JOIN pts p
+    ON r.chrom = p.chrom AND r.strand = p.strand AND abs(p.start_ - r.rs) <= 10 AND abs(p.end_ - r.re) <= 10),
+root AS (SELECT chrom, strand, start_, end_, min(struct_pack(s := rs, e := re)) AS k FROM reach GROUP BY ALL),
+rp AS (SELECT l.*, first_value(bsj_id) OVER (PARTITION BY l.chrom, l.strand, k ORDER BY bsj_confidence DESC, l.end_ - l.start_, ord) AS representative
+       FROM loci l JOIN root USING (chrom, strand, start_, end_))"""
+
+
+@_query(f"{_LOCI} SELECT bsj_id, representative FROM rp")
+def locus_dedup_rep(v):
+    """G4, G5, J9's map."""
+    return closure.representatives(v("loci"), DEFAULTS.dedup_tolerance).select("bsj_id", "representative")
+
+
+_CLU = f"""{_LOCI},
+x AS (SELECT *, max(end_) OVER (PARTITION BY chrom, strand ORDER BY start_, end_ ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM loci),
+y AS (SELECT *, sum(CASE WHEN reach IS NULL OR start_ >= reach THEN 1 ELSE 0 END) OVER (PARTITION BY chrom, strand ORDER BY start_, end_ ROWS UNBOUNDED PRECEDING) AS isl FROM x),
+cl AS (SELECT bsj_id, chrom, strand, CAST(isl AS BIGINT) AS island, count(*) OVER (PARTITION BY chrom, strand, isl) AS members FROM y)"""
+
+
+@_query(f"{_CLU} SELECT * FROM cl")
+def overlap_clusters(v):
+    """G6, W2."""
+    return intervals.overlap_clusters(v("loci")).select("bsj_id", "chrom", "strand", "island", "members")
+
+
+@_query(f"""{_CLU} SELECT bsj_id, CASE WHEN members > 1 THEN coalesce(tier2_count, 0) ELSE coalesce(remap_count, 0) END AS remap_count
+FROM cl LEFT JOIN tier1 USING (bsj_id) LEFT JOIN tier2 USING (bsj_id)""")
+def overlap_override(v):
+    """C9."""
+    return quant.overlap_override(intervals.overlap_clusters(v("loci")), v("tier1"), v("tier2").withColumnRenamed("tier2_count", "rescue_count"))
+
+
+_FLAG = f"""{_LOCI},
+bo AS (SELECT representative AS bsj_id, max(old_tool_count) AS old_tool_count FROM rp LEFT JOIN old_counts USING (bsj_id) GROUP BY 1),
+fl AS (SELECT DISTINCT l.bsj_id, coalesce(remap_count, 0) AS total_count, coalesce(old_tool_count, 0) AS old_tool_count FROM loci l JOIN rp ON l.bsj_id = rp.representative
+       LEFT JOIN tier1 ON tier1.bsj_id = l.bsj_id LEFT JOIN bo ON bo.bsj_id = l.bsj_id),
+fg AS (SELECT *, old_tool_count - total_count AS gap, old_tool_count >= 50 AND total_count < old_tool_count AS flagged, 0 AS mm2_count FROM fl)"""
+
+
+def _flagged(v):
+    reps = closure.representatives(v("loci"), DEFAULTS.dedup_tolerance)
+    own = reps.where("bsj_id = representative")
+    return quant.coverage_flag(own, v("tier1"), reps.select("bsj_id", "representative"), v("old_counts"))
+
+
+@_query(f"{_FLAG} SELECT * FROM fg")
+def coverage_flag(v):
+    """A3, J11, C10."""
+    return _flagged(v)
+
+
+_FAM = f"""{_FLAG},
+h AS (SELECT h.bsj_id, target, coalesce(t.chrom <> l.chrom OR NOT (t.start_ <= l.end_ + 20000 AND l.start_ <= t.end_ + 20000), true) AS far
+      FROM family_hits h JOIN loci l ON l.bsj_id = h.bsj_id LEFT JOIN loci t ON t.bsj_id = target WHERE target <> h.bsj_id AND aligned * 10 >= qlen),
+fs AS (SELECT bsj_id, string_agg(DISTINCT target, ',' ORDER BY target) AS sibling_loci, string_agg(DISTINCT CASE WHEN far THEN target END, ',' ORDER BY CASE WHEN far THEN target END) AS gs,
+         count(DISTINCT target) AS n_sibling_loci FROM h GROUP BY 1),
+fa AS (SELECT fg.bsj_id, coalesce(sibling_loci, '') AS sibling_loci, coalesce(gs, '') AS genuine_family_siblings, coalesce(n_sibling_loci, 0) AS n_sibling_loci,
+         coalesce(gs, '') <> '' AS is_gene_family, coalesce(gs, '') = '' AS tier2_candidate FROM fg LEFT JOIN fs USING (bsj_id) WHERE flagged)"""
+
+
+def _families(v):
+    return quant.family(_flagged(v).where("flagged").select("bsj_id"), v("family_hits"), v("loci"))
+
+
+@_query(f"{_FAM} SELECT * FROM fa")
+def family_hits(v):
+    """A11, P21, C11."""
+    return _families(v)
+
+
+@_query(f"""{_FAM}
+SELECT l.bsj_id, l.chrom, l.start_, l.end_, l.strand, coalesce(tier3_count, tier2_count, remap_count, 0) AS remap_count,
+  CASE WHEN tier3_count IS NOT NULL THEN 'tier3' WHEN is_gene_family THEN 'tier1_gene_family_unresolved' WHEN tier2_count IS NOT NULL THEN 'tier2' ELSE 'tier1' END AS quant_tier,
+  coalesce(is_gene_family, false) AND tier3_count IS NULL AS low_confidence
+FROM loci l LEFT JOIN tier1 USING (bsj_id) LEFT JOIN tier2 USING (bsj_id) LEFT JOIN tier3 USING (bsj_id) LEFT JOIN fa USING (bsj_id)""")
+def finalize_overlay(v):
+    """C13."""
+    loci = v("loci").select("bsj_id", "chrom", "start", "end", "strand")
+    return quant.finalize(loci, v("tier1"), _families(v), v("tier2"), v("tier3"))
+
+
+@_query(f"""{_LOCI}
+SELECT rp.bsj_id, coalesce(t.remap_count, 0) AS nanocirc_quant_reads, CASE WHEN t.bsj_id IS NULL THEN '' ELSE 'tier1' END AS quant_tier,
+  CASE WHEN t.bsj_id IS NULL THEN '' ELSE 'false' END AS low_confidence FROM rp LEFT JOIN tier1 t ON t.bsj_id = rp.representative""")
+def append_counts(v):
+    """J9, C14."""
+    reps = closure.representatives(v("loci"), DEFAULTS.dedup_tolerance).select("bsj_id", "representative")
+    counts = v("tier1").withColumns({"quant_tier": F.lit("tier1"), "low_confidence": F.lit(False)})
+    return quant.append_counts(v("loci").select("bsj_id"), reps, counts)
+
+
+@_query(f"""{_HYBRID}, t AS (SELECT *, unnest(['discovery', 'balanced_recall', 'high_confidence', 'balanced_precision']) AS tier FROM z)
+SELECT tier, count(*) AS n FROM t WHERE NOT (max_score <= 2 AND ((tier IN ('discovery', 'balanced_recall') AND isoform_tools = 'circnick')
+  OR (tier = 'high_confidence' AND isoform_tools = 'isocirc'))) GROUP BY tier""")
+def confident_filter(v):
+    """P11, C15."""
+    rows = _entries(v, "hybrid", 0).withColumn("tier", F.explode(F.array(*map(F.lit, scoring.TIERS))))
+    weak = scoring.weak_support(F.col("max_score").cast("string"), F.col("isoform_tools"), F.col("tier"), DEFAULTS.confident_min_reads)
+    return rows.where(~weak).groupBy("tier").agg(F.count("*").alias("n"))
+
+
+_SEG = f"""WITH {ctes("segments", "joins")},
+g AS (SELECT qname, rname, jp, bool_or(s < jp AND jp < e) OR (bool_or(e BETWEEN jp - 50 AND jp) AND bool_or(s BETWEEN jp AND jp + 50)) AS gate,
+        sum(greatest(0, least(e, jp) - greatest(s, jp - 20))) >= 10 AND sum(greatest(0, least(e, jp + 20) - greatest(s, jp))) >= 10 AS anchor, CAST(sum(e - s) AS BIGINT) AS score
+      FROM segments JOIN joins USING (rname) GROUP BY qname, rname, jp),
+ok AS (SELECT qname, rname, score FROM g WHERE gate AND anchor),
+bx AS (SELECT qname, arg_min(rname, struct_pack(a := -score, b := rname)) AS rname FROM ok GROUP BY qname)"""
+
+
+@_query(f"{_SEG} SELECT qname, rname, gate, anchor FROM g")
+def proximity_gate(v):
+    """P14, P18."""
+    rows = v("segments").groupBy("qname", "rname").agg(F.collect_list(F.struct("s", "e")).alias("segs")).join(v("joins"), "rname")
+    return rows.select("qname", "rname", hits.proximity_gate(F.col("segs"), F.col("jp")).alias("gate"), hits.anchor_coverage(F.col("segs"), F.col("jp")).alias("anchor"))
+
+
+@_query(f"{_SEG} SELECT * FROM ok")
+def hit_scores(v):
+    """A5, A6."""
+    return hits.score_coords(v("segments"), v("joins"))
+
+
+@_query(f"""WITH {ctes("segments", "joins")},
+g AS (SELECT aligner, qname, rname, jp, bool_or(s < jp AND jp < e) OR (bool_or(e BETWEEN jp - 50 AND jp) AND bool_or(s BETWEEN jp AND jp + 50)) AS gate,
+        sum(greatest(0, least(e, jp) - greatest(s, jp - 20))) >= 10 AND sum(greatest(0, least(e, jp + 20) - greatest(s, jp))) >= 10 AS anchor, CAST(sum(e - s) AS BIGINT) AS score
+      FROM segments JOIN joins USING (rname) GROUP BY aligner, qname, rname, jp),
+m AS (SELECT qname, rname, max(score) AS score FROM g WHERE gate AND anchor GROUP BY 1, 2)
+SELECT rname, count(*) AS n_reads FROM (SELECT qname, arg_min(rname, struct_pack(a := -score, b := rname)) AS rname FROM m GROUP BY qname) GROUP BY rname""")
+def exclusive_assign(v):
+    """The larger score over aligners, one locus per read."""
+    segs, joins = v("segments"), v("joins")
+    return hits.count_exclusive(hits.combine(*[hits.score_coords(segs.where(F.col("aligner") == a), joins) for a in (0, 1)]))
+
+
+@_query(f"{_SEG} SELECT qname, rname FROM bx")
+def classify_exclusive(v):
+    """A9."""
+    segs = v("segments")
+    return hits.classify_exclusive(segs.where("aligner = 0"), segs.where("aligner = 1"), v("joins"))
+
+
+@_query(f"{_SEG} SELECT p.rname AS bsj_id, count(DISTINCT qname) AS tier2_count FROM joins p LEFT JOIN bx USING (rname) GROUP BY 1")
+def rescue_counts(v):
+    """C12."""
+    segs = v("segments")
+    found = hits.classify_exclusive(segs.where("aligner = 0"), segs.where("aligner = 1"), v("joins"))
+    return quant.rescue_counts(v("joins").withColumnRenamed("rname", "bsj_id"), found, "tier2_count")
+
+
+@_query(f"""WITH {ctes("cigars")},
+b AS (SELECT *, s + 20 AS a0, s + 20 + q AS a1, s + 25 + q AS a2 FROM cigars)
+SELECT qname, rname, s, q, v, CAST(sum(greatest(0, least(a1, jp) - greatest(a0, jp - 20)) + greatest(0, least(a2 + 30, jp) - greatest(a2, jp - 20))) AS BIGINT) AS m,
+  CAST(sum(greatest(0, least(a2, jp) - greatest(a1, jp - 20)) + CASE WHEN a2 + 30 >= jp - 20 AND a2 + 30 < jp THEN v ELSE 0 END) AS BIGINT) AS e FROM b GROUP BY ALL""")
+def cigar_window(v):
+    """5S 20N q= 5X 30M vI, matched and edited bases in the 20 before the join."""
+    op = lambda code, n: F.struct(F.lit(code).alias("op"), n.cast("int").alias("len"))
+    cigar = F.array(op(4, F.lit(5)), op(3, F.lit(20)), op(7, F.col("q")), op(8, F.lit(5)), op(0, F.lit(30)), op(1, F.col("v")))
+    rows = v("cigars").withColumn("w", hits.cigar_window(cigar, F.col("s"), F.col("jp") - 20, F.col("jp")))
+    return rows.groupBy("qname", "rname", "s", "q", "v").agg(F.sum("w.m").alias("m"), F.sum("w.e").alias("e"))
+
+
+@_query()
+def anchor_cigar(v):
+    """P16, P17."""
+    op = lambda code, n: F.struct(F.lit(code).alias("op"), n.cast("int").alias("len"))
+    cigar = F.array(op(4, F.lit(5)), op(7, F.col("q") * 3), op(8, F.col("v")), op(7, F.lit(60)))
+    rows = v("cigars").select("qname", "rname", F.col("s").cast("long"), (F.col("s") + 60 + F.col("q") * 3 + F.col("v")).cast("long").alias("e"), cigar.alias("cigar"),
+                              (65 + F.col("q") * 3 + F.col("v")).alias("qlen"), "jp")
+    return hits.score_cigars(rows.drop("jp"), rows.select("rname", F.col("jp").cast("long").alias("jp")).distinct())
+
+
+@_query(f"WITH {ctes('matrix_rows')} SELECT sample, isoform_id, arg_min(reads, struct_pack(o := ord, r := reads)) AS reads FROM matrix_rows GROUP BY 1, 2")
+def matrix_long(v):
+    """The long form."""
+    return matrix.long_counts(v("matrix_rows").withColumn("ord", F.struct("ord", "reads")))
+
+
+@_query(f"""WITH {ctes('matrix_rows')}, l AS (SELECT sample, isoform_id, arg_min(reads, struct_pack(o := ord, r := reads)) AS reads FROM matrix_rows GROUP BY 1, 2)
+SELECT isoform_id, coalesce(max(reads) FILTER (WHERE sample = 'S0'), 0) AS "S0", coalesce(max(reads) FILTER (WHERE sample = 'S1'), 0) AS "S1",
+  coalesce(max(reads) FILTER (WHERE sample = 'S2'), 0) AS "S2" FROM l GROUP BY 1""")
+def matrix_wide(v):
+    """A14, U6."""
+    return matrix.wide_counts(v("matrix_rows").withColumn("ord", F.struct("ord", "reads")), ["S0", "S1", "S2"])
+
+
+@_query(f"""WITH {ctes('matrix_rows')}
+SELECT isoform_id, arg_min(chrom, struct_pack(a := sample_ord, b := ord, c := chrom, d := kind)) AS chrom, arg_min(kind, struct_pack(a := sample_ord, b := ord, c := chrom, d := kind)) AS kind
+FROM matrix_rows GROUP BY 1""")
+def feature_dim(v):
+    """A15."""
+    return matrix.features(v("matrix_rows").withColumn("ord", F.struct("ord", "chrom", "kind")), ["chrom", "kind"])
+
+
+_LIFT = f"""WITH {ctes("calls", "chain")},
+q AS (SELECT DISTINCT chrom, start_, end_, strand, chrom || ':' || start_ || '-' || end_ || ':' || strand AS id FROM calls),
+pt AS (SELECT id, chrom, start_ AS pos, 0 AS k FROM q UNION ALL SELECT id, chrom, end_ - 1, 1 FROM q),
+hit AS (SELECT id, k, q_chrom, q_strand, CASE WHEN q_strand = '+' THEN q_start + pos - t_start ELSE q_end - 1 - (pos - t_start) END AS p, chain_score, chain_id
+        FROM pt JOIN chain c ON c.chrom = pt.chrom AND pos >= t_start AND pos < t_end),
+bh AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id, k ORDER BY chain_score DESC, chain_id) AS rn FROM hit) WHERE rn = 1),
+li AS (SELECT a.id, a.q_chrom, a.q_strand, least(a.p, b.p) AS s, greatest(a.p, b.p) + 1 AS e FROM bh a JOIN bh b ON a.id = b.id AND a.k = 0 AND b.k = 1 AND a.q_chrom = b.q_chrom AND a.q_strand = b.q_strand),
+lo AS (SELECT q.id, q_chrom AS new_chrom, s AS new_start, e AS new_end, CASE q_strand WHEN '+' THEN strand WHEN '-' THEN CASE strand WHEN '+' THEN '-' WHEN '-' THEN '+' ELSE strand END END AS new_strand,
+         q_strand IS NOT NULL AS mapped FROM q LEFT JOIN li USING (id))"""
+
+
+@_query(f"{_LIFT} SELECT * FROM lo")
+def liftover_coords(v):
+    """J15, S27."""
+    return liftover.liftover(_circles(v).drop("blocks", "ord"), v("chain")).drop("chrom", "start", "end", "strand")
+
+
+@_query(f"""{_LIFT}, pa AS (SELECT lo.*, chrom || strand AS circ_id FROM lo JOIN q USING (id))
+SELECT circ_id, count(*) AS n FROM pa WHERE circ_id NOT IN (SELECT circ_id FROM pa WHERE NOT mapped AND id LIKE '%1%7%') GROUP BY 1""")
+def liftover_all_or_nothing(v):
+    """J16, W6."""
+    lifted = liftover.liftover(_circles(v).drop("blocks", "ord"), v("chain"))
+    parts = lifted.withColumns({"circ_id": F.concat("chrom", "strand"), "required": F.col("id").like("%1%7%")})
+    return liftover.all_or_nothing(parts).groupBy("circ_id").agg(F.count("*").alias("n"))
+
+
+@_query(f"""WITH {ctes("calls", "genome")},
+c AS (SELECT chrom, start_, end_, strand, max(block_sizes) AS bs, max(block_starts) AS bt, chrom || ':' || start_ || '-' || end_ || ':' || strand AS id FROM calls GROUP BY chrom, start_, end_, strand),
+o AS (SELECT id, strand, upper(array_to_string([substr(sequence, start_ % 3000 + CAST(b AS BIGINT) + 1, CAST(a AS BIGINT)) FOR (a, b) IN list_zip(string_split(bs, ','), string_split(bt, ','))], '')) AS one FROM c JOIN genome USING (chrom)) SELECT 1""" if False else None)
+def circle_seq(v):
+    """P12, P13, D11."""
+    start = F.col("start") % 3000
+    loci = _circles(v).withColumn("blocks", F.transform("blocks", lambda b: F.struct((b["s"] - F.col("start") + start).alias("s"), b["n"].alias("n"))))
+    out = sequences.circle_sequences(loci.withColumnRenamed("id", "bsj_id"), v("genome"))
+    return out.select("bsj_id", "circle_length", "ref_length", "join_pos", F.md5("seq").alias("seq_md5"))
+
+
+@_query(f"""WITH {ctes("loci")}
+SELECT bsj_id, greatest(0, start_ - 3000) AS win_start, start_ + 3000 AS win_end FROM loci WHERE end_ - start_ > 1500
+UNION ALL SELECT bsj_id, greatest(0, end_ - 3000), end_ + 3000 FROM loci WHERE end_ - start_ > 1500
+UNION ALL SELECT bsj_id, greatest(0, start_), end_ FROM loci WHERE end_ - start_ <= 1500""" if False else f"""WITH {ctes("loci")}
+SELECT bsj_id, greatest(0, start_ - 600) AS win_start, start_ + 600 AS win_end FROM loci WHERE end_ - start_ > 1200
+UNION ALL SELECT bsj_id, greatest(0, end_ - 600), end_ + 600 FROM loci WHERE end_ - start_ > 1200
+UNION ALL SELECT bsj_id, greatest(0, start_), end_ FROM loci WHERE end_ - start_ <= 1200""")
+def candidate_windows(v):
+    """P20, with a flank of 600."""
+    return quant.windows(v("loci"), 600).select("bsj_id", "win_start", "win_end")
+
+
+@_query(f"""WITH {ctes("loci", "exons")},
+w AS (SELECT bsj_id, chrom, start_ AS s, end_ AS e FROM loci)
+SELECT bsj_id, count(*) AS n FROM w JOIN exons x ON w.chrom = x.chrom AND x.start_ < w.e AND w.s < x.end_ GROUP BY 1""")
+def region_fetch(v):
+    """J14, J13."""
+    a = v("loci").select("bsj_id", "chrom", "start", "end")
+    return intervals.overlap_join(a, v("exons"), ["chrom"]).groupBy(F.col("a.bsj_id").alias("bsj_id")).agg(F.count("*").alias("n"))
+
+
+@_query(f"""WITH {ctes("calls")}
+SELECT tier, n, CAST(CASE tier WHEN 'discovery' THEN 1 WHEN 'high_confidence' THEN (n * 3 + 3) // 4 ELSE greatest(2, (n + 3) // 4) END AS INT) AS min_runs
+FROM (SELECT unnest(['discovery', 'balanced_recall', 'balanced_precision', 'high_confidence']) AS tier), (SELECT CAST(count(DISTINCT sample) AS INT) AS n FROM calls)""")
+def tier_min_runs(v):
+    """P24."""
+    n = v("calls").agg(F.count_distinct("sample").cast("int").alias("n"))
+    return n.select(F.explode(F.array(*map(F.lit, ("discovery", "balanced_recall", "balanced_precision", "high_confidence")))).alias("tier"), "n").withColumn(
+        "min_runs", labels.min_runs(F.col("tier"), F.col("n")).cast("int"))
+
+
+@_query()
+def chunk_assign(v):
+    """O7."""
+    loci = v("loci")
+    return quant.chunks(loci, DEFAULTS.chunk_size, DEFAULTS.chunk_seed, loci.count()).groupBy("chunk").agg(F.count("*").alias("n"))
+
 
 def flagship(spark, sf_dir):
-    raise NotImplementedError
+    """Calls to scored, labelled entries of the hybrid mode."""
+    out = consensus.tiers(view(spark, sf_dir, "calls"), DEFAULTS.bsj_tolerance, _ORDER)
+    return out.withColumnsRenamed(_OUT)
