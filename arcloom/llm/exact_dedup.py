@@ -35,26 +35,23 @@ def exact_groups(
         base.select("doc_id", digest(F.col("t")).alias("h"), F.unhex(F.sha2("t", 256)).alias("sha")), "digests"
     )
     sizes = rows.groupBy("h").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-    repeated = written(sizes.where("group_size > 1").select("h"), "repeated")
+    repeated = written(sizes.where("group_size > 1"), "repeated")
     keyed = base.select("doc_id", digest(F.col("t")).alias("h"), "t")
-    same_hash = keyed.join(small_side(repeated), "h", "left_semi")
-    texts = written(
-        same_hash.groupBy("h", "t")
-        .agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-        .select("h", "keep_id", "group_size"),
-        "texts",
+    same_hash = keyed.join(small_side(repeated.select("h")), "h", "left_semi")
+    clash = written(
+        same_hash.groupBy("h", "t").count().groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "clash"
     )
-    clash = written(texts.groupBy("h").count().where("count > 1").select("h"), "clash")
-    plain = (
-        rows.join(sizes, "h").join(small_side(clash), "h", "left_anti")
-        .select("doc_id", "keep_id", "group_size", "sha")
+    # a text that occurs once needs no join: it is its own group
+    plain = rows.join(small_side(repeated), "h", "left").select(
+        "h", "doc_id", "sha", F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1)).alias("group_size"),
     )
     if clash.isEmpty():
-        out = plain
+        out = plain.drop("h")
     else:  # one hash, several texts: assign by the bytes
         odd = keyed.join(small_side(clash), "h", "left_semi")
         by_text = odd.groupBy("h", "t").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-        out = plain.unionByName(
+        out = plain.join(small_side(clash), "h", "left_anti").drop("h").unionByName(
             odd.join(by_text, ["h", "t"]).select(
                 "doc_id", "keep_id", "group_size", F.unhex(F.sha2("t", 256)).alias("sha")
             )
