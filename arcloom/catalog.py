@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from arcloom.config import DEFAULTS
 from arcloom.fixtures import ctes, view
 from arcloom.functions import blocks, labels
-from arcloom.operators import annotate, closure, crossrun, hits, intervals, legacy, liftover, matrix, quant, scoring, sequences, votes
+from arcloom.operators import annotate, closure, crossrun, graph, hits, intervals, legacy, liftover, matrix, quant, scoring, sequences, votes
 from arcloom.plans import consensus
+from arcloom.sources import bed, callers, reference, sinks
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
@@ -251,7 +252,7 @@ SELECT sample, chrom, strand, start_, end_, string_agg(DISTINCT tool, ',' ORDER
   max(CAST(score AS BIGINT)) AS max_score FROM calls GROUP BY ALL HAVING count(DISTINCT tool) >= 3""")
 def legacy_intersection(v):
     """Groups of all active callers (here three)."""
-    return legacy.strict_groups(v("calls").where("true"), ["sample", "chrom", "strand"]).where("n_tools >= 3")
+    return legacy.strict_groups(v("calls"), ["sample", "chrom", "strand"]).where("n_tools >= 3")
 
 
 @_query()
@@ -348,8 +349,7 @@ def feature_merge(v):
 
 
 def _circles(v):
-    c = v("calls").select("chrom", "start", "end", "strand", "block_sizes", "block_starts").dropDuplicates(["chrom", "start", "end", "strand"]) \
-        if False else v("calls").groupBy("chrom", "start", "end", "strand").agg(F.max("block_sizes").alias("block_sizes"), F.max("block_starts").alias("block_starts"))
+    c = v("calls").groupBy("chrom", "start", "end", "strand").agg(F.max("block_sizes").alias("block_sizes"), F.max("block_starts").alias("block_starts"))
     return c.select(
         blocks.junction_id(F.col("chrom"), F.col("start"), F.col("end"), F.col("strand")).alias("id"), "chrom", "start", "end", "strand",
         blocks.absolute(F.col("start"), F.col("block_sizes"), F.col("block_starts")).alias("blocks"), F.lit(0).alias("ord"),
@@ -656,24 +656,32 @@ lo AS (SELECT q.id, q_chrom AS new_chrom, s AS new_start, e AS new_end, CASE q_s
          q_strand IS NOT NULL AS mapped FROM q LEFT JOIN li USING (id))"""
 
 
-@_query(f"{_LIFT} SELECT * FROM lo")
+@_query(f"{_LIFT} SELECT * REPLACE (coalesce(new_start, -1) AS new_start, coalesce(new_end, -1) AS new_end) FROM lo")
 def liftover_coords(v):
     """J15, S27."""
-    return liftover.liftover(_circles(v).drop("blocks", "ord"), v("chain")).drop("chrom", "start", "end", "strand")
+    out = liftover.liftover(_circles(v).drop("blocks", "ord"), v("chain")).drop("chrom", "start", "end", "strand")
+    return out.na.fill(-1, ["new_start", "new_end"])
 
 
-@_query(f"""{_LIFT}, pa AS (SELECT lo.*, chrom || strand AS circ_id FROM lo JOIN q USING (id))
-SELECT circ_id, count(*) AS n FROM pa WHERE circ_id NOT IN (SELECT circ_id FROM pa WHERE NOT mapped AND id LIKE '%1%7%') GROUP BY 1""")
+@_query(f"""{_LIFT}, pa AS (SELECT lo.*, chrom || ':' || start_ // 3000 AS circ_id FROM lo JOIN q USING (id))
+SELECT circ_id, count(*) AS n FROM pa WHERE circ_id NOT IN (SELECT circ_id FROM pa WHERE NOT mapped AND id LIKE '%4:%') GROUP BY 1""")
 def liftover_all_or_nothing(v):
     """J16, W6."""
     lifted = liftover.liftover(_circles(v).drop("blocks", "ord"), v("chain"))
-    parts = lifted.withColumns({"circ_id": F.concat("chrom", "strand"), "required": F.col("id").like("%1%7%")})
+    parts = lifted.withColumns({
+        "circ_id": F.concat("chrom", F.lit(":"), F.floor(F.col("start") / 3000).cast("string")), "required": F.col("id").like("%4:%")})
     return liftover.all_or_nothing(parts).groupBy("circ_id").agg(F.count("*").alias("n"))
 
 
 @_query(f"""WITH {ctes("calls", "genome")},
-c AS (SELECT chrom, start_, end_, strand, max(block_sizes) AS bs, max(block_starts) AS bt, chrom || ':' || start_ || '-' || end_ || ':' || strand AS id FROM calls GROUP BY chrom, start_, end_, strand),
-o AS (SELECT id, strand, upper(array_to_string([substr(sequence, start_ % 3000 + CAST(b AS BIGINT) + 1, CAST(a AS BIGINT)) FOR (a, b) IN list_zip(string_split(bs, ','), string_split(bt, ','))], '')) AS one FROM c JOIN genome USING (chrom)) SELECT 1""" if False else None)
+c AS (SELECT chrom, start_, end_, strand, string_split(max(block_sizes), ',') AS bs, string_split(max(block_starts), ',') AS bt,
+        chrom || ':' || start_ || '-' || end_ || ':' || strand AS id FROM calls GROUP BY chrom, start_, end_, strand),
+u AS (SELECT *, unnest(range(1, len(bs) + 1)) AS i FROM c),
+o AS (SELECT id, strand, upper(string_agg(substr(sequence, start_ % 3000 + CAST(bt[i] AS BIGINT) + 1, CAST(bs[i] AS BIGINT)), '' ORDER BY i)) AS fw
+      FROM u JOIN genome USING (chrom) GROUP BY id, strand),
+r AS (SELECT id, CASE strand WHEN '-' THEN reverse(translate(fw, 'ACGTN', 'TGCAN')) ELSE fw END AS one FROM o)
+SELECT id AS bsj_id, CAST(length(one) AS BIGINT) AS circle_length, CAST(2 * length(one) AS BIGINT) AS ref_length, CAST(length(one) AS BIGINT) AS join_pos, md5(one || one) AS seq_md5
+FROM r WHERE length(one) >= 30""")
 def circle_seq(v):
     """P12, P13, D11."""
     start = F.col("start") % 3000
@@ -683,9 +691,6 @@ def circle_seq(v):
 
 
 @_query(f"""WITH {ctes("loci")}
-SELECT bsj_id, greatest(0, start_ - 3000) AS win_start, start_ + 3000 AS win_end FROM loci WHERE end_ - start_ > 1500
-UNION ALL SELECT bsj_id, greatest(0, end_ - 3000), end_ + 3000 FROM loci WHERE end_ - start_ > 1500
-UNION ALL SELECT bsj_id, greatest(0, start_), end_ FROM loci WHERE end_ - start_ <= 1500""" if False else f"""WITH {ctes("loci")}
 SELECT bsj_id, greatest(0, start_ - 600) AS win_start, start_ + 600 AS win_end FROM loci WHERE end_ - start_ > 1200
 UNION ALL SELECT bsj_id, greatest(0, end_ - 600), end_ + 600 FROM loci WHERE end_ - start_ > 1200
 UNION ALL SELECT bsj_id, greatest(0, start_), end_ FROM loci WHERE end_ - start_ <= 1200""")
@@ -724,3 +729,111 @@ def flagship(spark, sf_dir):
     """Calls to scored, labelled entries of the hybrid mode."""
     out = consensus.tiers(view(spark, sf_dir, "calls"), DEFAULTS.bsj_tolerance, _ORDER)
     return out.withColumnsRenamed(_OUT)
+
+
+# parsers, over lines rendered from the fixture views
+
+
+def _lines(df, *cols):
+    return df.select(F.concat_ws("\t", *cols).alias("value"), F.lit("f").alias("file"), F.monotonically_increasing_id().alias("ord"))
+
+
+def _text(c):
+    return F.col(c).cast("string")
+
+
+@_query(f"""WITH {ctes("calls")}
+SELECT 'isocirc' AS tool, chrom, start_, end_, score, strand, block_count, block_sizes, block_starts, count(*) AS n FROM calls GROUP BY ALL""")
+def bed_parse(v):
+    """Comments, track lines and blanks are skipped."""
+    calls = v("calls")
+    lines = _lines(calls, "chrom", _text("start"), _text("end"), F.lit("x"), "score", "strand", _text("start"), _text("start"), F.lit("0"), "block_count", "block_sizes", "block_starts")
+    extra = lines.limit(3).withColumn("value", F.element_at(F.array(F.lit("# note"), F.lit("track a"), F.lit("  ")), (F.col("ord") % 3 + 1).cast("int")))
+    rows = bed.parse_bed12(lines.unionByName(extra), "isocirc")
+    return rows.groupBy("tool", "chrom", "start", "end", "score", "strand", "block_count", "block_sizes", "block_starts").agg(F.count("*").alias("n"))
+
+
+@_query(f"""WITH {ctes("calls")}, c AS (SELECT chrom, start_, end_, strand, 'k' || start_ || '_' || end_ AS k FROM calls GROUP BY ALL)
+SELECT chrom, start_, end_, strand, k || '_iso1' AS name, '2' AS block_count, '61,100,' AS block_sizes, '0,120,' AS block_starts FROM c
+UNION ALL SELECT chrom, start_, end_, strand, k || '_iso2', '1', (end_ - start_) || ',', '0,' FROM c""")
+def cirilong_explode(v):
+    """Attributes, isoforms and 1-based exons."""
+    s, e = F.col("start"), F.col("end")
+    c = v("calls").select("chrom", "start", "end", "strand").distinct()
+    one = lambda x: x.cast("string")
+    iso = F.concat(one(s + 1), F.lit("-"), one(s + 61), F.lit(","), one(s + 121), F.lit("-"), one(s + 220), F.lit("|"), one(s + 1), F.lit("-"), one(e))
+    attrs = F.concat(F.lit('circ_id "k'), one(s), F.lit("_"), one(e), F.lit('"; circ_type "exon"; isoform "'), iso, F.lit('";'))
+    lines = _lines(c, "chrom", F.lit("x"), F.lit("circRNA"), one(s + 1), one(e), F.lit("7"), "strand", F.lit("."), attrs)
+    return callers.parse_info(lines).select("chrom", "start", "end", "strand", "name", "block_count", "block_sizes", "block_starts")
+
+
+@_query(f"""WITH {ctes("loci")},
+r AS (SELECT bsj_id AS name, chrom, start_, end_, ord % 3 AS k FROM loci)
+SELECT name, chrom, start_, end_, CASE k WHEN 0 THEN '1' ELSE '2' END AS block_count,
+  CASE k WHEN 0 THEN CAST(end_ - start_ AS VARCHAR) WHEN 1 THEN '90,' || (end_ - start_ - 200) ELSE '50,' || (end_ - start_ - 300) END AS block_sizes,
+  CASE k WHEN 0 THEN '0' WHEN 1 THEN '10,200' ELSE '0,300' END AS block_starts FROM r""")
+def circnick_fallback(v):
+    """Exons, else the complement of introns, else the span."""
+    loci = v("loci").select(F.col("bsj_id").alias("circ_id"), "chrom", "start", "end", F.lit("1").alias("score"), "strand", (F.col("ord") % 3).alias("k"))
+    s = F.col("start")
+    ex = loci.where("k = 1").select("circ_id", F.explode(F.array(F.struct((s + 10).alias("s"), (s + 100).alias("e")), F.struct((s + 200).alias("s"), (F.col("end") + 50).alias("e")))).alias("x")).select("circ_id", "x.*")
+    intr = loci.where("k = 2").select("circ_id", (s + 50).alias("s"), (s + 300).alias("e"))
+    return callers.annotated_to_calls(loci, ex, intr).select("name", "chrom", "start", "end", "block_count", "block_sizes", "block_starts")
+
+
+@_query(f"""WITH {ctes("segments")}
+SELECT qname, rname, s, s + n AS e, count(*) AS c FROM (SELECT qname, rname, unnest([s, s + 300]) AS s, unnest([e - s, 49]) AS n FROM segments) WHERE n >= 50 GROUP BY ALL""")
+def psl_blocks(v):
+    """S21."""
+    blank = [F.lit("0")] * 9
+    sizes = F.concat((F.col("e") - F.col("s")).cast("string"), F.lit(",49,"))
+    starts = F.concat(F.col("s").cast("string"), F.lit(","), (F.col("s") + 300).cast("string"), F.lit(","))
+    lines = _lines(v("segments"), *blank, "qname", F.lit("0"), F.lit("0"), F.lit("0"), "rname", *([F.lit("0")] * 4), sizes, F.lit("0"), starts)
+    return hits.psl_blocks(reference.parse_psl(lines)).groupBy("qname", "rname", "s", "e").agg(F.count("*").alias("c"))
+
+
+@_query(f"""WITH {ctes("calls")}
+SELECT chrom || ':' || start_ || '-' || end_ || ':' || strand AS id, chrom, start_, end_, strand, count(*) AS n FROM calls GROUP BY ALL""")
+def junction_ids(v):
+    """D3: ids and their inverse."""
+    named = v("calls").select(blocks.junction_id(F.col("chrom"), F.col("start"), F.col("end"), F.col("strand")).alias("id"))
+    parsed = named.withColumn("p", blocks.parse_junction_id(F.concat("id", F.lit("|iso1"))))
+    return parsed.select("id", "p.*").groupBy("id", "chrom", "start", "end", "strand").agg(F.count("*").alias("n"))
+
+
+@_query(f"""WITH {ctes("calls")}, c AS (SELECT *, unnest(range(1, len(string_split(block_sizes, ',')) + 1)) AS i FROM calls)
+SELECT chrom, kind, s, e, count(*) AS n FROM (SELECT chrom, 'transcript' AS kind, start_ + 1 AS s, end_ AS e FROM calls UNION ALL
+  SELECT chrom, 'exon', start_ + CAST(string_split(block_starts, ',')[i] AS BIGINT) + 1, start_ + CAST(string_split(block_starts, ',')[i] AS BIGINT) + CAST(string_split(block_sizes, ',')[i] AS BIGINT) FROM c) GROUP BY ALL""")
+def gff_rows(v):
+    """K10."""
+    lines = sinks.gff3_rows(v("calls").withColumn("name", F.lit("n")))
+    c = F.split("value", "\t")
+    return lines.select(c[0].alias("chrom"), c[2].alias("kind"), c[3].cast("long").alias("s"), c[4].cast("long").alias("e")).groupBy("chrom", "kind", "s", "e").agg(F.count("*").alias("n"))
+
+
+@_query(f"""{_HYBRID}
+SELECT chrom || chr(9) || start_ || chr(9) || end_ || chr(9) || chrom || ':' || start_ || '-' || end_ || ':' || strand || CASE isoform_label WHEN 'main' THEN '' ELSE '|' || isoform_label END
+  || chr(9) || max_score || chr(9) || strand || chr(9) || start_ || chr(9) || start_ || chr(9) || '0' || chr(9) || block_count || chr(9) || block_sizes || chr(9) || block_starts AS value FROM z""")
+def bed12_sink(v):
+    """K1, O1."""
+    return sinks.bed12_rows(_entries(v, "hybrid", 0))
+
+
+@_query(f"""{_CALLS}
+SELECT sample, chrom, strand, rs, re, max(CASE tool WHEN 'isocirc' THEN block_sizes END) AS iso_sizes, CAST(count(*) FILTER (WHERE tool = 'isocirc') AS INT) AS isocirc,
+  CAST(count(*) FILTER (WHERE tool = 'circnick') AS INT) AS circnick FROM best GROUP BY ALL""")
+def tool_flags(v):
+    """The per-caller columns of the confidence table."""
+    best = consensus.best(v("calls"), order=_ORDER)
+    wide = best.groupBy("sample", "chrom", "strand", "root_start", "root_end").pivot("tool", ["isocirc", "circnick"]).agg(F.first("block_sizes").alias("z"), F.count(F.lit(1)).alias("n"))
+    return wide.select("sample", "chrom", "strand", F.col("root_start").alias("rs"), F.col("root_end").alias("re"), F.col("isocirc_z").alias("iso_sizes"),
+                       F.coalesce("isocirc_n", F.lit(0)).cast("int").alias("isocirc"), F.coalesce("circnick_n", F.lit(0)).cast("int").alias("circnick"))
+
+
+@_query(f"""WITH RECURSIVE e AS (SELECT o_orderkey AS a, o_orderkey + 1 + o_custkey % 3 AS b FROM orders WHERE o_orderkey % 7 <> 0 AND o_orderkey % 11 <> 0),
+s AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+r AS (SELECT a AS node, a AS x FROM s UNION SELECT r.node, s.b FROM r JOIN s ON r.x = s.a)
+SELECT node, min(x) AS component FROM r GROUP BY node""")
+def sibling_components(v):
+    """G7, D14."""
+    return graph.connected_components(v("edges"))

@@ -78,6 +78,7 @@ SELECT 'chr' || CAST(p_partkey % 22 + 1 AS STRING) AS chrom, p_partkey * 1000 -
 FROM {part}""",
     "genome": """
 SELECT 'chr' || CAST(n_nationkey + 1 AS STRING) AS chrom, repeat(n_name || 'ACGTTGCAN', 200) AS sequence FROM {nation}""",
+    "edges": "SELECT o_orderkey AS a, o_orderkey + 1 + o_custkey % 3 AS b FROM {orders} WHERE o_orderkey % 7 <> 0 AND o_orderkey % 11 <> 0",
     "cigars": """
 SELECT 'q' || CAST(l_orderkey AS STRING) AS qname, 'c' || CAST(l_partkey AS STRING) AS rname, 80 + l_linenumber * 20 AS s, l_partkey % 60 + 180 AS jp,
        CAST(l_quantity AS INT) AS q, l_suppkey % 9 AS v

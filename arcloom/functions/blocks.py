@@ -87,7 +87,5 @@ def parse_junction_id(name: Column) -> Column:
     pattern, base = r"^(.*):(\d+)-(\d+):(.)$", F.element_at(F.split(name, r"\|"), 1)
     part = lambda i: F.regexp_extract(base, pattern, i)
     ok = base.rlike(pattern)
-    return F.when(
-        ok, F.struct(part(1).alias("chrom"), F.expr("1") * F.try_to_number(part(2), F.lit("9" * 18)).cast("long").alias("start"),
-                     F.try_to_number(part(3), F.lit("9" * 18)).cast("long").alias("end"), part(4).alias("strand")),
-    )
+    coords = [part(i).try_cast("long").alias(n) for i, n in ((2, "start"), (3, "end"))]
+    return F.when(ok, F.struct(part(1).alias("chrom"), *coords, part(4).alias("strand")))

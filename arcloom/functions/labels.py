@@ -27,7 +27,7 @@ def label(score: Column) -> Column:
 
 def whole(text: Column) -> Column:
     """A count given as text: blank, fractional or other text gives null."""
-    return F.expr("1") * text.try_cast("long")
+    return text.try_cast("long")
 
 
 def supporting_tools(flags: dict[str, Column]) -> Column:
