@@ -246,8 +246,9 @@ def linked_components(
        tokens of many sets come last, so passages that many documents share stay out of prefixes. In every
        token's list each set is paired with the list's centre only. Pairs must meet in the prefixes of the other
        orders as well, before whole sets are compared.
-    4. Lists that still hold several components give all pairs across components, so no link is lost; a
-       family that its centre has joined gives none.
+    4. Lists that still hold several components give the pairs across components that could still link, each at the
+       first token that its prefixes share: as nothing before that token is shared, the tokens after it on either side
+       bound the intersection. A family that its centre has joined gives none, and no link is lost.
     """
     spark = docs.sparkSession
     rows = written(_sets(docs, id_col, text_col, k), "sets")
@@ -294,14 +295,22 @@ def linked_components(
         part.select(F.col("node").alias("id"), "component"), "id", "left"
     ).withColumn("component", F.coalesce("component", "id"))
     open_ = own.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-    own = written(own.join(open_.select("token"), "token", "left_semi"), "open")
-    one = own.select("token", F.col("id").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("component").alias("ca"))
-    two = own.select("token", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("component").alias("cb"))
-    both = one.join(two, "token").where(
-        "a < b and ca <> cb and least(na, nb) * 100 >= greatest(na, nb) * %d "
-        "and (100 + %d) * (1 + least(na - 1 - pa, nb - 1 - pb) + least(pa, pb)) >= %d * (na + nb)" % (percent, percent, percent)
+    own = written(own, "shared")
+    before = own.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("pos", "token"))).alias("p"))
+    before = before.select("id", F.transform("p", lambda x: x["token"]).alias("prefix"))
+    ranked = own.join(open_.select("token"), "token", "left_semi").join(before, "id").withColumn(
+        "earlier", F.slice("prefix", F.lit(1), (F.array_position("prefix", F.col("token")) - 1).cast("int"))
     )
-    rest = written(both.select("a", "b").distinct(), "rest")
+    ranked = written(ranked.drop("prefix", "weight"), "open")
+    side = lambda x: ranked.select(
+        "token", F.col("id").alias(x), *[F.col(c).alias(f"{c[0]}{x}") for c in ("n", "pos", "component", "earlier")]
+    )
+    # the first token that two prefixes share: what stands before it on either side is not shared, nor anything else before
+    rest = side("a").join(side("b"), "token").where(
+        f"a < b and ca <> cb and least(na, nb) * 100 >= greatest(na, nb) * {percent} "
+        f"and {100 + percent} * (1 + least(na - 1 - pa, nb - 1 - pb)) >= {percent} * (na + nb) and not arrays_overlap(ea, eb)"
+    )
+    rest = written(rest.select("a", "b"), "rest")
     rest = rest.join(stars, ["a", "b"], "left_anti")
     more = _verify(rest, members, hot, percent, orders)
     part = connected_components(links.unionByName(written(more, "links")))
