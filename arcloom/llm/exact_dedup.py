@@ -65,17 +65,13 @@ def exact_groups(
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group of equal texts, all columns as they were.
 
-    The row with the smallest id stays; of rows that repeat this id with an equal text one stays.
+    The row with the smallest id stays; of rows that repeat this id with an equal text one stays. Where ids repeat or are
+    null, rows are told apart by their texts as well.
     """
-    marked = exact_groups(docs, id_col, text_col)
-    gone = marked.where("not kept").select(F.col("doc_id").alias("__gone"))
-    again = marked.where("kept and group_size > 1").groupBy("doc_id").count().where("count > 1")
-    again = written(again.select(F.col("doc_id").alias("__gone")), "again")
-    left = docs.join(small_side(written(gone.distinct(), "gone")), F.col(id_col).eqNullSafe(F.col("__gone")), "left_anti")
-    if again.isEmpty():
-        return left
-    once = F.col(id_col).eqNullSafe(F.col("__gone"))
-    return left.join(again, once, "left_anti").unionByName(
-        left.join(again, once, "left_semi").withColumn("__t", normalised(F.col(text_col)))
-        .dropDuplicates([id_col, "__t"]).drop("__t")
-    )
+    marked = written(exact_groups(docs, id_col, text_col).select("doc_id", "kept", "text_sha256"), "marked")
+    gone = marked.where("not kept").select(F.col("doc_id").alias("__gone"), F.col("text_sha256").alias("__sha"))
+    if marked.groupBy("doc_id").count().where("count > 1 or doc_id is null").isEmpty():
+        return docs.join(small_side(written(gone.select("__gone"), "gone")), F.col(id_col) == F.col("__gone"), "left_anti")
+    same = F.col(id_col).eqNullSafe(F.col("__gone")) & (F.col("__t") == F.col("__sha"))
+    named = docs.withColumn("__t", F.sha2(normalised(F.col(text_col)), 256))
+    return named.join(small_side(written(gone.distinct(), "gone")), same, "left_anti").dropDuplicates([id_col, "__t"]).drop("__t")

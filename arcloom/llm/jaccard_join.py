@@ -337,7 +337,7 @@ def _label(rows: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with the smallest id of each component; rows with a null id stay."""
+    """``docs`` with the smallest id of each component; rows with a null id stay, an id that goes takes all its rows along."""
     marked = linked_components(docs, id_col, text_col, **options)
     gone = written(marked.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct(), "gone")
     return docs.join(small_side(gone), F.col(id_col) == F.col("__gone"), "left_anti")
