@@ -8,8 +8,8 @@ from arcloom.config import DEFAULTS
 from arcloom.fixtures import ctes, view
 from arcloom.functions import blocks, labels
 from arcloom.operators import annotate, closure, crossrun, graph, hits, intervals, legacy, liftover, matrix, quant, scoring, sequences, votes
-from arcloom.plans import consensus
-from arcloom.sources import bed, callers, reference, sinks
+from arcloom.plans import annotation, consensus
+from arcloom.sources import bed, callers, lines, reference, sinks
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
@@ -837,3 +837,80 @@ SELECT node, min(x) AS component FROM r GROUP BY node""")
 def sibling_components(v):
     """G7, D14."""
     return graph.connected_components(v("edges"))
+
+
+_EXON = f"""{_TYPED.replace("WITH ", "WITH RECURSIVE ", 1)},
+sm AS (SELECT * FROM pf WHERE sample = 'S0' AND chrom = 'chr1' AND overlap_bp * 20 >= length_a * 19 AND overlap_bp * 20 >= length_b * 19),
+s AS (SELECT id_a AS a, id_b AS b FROM sm UNION SELECT id_b, id_a FROM sm),
+nd AS (SELECT id_a AS node FROM pf WHERE sample = 'S0' AND chrom = 'chr1' UNION SELECT id_b FROM pf WHERE sample = 'S0' AND chrom = 'chr1'),
+r AS (SELECT node, node AS x FROM nd UNION SELECT r.node, s.b FROM r JOIN s ON r.x = s.a),
+cm AS (SELECT node, min(x) AS component FROM r GROUP BY node)""".replace(
+    "SELECT a.sample, a.tool AS tool_a", "SELECT a.sample, a.chrom, a.tool AS tool_a")
+
+
+def _components(v):
+    typed = _typed(v).where("sample = 'S0' and chrom = 'chr1'")
+    return typed, legacy.exon_components(intervals.pair_overlaps(typed), 0.95)
+
+
+@_query(f"{_EXON} SELECT node, component FROM cm")
+def legacy_exon_components(v):
+    """One chromosome of one sample."""
+    return _components(v)[1]
+
+
+@_query(f"""{_EXON}, c AS (SELECT component, tool, rank, chrom, start_, end_, strand FROM cm JOIN t ON t.id = cm.node AND t.sample = 'S0' AND t.chrom = 'chr1'),
+g AS (SELECT component, count(DISTINCT tool) AS n_tools, string_agg(DISTINCT tool, ',' ORDER BY tool) AS tools,
+  min(struct_pack(a := rank, b := chrom, c := start_, d := end_, e := strand)) AS r FROM c GROUP BY 1)
+SELECT component, n_tools, tools, r.b AS chrom, r.c AS start_, r.d AS end_, r.e AS strand, '1' AS block_count, CAST(r.d - r.c AS VARCHAR) AS block_sizes,
+  {_BIN.format("n_tools")} AS score, {_LABEL.format(_BIN.format("n_tools"))} AS consensus FROM g""")
+def legacy_exon_scores(v):
+    """V13."""
+    typed, comps = _components(v)
+    return legacy.exon_group_scores(typed.drop("blocks"), comps, 4)
+
+
+@_query(f"""WITH {ctes("matrix_rows")}
+SELECT isoform_id, arg_max(kind, struct_pack(o := ord, s := sample, r := reads, k := kind)) AS kind FROM matrix_rows GROUP BY 1""")
+def confidence_lookup(v):
+    """The later line of an id counts."""
+    rows = v("matrix_rows").withColumn("ord", F.struct("ord", "sample", "reads", "kind"))
+    return lines.last_by_key(rows, "isoform_id", ["kind"])
+
+
+@_query(f"""WITH {ctes("segments")}
+SELECT count(DISTINCT qname) FILTER (WHERE aligner = 0) AS reads_first, count(DISTINCT qname) FILTER (WHERE aligner = 1) AS reads_second, count(DISTINCT qname) AS reads FROM segments""")
+def hit_statistics(v):
+    """A10."""
+    return hits.hit_statistics(v("segments"))
+
+
+@_query(f"{_FLAG} SELECT bsj_id, gap FROM fg WHERE flagged ORDER BY gap DESC, bsj_id LIMIT 20")
+def largest_gaps(v):
+    """The report of the twenty loci that fall shortest."""
+    return _flagged(v).where("flagged").orderBy(F.desc("gap"), "bsj_id").limit(20).select("bsj_id", "gap")
+
+
+@_query(f"""WITH {ctes("calls")},
+q AS (SELECT DISTINCT chrom, start_, end_, strand, chrom || ':' || start_ || '-' || end_ || ':' || strand AS id FROM calls WHERE sample = 'S0'),
+n AS (SELECT q.id, c.sample, c.start_ AS s, c.end_ AS e, c.tool, CAST(c.score AS INT) AS score FROM q JOIN calls c
+      ON q.chrom = c.chrom AND q.strand = c.strand AND abs(q.start_ - c.start_) <= 5 AND abs(q.end_ - c.end_) <= 5)
+SELECT id, sample, arg_min(tool, struct_pack(a := s, b := e, c := tool, d := score)) AS tool, arg_min(score, struct_pack(a := s, b := e, c := tool, d := score)) AS score FROM n GROUP BY ALL""")
+def crossrun_lookup(v):
+    """Per sample the first row within tolerance, own strand only."""
+    calls = v("calls").withColumn("score", F.col("score").cast("int"))
+    q = calls.where("sample = 'S0'").select("chrom", "start", "end", "strand").distinct().withColumn(
+        "id", blocks.junction_id(F.col("chrom"), F.col("start"), F.col("end"), F.col("strand")))
+    table = calls.select("sample", "chrom", "start", "end", "strand", F.struct("start", "end", "tool", "score").alias("ord"), F.struct("tool", "score").alias("info"))
+    return annotation.cross_run_lookup(q, table).select("id", "sample", "info.*")
+
+
+@_query(f"""{_CALLS}
+SELECT rs AS start_, chrom, strand, string_agg(DISTINCT tool, ',' ORDER BY tool) AS tools, count(DISTINCT sample) AS n_samples FROM j GROUP BY rs, chrom, strand""")
+def tool_union(v):
+    """Callers over all samples."""
+    calls = v("calls")
+    roots = closure.closure(calls, ["sample", "chrom", "strand"], DEFAULTS.bsj_tolerance)
+    rows = calls.join(roots, ["sample", "chrom", "strand", "start", "end"])
+    return rows.groupBy(F.col("root_start").alias("start"), "chrom", "strand").agg(
+        F.array_join(F.array_sort(F.collect_set("tool")), ",").alias("tools"), F.count_distinct("sample").alias("n_samples"))

@@ -123,3 +123,9 @@ def classify_exclusive(bam: DataFrame, psl: DataFrame, joins: DataFrame, p: Para
     """Exclusive assignment over both aligners' segments pooled and summed: ``qname, rname``."""
     pooled = bam.select("qname", "rname", "s", "e").unionByName(psl.select("qname", "rname", "s", "e"))
     return exclusive(score_coords(pooled, joins, p))
+
+
+def hit_statistics(hits: DataFrame) -> DataFrame:
+    """Distinct reads by aligner (column ``aligner``) and in all, as one row."""
+    per = lambda a: F.count_distinct(F.when(F.col("aligner") == a, F.col("qname")))
+    return hits.agg(per(0).alias("reads_first"), per(1).alias("reads_second"), F.count_distinct("qname").alias("reads"))

@@ -42,3 +42,9 @@ def without_header(lines: DataFrame, n: int = 1) -> DataFrame:
         first = lines.groupBy("file").agg(F.min("ord").alias("first"))
         return lines.join(F.broadcast(first), "file").where("ord > first").drop("first")  # one row per file
     raise ValueError("one header line")
+
+
+def last_by_key(rows: DataFrame, key: str, columns: list[str], order: str = "ord") -> DataFrame:
+    """One row per key: where a key repeats, the later line counts."""
+    last = F.max_by(F.struct(*columns), order)
+    return rows.groupBy(key).agg(last.alias("x")).select(key, "x.*")
