@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arcloom.llm.text import ALNUM, hash_words, mix, passes, small_batches, word_bounds, words
+from arcloom.llm.text import ALNUM, bounded, hash_words, mix, passes, small_batches, word_bounds, words
 
 #: Words of a window; an item of fewer words is one window.
 WINDOW = 10
@@ -194,7 +194,7 @@ def find_hits(
     Documents are scanned once for each block of ``block_words`` item words and never shuffled, unless there are
     several blocks: then the blocks' hits meet by document.
     """
-    spark = docs.sparkSession
+    spark = bounded(docs).sparkSession
     found = []
     for block in _blocks(items, item_id_col, item_text_col, block_words):
         shared, key = spark.sparkContext.broadcast(block), uuid.uuid4().hex
@@ -261,7 +261,7 @@ def clean_documents(
     left; a document of which more than ``max_coverage`` of the words are hit is dropped. ``chars_col``, if there
     is one, gets the new number of code points. Documents without hits stay as they are, null texts too.
     """
-    spark, schema, names = docs.sparkSession, docs.schema, docs.columns
+    spark, schema, names = bounded(docs).sparkSession, docs.schema, docs.columns
     chars = chars_col if chars_col in names else None
     out = docs
     for block in _blocks(items, item_id_col, item_text_col, block_words):

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arcloom.llm.text import small_batches
+from arcloom.llm.text import bounded, small_batches
 from arcloom.llm.url_filter import host_of
 from arcloom.storage import small_side, written
 
@@ -290,7 +290,7 @@ def extract_pages(
     page order joined by one line feed; empty if there is none; ``n_chars`` counts its code points. Null pages
     count as empty, null urls have no host and no template. Rows may repeat; other columns are not read.
     """
-    spark = pages.sparkSession
+    spark = bounded(pages).sparkSession
     named = pages.select(
         F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"),
         host_of(F.col(url_col).cast("string")).alias("host"),

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arcloom.llm.text import NOT_SPACE, mix, small_batches, words
+from arcloom.llm.text import NOT_SPACE, bounded, mix, small_batches, words
 from arcloom.operators.graph import connected_components
 from arcloom.storage import small_side, written
 
@@ -250,7 +250,7 @@ def linked_components(
        first token that its prefixes share: as nothing before that token is shared, the tokens after it on either side
        bound the intersection. A family that its centre has joined gives none, and no link is lost.
     """
-    spark = docs.sparkSession
+    spark = bounded(docs).sparkSession
     rows = written(_sets(docs, id_col, text_col, k), "sets")
     if id_col != "__node" and _unnamed(rows):  # rows named by what they hold; then the smallest id of each component
         named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).withColumn(

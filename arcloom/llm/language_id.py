@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arcloom.llm.text import passes, small_batches, word_bounds
+from arcloom.llm.text import bounded, passes, small_batches, word_bounds
 
 #: Documents of one language that the word model learns from, about: a share of them chosen by a hash of the id.
 MAX_TRAIN_DOCS = 4_000
@@ -191,6 +191,7 @@ def train(
         return pa.table({"lang": table.column("lang")[:1], "counts": pa.array([total.tobytes()], pa.binary())})
 
     picked = _sample(docs, id_col, lang_col, most).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("t"))
+    bounded(docs)
     rows = (
         picked.repartition(8).mapInArrow(run, "lang string, counts binary")
         .groupBy("lang").applyInArrow(add, "lang string, counts binary").collect()  # one row per language
@@ -216,7 +217,7 @@ def label(
     first by name) and ``score`` its share of them. Texts that are null or have no letter get ``und`` and 0. A
     span is (lang, first word, end word); words are runs of letters. Ids may repeat or be null: rows count alone.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = bounded(docs).sparkSession.sparkContext.broadcast(model)
     kind = "doc_id long, lang_pred string, score double"
     kind += ", spans array<struct<lang:string,first:int,end:int>>" * spans
 
@@ -269,7 +270,7 @@ def keep_identified(
 
     Texts that are null or have no letter go.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = bounded(docs).sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         own = shared.value

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from arcloom.llm.chunk_cache import ChunkCache
-from arcloom.llm.text import small_batches
+from arcloom.llm.text import bounded, small_batches
 
 SPACE = "▁"
 RUN = re.compile(" *[^ ]+| +")
@@ -21,7 +21,7 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 
 #: Distinct chunks whose ids a worker remembers before it starts afresh.
-CACHE_CHUNKS = 200_000
+CACHE_CHUNKS = 100_000
 #: Threads of one worker's encoder.
 THREADS = 2
 
@@ -282,7 +282,7 @@ def encode_documents(docs: DataFrame, model_path: str, text_col: str = "text", i
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
             yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), lists], names=[*names, ids_col])
 
-    return docs.select(*[f"`{n}`" for n in names]).mapInArrow(run, schema)
+    return bounded(docs).select(*[f"`{n}`" for n in names]).mapInArrow(run, schema)
 
 
 def decode_documents(docs: DataFrame, model_path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
@@ -302,7 +302,7 @@ def decode_documents(docs: DataFrame, model_path: str, ids_col: str = "ids", out
                     [*(s.column(n) for n in names), pa.array(texts, pa.string())], names=[*names, out_col]
                 )
 
-    return docs.select(*[f"`{n}`" for n in names]).mapInArrow(run, schema)
+    return bounded(docs).select(*[f"`{n}`" for n in names]).mapInArrow(run, schema)
 
 
 def digest_documents(
@@ -332,7 +332,7 @@ def digest_documents(
                 names=["doc_id", "n_ids", "ids_crc32", "n_byte_ids", "round_trip", "parity"],
             )
 
-    return docs.select(id_col, text_col).mapInArrow(
+    return bounded(docs).select(id_col, text_col).mapInArrow(
         run, "doc_id long, n_ids long, ids_crc32 long, n_byte_ids long, round_trip boolean, parity boolean"
     )
 
@@ -358,4 +358,4 @@ def tokenize_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id",
                 [b.column(id_col).cast(pa.int64()), lists, pa.array(lens), same], names=["doc_id", "ids", "n_ids", "round_trip"]
             )
 
-    return docs.select(id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>, n_ids long, round_trip boolean")
+    return bounded(docs).select(id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>, n_ids long, round_trip boolean")

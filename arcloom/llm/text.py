@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 #: Bytes of text that one numpy pass handles; a longer document makes a pass of its own.
 PASS_BYTES = 1 << 20
@@ -94,8 +97,34 @@ def words(col: pa.Array, table: np.ndarray = NOT_SPACE) -> Iterator[tuple[int, i
         yield i, j, hash_words(data, starts, ends), np.searchsorted(starts, rows)
 
 
+#: Rows of an Arrow batch between the JVM and a worker; at some thousand bytes a text that is a few MB.
+BATCH_ROWS = 1_000
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """``df``, after lowering the session's rows per Arrow batch to BATCH_ROWS: texts are long, the default is for numbers."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key, "10000")) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return df
+
+
+def tidy() -> None:
+    """Give memory that a finished partition has freed back to the system; workers are kept and used again."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only where the C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def small_batches(batches: Iterator[pa.RecordBatch], column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most about ``most`` bytes of ``column``, one row at least."""
+    try:
+        yield from _split(batches, column, most)
+    finally:
+        tidy()
+
+
+def _split(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
     for b in batches:
         if not b.num_rows:
             continue

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arcloom.llm.decontaminate import pair_hash
-from arcloom.llm.text import ALNUM, hash_words, passes, small_batches, word_bounds
+from arcloom.llm.text import ALNUM, bounded, hash_words, passes, small_batches, word_bounds
 from arcloom.storage import small_side, written
 
 #: Labelled documents of each class that the models learn from, about: a share chosen by a hash of the id.
@@ -164,7 +164,7 @@ def train(
     most: int = MAX_TRAIN_DOCS,
 ) -> Models:
     """Learn from the documents that ``labels`` marks 0 or 1, about ``most`` of each class; other rows teach nothing."""
-    spark = docs.sparkSession
+    spark = bounded(docs).sparkSession
     known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("toxic")
     )
@@ -206,7 +206,7 @@ def score(docs: DataFrame, models: Models, id_col: str = "doc_id", text_col: str
     ``predicted`` 1 from 0.5 on. Null and empty texts have ratio 0. Rows that repeat an id are scored by
     themselves; ids may be null.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(models)
+    shared = bounded(docs).sparkSession.sparkContext.broadcast(models)
 
     def run(batches):
         own = shared.value
