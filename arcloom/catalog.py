@@ -534,7 +534,7 @@ def finalize_overlay(v):
 
 
 @_query(f"""{_LOCI}
-SELECT rp.bsj_id, coalesce(t.remap_count, 0) AS nanocirc_quant_reads, CASE WHEN t.bsj_id IS NULL THEN '' ELSE 'tier1' END AS quant_tier,
+SELECT rp.bsj_id, coalesce(t.remap_count, 0) AS quant_reads, CASE WHEN t.bsj_id IS NULL THEN '' ELSE 'tier1' END AS quant_tier,
   CASE WHEN t.bsj_id IS NULL THEN '' ELSE 'false' END AS low_confidence FROM rp LEFT JOIN tier1 t ON t.bsj_id = rp.representative""")
 def append_counts(v):
     """J9, C14."""

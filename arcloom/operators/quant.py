@@ -105,7 +105,7 @@ def append_counts(rows: DataFrame, cluster_map: DataFrame, counts: DataFrame) ->
     rep = rows.join(cluster_map, "bsj_id", "left").withColumn("representative", F.coalesce("representative", "bsj_id"))
     c = counts.select(F.col("bsj_id").alias("representative"), "remap_count", "quant_tier", "low_confidence")
     return rep.join(c, "representative", "left").withColumns({
-        "nanocirc_quant_reads": F.coalesce("remap_count", F.lit(0).cast("long")), "quant_tier": F.coalesce("quant_tier", F.lit("")),
+        "quant_reads": F.coalesce("remap_count", F.lit(0).cast("long")), "quant_tier": F.coalesce("quant_tier", F.lit("")),
         "low_confidence": F.coalesce(F.col("low_confidence").cast("string"), F.lit("")),
     }).drop("remap_count", "representative")
 
