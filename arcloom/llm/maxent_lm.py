@@ -7,16 +7,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arcloom.llm.text import NOT_SPACE, hash_words, mix, passes, small_batches, word_bounds
+from arcloom.llm.text import NOT_SPACE, bounded, hash_words, mix, passes, small_batches, word_bounds
 from arcloom.storage import release, written
 
 #: Word classes: short words by their hash, longer ones by the hash of their last bytes, and one for the end.
-SHORT_CLASSES, LONG_CLASSES = 40, 55
+SHORT_CLASSES, LONG_CLASSES = 12, 19
 CLASSES = SHORT_CLASSES + LONG_CLASSES + 1
 END_CLASS = CLASSES - 1
 SHORT_BYTES, TAIL_BYTES = 3, 2
 #: Slots of hashed features, as a power of two. A class weight is kept for each slot: 4 bytes * CLASSES * slots.
-SLOT_BITS = 13
+SLOT_BITS = 14
 #: Passes over the training documents. In each, every partition starts from the shared weights and the results are
 #: averaged by tokens.
 ROUNDS = 1
@@ -180,7 +180,7 @@ def score_documents(train: DataFrame, docs: DataFrame, id_col: str = "doc_id", t
     The common words' counts are broadcast (a fixed number of them); a document's other words join their
     counts by hash. None of these is frequent, so no key is hot, and sums come back by row with partial sums.
     """
-    spark = docs.sparkSession
+    spark = bounded(docs).sparkSession
     weights = spark.sparkContext.broadcast(fit(train, text_col))
     counts = written(count_words(train, text_col), "counts")
     totals = counts.groupBy("kind").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()  # one row per class
