@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from arcloom.llm.decontaminate import pair_hash
 from arcloom.llm.text import ALNUM, bounded, hash_words, passes, small_batches, word_bounds
-from arcloom.storage import small_side, written
+from arcloom.storage import release, small_side, written
 
 #: Labelled documents of each class that the models learn from, about: a share chosen by a hash of the id.
-MAX_TRAIN_DOCS = 6_000
+MAX_TRAIN_DOCS = 3_000
 #: Of them, one in so many is held back to turn likelihood ratios into probabilities.
 CALIBRATE = 4
 DISCOUNT = 0.75
@@ -186,7 +186,11 @@ def train(
         F.count_if(F.col("c0") > 0).alias("n0"), F.count_if(F.col("c1") > 0).alias("n1"),
     )
     often = pairs.where("c0 + c1 > 1").select("pair", "v", "c0", "c1")
-    models = Models(uni.toArrow(), context.toArrow(), often.toArrow())  # slots and pairs of the bounded sample
+    tables = []
+    for table in (uni, context, often):  # slots and pairs of the bounded sample
+        tables.append(table.toArrow())
+        release(spark)
+    models = Models(*tables)
     held = _features(text.where(apart), spark.sparkContext.broadcast(models), dict(text.dtypes)["doc_id"])
     rows = held.join(chosen, "doc_id").select("x0", "x1", "toxic").toArrow().to_pandas()
     if len(rows) and rows["toxic"].nunique() == 2:
