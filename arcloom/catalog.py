@@ -848,14 +848,23 @@ cm AS (SELECT node, min(x) AS component FROM r GROUP BY node)""".replace(
     "SELECT a.sample, a.tool AS tool_a", "SELECT a.sample, a.chrom, a.tool AS tool_a")
 
 
-def _components(v):
-    typed = _typed(v).where("sample = 'S0' and chrom = 'chr1'")
-    return typed, legacy.exon_components(intervals.pair_overlaps(typed), 0.95)
+_EXON_PART = "sample = 'S0' and chrom = 'chr1'"
+
+
+def _components(v, part="true"):
+    typed = _typed(v).where(part)
+    return typed, legacy.exon_components(intervals.pair_overlaps(typed), 0.95, ("sample",))
 
 
 @_query(f"{_EXON} SELECT node, component FROM cm")
 def legacy_exon_components(v):
-    """One chromosome of one sample."""
+    """One chromosome of one sample, as its SQL; `legacy_exon_components_all` has every call."""
+    return _components(v, _EXON_PART)[1].drop("sample")
+
+
+@_query()
+def legacy_exon_components_all(v):
+    """All samples and chromosomes; a recursive SQL over them is too slow, tests hold it against brute force."""
     return _components(v)[1]
 
 
@@ -865,9 +874,16 @@ g AS (SELECT component, count(DISTINCT tool) AS n_tools, string_agg(DISTINCT too
 SELECT component, n_tools, tools, r.b AS chrom, r.c AS start_, r.d AS end_, r.e AS strand, '1' AS block_count, CAST(r.d - r.c AS VARCHAR) AS block_sizes,
   {_BIN.format("n_tools")} AS score, {_LABEL.format(_BIN.format("n_tools"))} AS consensus FROM g""")
 def legacy_exon_scores(v):
-    """V13."""
+    """One chromosome of one sample, as its SQL; `legacy_exon_scores_all` has every call."""
+    typed, comps = _components(v, _EXON_PART)
+    return legacy.exon_group_scores(typed.drop("blocks"), comps, 4, ("sample",)).drop("sample")
+
+
+@_query()
+def legacy_exon_scores_all(v):
+    """All samples and chromosomes."""
     typed, comps = _components(v)
-    return legacy.exon_group_scores(typed.drop("blocks"), comps, 4)
+    return legacy.exon_group_scores(typed.drop("blocks"), comps, 4, ("sample",))
 
 
 @_query(f"""WITH {ctes("matrix_rows")}
