@@ -907,20 +907,33 @@ def largest_gaps(v):
     return _flagged(v).where("flagged").orderBy(F.desc("gap"), "bsj_id").limit(20).select("bsj_id", "gap")
 
 
-@_query(f"""WITH {ctes("calls")},
+_LOOKUP = f"""WITH {ctes("calls")},
 q AS (SELECT DISTINCT chrom, start_, end_, strand, chrom || ':' || start_ || '-' || end_ || ':' || strand AS id FROM calls WHERE sample = 'S0'),
 n AS (SELECT q.id, c.sample, c.start_ AS s, c.end_ AS e, c.tool, CAST(c.score AS INT) AS score FROM q JOIN calls c
       ON q.chrom = c.chrom AND q.strand = c.strand AND abs(q.start_ - c.start_) <= 5 AND abs(q.end_ - c.end_) <= 5)
-SELECT id, sample, arg_min(tool, struct_pack(a := s, b := e, c := tool, d := score)) AS tool, arg_min(score, struct_pack(a := s, b := e, c := tool, d := score)) AS score FROM n GROUP BY ALL""")
-def crossrun_lookup(v):
-    """Per sample the first row within tolerance, own strand only."""
+SELECT id, sample, arg_min(tool, struct_pack(a := s, b := e, c := tool, d := score)) AS tool, arg_min(score, struct_pack(a := s, b := e, c := tool, d := score)) AS score FROM n GROUP BY ALL"""
+
+
+def _lookup(v, part="true"):
     calls = v("calls").withColumn("score", F.col("score").cast("int"))
-    q = calls.where("sample = 'S0'").select("chrom", "start", "end", "strand").distinct().withColumn(
+    q = calls.where(part).select("chrom", "start", "end", "strand").distinct().withColumn(
         "id", blocks.junction_id(F.col("chrom"), F.col("start"), F.col("end"), F.col("strand")))
     table = calls.select("sample", "chrom", "start", "end", "strand", F.struct("start", "end", "tool", "score").alias("ord"), F.struct("tool", "score").alias("info"))
     return annotation.cross_run_lookup(q, table).select("id", "sample", "info.*")
 
 
+@_query(_LOOKUP)
+def crossrun_lookup(v):
+    """Per sample the first row within tolerance, own strand only; the loci of one sample, as its SQL."""
+    return _lookup(v, "sample = 'S0'")
+
+
+@_query(_LOOKUP.replace(" FROM calls WHERE sample = 'S0'", " FROM calls"))
+def crossrun_lookup_all(v):
+    """The loci of all samples."""
+    return _lookup(v)
+
+
 @_query(f"""{_CALLS}
 SELECT rs AS start_, chrom, strand, string_agg(DISTINCT tool, ',' ORDER BY tool) AS tools, count(DISTINCT sample) AS n_samples FROM j GROUP BY rs, chrom, strand""")
 def tool_union(v):

@@ -66,3 +66,9 @@ def test_exon_components_of_all_calls(spark, duck):
     for (s, node), c in want.items():
         tools.setdefault((s, c), set()).add(node.split("/")[0])
     assert {k: r["tools"] for k, r in scores.items()} == {k: ",".join(sorted(t)) for k, t in tools.items()}
+
+
+def test_lookup_covers_the_loci_of_all_samples(spark, duck):
+    want = duck.sql(f"WITH {catalog.ctes('calls')} SELECT DISTINCT chrom || ':' || start_ || '-' || end_ || ':' || strand FROM calls").fetchall()
+    got = catalog.QUERIES["crossrun_lookup_all"](spark, DATA).select("id").distinct().collect()
+    assert {r["id"] for r in got} == {w[0] for w in want} and "WHERE sample" not in catalog.ORACLE_SQL["crossrun_lookup_all"]
