@@ -11,16 +11,19 @@ from arcloom.llm.text import NOT_SPACE, bounded, hash_words, mix, passes, small_
 from arcloom.storage import release, written
 
 #: Word classes: short words by their hash, longer ones by the hash of their last bytes, and one for the end.
-SHORT_CLASSES, LONG_CLASSES = 12, 19
+SHORT_CLASSES, LONG_CLASSES = 40, 55
 CLASSES = SHORT_CLASSES + LONG_CLASSES + 1
 END_CLASS = CLASSES - 1
 SHORT_BYTES, TAIL_BYTES = 3, 2
-#: Slots of hashed features, as a power of two. A class weight is kept for each slot: 4 bytes * CLASSES * slots.
-SLOT_BITS = 14
-#: Passes over the training documents. In each, every partition starts from the shared weights and the results are
-#: averaged by tokens.
-ROUNDS = 1
+#: Slots of hashed features, as powers of two: at least, and at most. Between them there is one for every word of the
+#: vocabulary. A class weight is kept for each slot (4 bytes * CLASSES * slots, 50 MB at most), which every worker holds.
+SLOT_BITS, MOST_SLOT_BITS = 14, 17
+#: Passes over the training documents. In each, every partition starts from the shared weights, and each slot's results
+#: are averaged by the tokens that had it.
+ROUNDS = 2
 RATE, BATCH = 0.25, 4096
+#: Partitions of the input that learn together, where there are enough of them for all cores: each learner writes its slots.
+TOGETHER = 4
 #: Most frequent words whose counts every executor holds; all other words meet their counts in a join.
 COMMON_WORDS = 1 << 17
 #: Added to every count, in the base as in the model.
@@ -44,7 +47,12 @@ def tokens(col: pa.Array):
         yield i, at + np.arange(len(at)), np.insert(w, where, _END), np.insert(kind, where, END_CLASS)
 
 
-def features(rows: np.ndarray, w: np.ndarray, kind: np.ndarray) -> np.ndarray:
+def slot_bits(vocabulary: int) -> int:
+    """The slots for so many words, as a power of two."""
+    return min(max(int(vocabulary).bit_length(), SLOT_BITS), MOST_SLOT_BITS)
+
+
+def features(rows: np.ndarray, w: np.ndarray, kind: np.ndarray, bits: int = SLOT_BITS) -> np.ndarray:
     """Slots of each token's features: the classes of the last one, two and three tokens, the last word, the word before it
     (a skip), and both words."""
     n = len(w)
@@ -64,7 +72,7 @@ def features(rows: np.ndarray, w: np.ndarray, kind: np.ndarray) -> np.ndarray:
         back_w[1] ^ _SALT[4],
         mix(back_w[0]) + back_w[1],
     ]
-    return np.stack([(mix(p) >> np.uint64(64 - SLOT_BITS)).astype(np.int32) for p in parts], 1)
+    return np.stack([(mix(p) >> np.uint64(64 - bits)).astype(np.int32) for p in parts], 1)
 
 
 def _log_softmax(weights: np.ndarray, slots: np.ndarray) -> np.ndarray:
@@ -88,60 +96,70 @@ def _step(weights: np.ndarray, squares: np.ndarray, slots: np.ndarray, kind: np.
     weights[used] -= RATE * grad / np.sqrt(squares[used] + 1.0)
 
 
-def fit(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> np.ndarray:
+def fit(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, bits: int = SLOT_BITS) -> np.ndarray:
     """Class weights (slot x class), learned from every row's whole text.
 
-    Each partition makes gradient updates on its own copy of the weights and emits the copy times its tokens; the
-    sums are taken by Spark in blocks of slots, so the driver gets one weight table per round, whatever the input.
+    Each partition makes gradient updates on its own copy of the weights and emits each slot it met times the tokens
+    that had it, so a slot that few partitions meet keeps what they learned. The sums are taken by Spark in blocks of
+    slots, so the driver gets one weight table per round, whatever the input.
     """
-    spark, n = docs.sparkSession, 1 << SLOT_BITS
+    spark, n = docs.sparkSession, 1 << bits
     weights, blocks = np.zeros((n, CLASSES), np.float32), 16
-    for _ in range(rounds):
-        shared = spark.sparkContext.broadcast(weights)
+    parts = docs.rdd.getNumPartitions()
+    learners = docs.select(F.col(text_col).alias("t")).coalesce(max(1, parts // TOGETHER, min(parts, spark.sparkContext.defaultParallelism)))
+    for k in range(rounds):
+        shared = spark.sparkContext.broadcast(weights if k else None)
 
         def run(batches, shared=shared):
-            own, squares, seen = shared.value.copy(), np.zeros((n, CLASSES), np.float32), 0
+            own = np.zeros((n, CLASSES), np.float32) if shared.value is None else shared.value.copy()
+            squares, met = np.zeros((n, CLASSES), np.float32), np.zeros(n, np.int64)
             for b in small_batches(batches, "t", 2 << 20):
                 for _, rows, w, kind in tokens(b.column("t")):
-                    slots = features(rows, w, kind)
+                    slots = features(rows, w, kind, bits)
                     for a in range(0, len(w), BATCH):
                         _step(own, squares, slots[a : a + BATCH], kind[a : a + BATCH])
-                    seen += len(w)
-            if seen:
-                part = n // blocks
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(range(blocks), pa.int32()), pa.array([seen] * blocks, pa.int64()),
-                        pa.array([(own[i * part : (i + 1) * part] * np.float32(seen)).tobytes() for i in range(blocks)], pa.binary()),
-                    ],
-                    names=["block", "seen", "sums"],
-                )
+                    met += np.bincount(slots.ravel(), minlength=n)
+            del squares
+            part = n // blocks
+            for i in range(blocks):
+                at = np.flatnonzero(met[i * part : (i + 1) * part])
+                if len(at):
+                    times = met[i * part + at]
+                    sums = own[i * part + at] * times[:, None].astype(np.float32)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([i], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in (at.astype(np.int32), times, sums))],
+                        names=["block", "slots", "met", "sums"],
+                    )
 
         def add(batches):
-            sums: dict[int, list] = {}
+            found: dict[int, list] = {}
             for b in batches:
-                for block, seen, raw in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                    x = sums.setdefault(block, [0, 0.0])
-                    x[0] += seen
-                    x[1] = x[1] + np.frombuffer(raw, np.float32).astype(np.float64)
-            if sums:
+                for block, *raw in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                    x = found.setdefault(block, [np.zeros(n // blocks, np.int64), np.zeros((n // blocks, CLASSES))])
+                    at, times, sums = (np.frombuffer(r, kind) for r, kind in zip(raw, (np.int32, np.int64, np.float32), strict=True))
+                    x[0][at] += times
+                    x[1][at] += sums.reshape(-1, CLASSES)
+            for block, (times, sums) in found.items():
+                at = np.flatnonzero(times)
+                mean = (sums[at] / times[at, None]).astype(np.float32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(sums), pa.int32()), pa.array([x[0] for x in sums.values()], pa.int64()),
-                     pa.array([x[1].astype(np.float32).tobytes() for x in sums.values()], pa.binary())],
-                    names=["block", "seen", "sums"],
+                    [pa.array([block], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in (at.astype(np.int32), times[at], mean))],
+                    names=["block", "slots", "met", "sums"],
                 )
 
-        kind = "block int, seen long, sums binary"
+        kind = "block int, slots binary, met binary, sums binary"
         rows = (
-            docs.select(F.col(text_col).alias("t")).mapInArrow(run, kind)
+            learners.mapInArrow(run, kind)
             .repartition(blocks, "block").mapInArrow(add, kind).collect()  # one row per block
         )
         if not rows:
             break
-        seen = rows[0]["seen"]
-        weights = np.concatenate([
-            np.frombuffer(bytes(r["sums"]), np.float32).reshape(-1, CLASSES) / seen for r in sorted(rows, key=lambda r: r["block"])
-        ]).astype(np.float32)
+        weights = weights.copy()
+        for r in rows:
+            at = r["block"] * (n // blocks) + np.frombuffer(bytes(r["slots"]), np.int32)
+            weights[at] = np.frombuffer(bytes(r["sums"]), np.float32).reshape(-1, CLASSES)
+        shared.destroy()
+        del rows, run
         release(spark)
     return weights
 
@@ -181,13 +199,14 @@ def score_documents(train: DataFrame, docs: DataFrame, id_col: str = "doc_id", t
     counts by hash. None of these is frequent, so no key is hot, and sums come back by row with partial sums.
     """
     spark = bounded(docs).sparkSession
-    weights = spark.sparkContext.broadcast(fit(train, text_col))
     counts = written(count_words(train, text_col), "counts")
     totals = counts.groupBy("kind").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()  # one row per class
     n_of, v_of = np.zeros(CLASSES), np.zeros(CLASSES)
     for r in totals:
         n_of[r["kind"]], v_of[r["kind"]] = r["n"], r["v"]
     n_all, v_all = int(n_of.sum()), int(v_of.sum())
+    bits = slot_bits(v_all)
+    weights = spark.sparkContext.broadcast(fit(train, text_col, bits=bits))
     top = counts.orderBy(F.desc("n"), "h").limit(COMMON_WORDS).select("h", "n").toArrow()
     key, n = top.column("h").to_numpy().view(np.uint64), top.column("n").to_numpy()
     order = np.argsort(key)
@@ -201,7 +220,7 @@ def score_documents(train: DataFrame, docs: DataFrame, id_col: str = "doc_id", t
         for b in small_batches(batches, "t", 2 << 20):
             out: dict[str, list] = {c: [] for c in ("n_tokens", "known", "logs", "classes", "tail", "times")}
             for _, rows, w, kind in tokens(b.column("t")):
-                slots = features(rows, w, kind)
+                slots = features(rows, w, kind, bits)
                 model = np.empty(len(w))
                 for a in range(0, len(w), BATCH):
                     p = _log_softmax(w_table, slots[a : a + BATCH])

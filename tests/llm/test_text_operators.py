@@ -343,3 +343,23 @@ def test_class_probabilities_sum_to_one():
         assert rows.tolist() == [0, 5, 6] and kind[4] == kind[5] == maxent_lm.END_CLASS
         p = np.exp(maxent_lm._log_softmax(w, maxent_lm.features(rows, h, kind)))
         assert p.sum(1) == pytest.approx(1, abs=1e-4)
+
+
+def test_slots_keep_what_few_partitions_learn(spark):
+    """A pair of words that only one of nine partitions holds is learned as if that partition were alone."""
+    rare, rest = ["alpha beta"] * 40, ["w%d x%d y%d" % (i % 7, i % 5, i % 3) for i in range(4000)]
+    both = spark.createDataFrame([(t, 0) for t in rare] + [(t, 1 + i % 8) for i, t in enumerate(rest)], "text string, p int")
+    both = both.repartitionByRange(9, "p")
+    for _, rows, w, kind in maxent_lm.tokens(pa.array(["alpha beta"], pa.string())):
+        slots = maxent_lm.features(rows, w, kind)
+    alone, shared = (maxent_lm.fit(d, rounds=1) for d in (both.where("p = 0").coalesce(1), both))
+    own = slots[1, 5]  # the slot of the pair before the end token is not met elsewhere
+    assert np.abs(alone[own]).max() > 0 and shared[own] == pytest.approx(alone[own], abs=1e-5)
+
+
+def test_language_model_beats_its_base(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text")
+    held = language_id.fold(F.col("doc_id"), 10) == 0
+    r = maxent_lm.score_documents(docs.where(~held), docs.where(held)).agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
+    assert r[0] > r[1], (r[0] - r[1]) / r[2]
+    assert maxent_lm.CLASSES == 96 and maxent_lm.ROUNDS > 1 and maxent_lm.slot_bits(100_000) == 17 > maxent_lm.slot_bits(10) == maxent_lm.SLOT_BITS
