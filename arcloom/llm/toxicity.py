@@ -185,14 +185,15 @@ def train(
         F.sum("c0").alias("c0"), F.sum("c1").alias("c1"),
         F.count_if(F.col("c0") > 0).alias("n0"), F.count_if(F.col("c1") > 0).alias("n1"),
     )
-    often = pairs.where("c0 + c1 > 1").select("pair", "v", "c0", "c1")
     tables = []
-    for table in (uni, context, often):  # slots and pairs of the bounded sample
+    for table in (uni, context, pairs.select("pair", "v", "c0", "c1")):  # slots and pairs of the bounded sample
         tables.append(table.toArrow())
         release(spark)
     models = Models(*tables)
-    held = _features(text.where(apart), spark.sparkContext.broadcast(models), dict(text.dtypes)["doc_id"])
+    shared = spark.sparkContext.broadcast(models)
+    held = _features(text.where(apart), shared, dict(text.dtypes)["doc_id"])
     rows = held.join(chosen, "doc_id").select("x0", "x1", "toxic").toArrow().to_pandas()
+    shared.destroy()  # the calibrated models are broadcast again
     if len(rows) and rows["toxic"].nunique() == 2:
         y = rows["toxic"].to_numpy(np.float64)
         weight = np.where(y == 1, sizes.get(1, 0) / max(1, y.sum()), sizes.get(0, 0) / max(1, (1 - y).sum()))

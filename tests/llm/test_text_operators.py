@@ -363,3 +363,18 @@ def test_language_model_beats_its_base(spark):
     r = maxent_lm.score_documents(docs.where(~held), docs.where(held)).agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
     assert r[0] > r[1], (r[0] - r[1]) / r[2]
     assert maxent_lm.CLASSES == 96 and maxent_lm.ROUNDS > 1 and maxent_lm.slot_bits(100_000) == 17 > maxent_lm.slot_bits(10) == maxent_lm.SLOT_BITS
+
+
+def test_toxicity_keeps_pairs_seen_once(spark):
+    rows = [(i, "red apple green pear" if i % 2 else "red pear green apple") for i in range(40)]
+    docs = table(spark, rows + [(i, f"once{i} after{i}") for i in range(200, 240)])
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    models = toxicity.train(docs, labels)
+    pair = lambda t: next(toxicity._slots(pa.array([t], pa.string())))
+    kept = 0
+    for i in range(200, 240):
+        _, _, h, before, *_ = pair(f"once{i} after{i}")
+        key = toxicity.pair_hash(before, h)[1]
+        at = min(np.searchsorted(models.pairs, key), len(models.pairs) - 1)
+        kept += models.pairs[at] == key and models.found[i % 2, at] == pytest.approx(1 - toxicity.DISCOUNT)
+    assert kept > 20  # the others are held back for calibration
