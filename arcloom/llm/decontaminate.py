@@ -10,8 +10,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructField, StructType
 
 from arcloom.llm.text import ALNUM, bounded, hash_words, mix, passes, small_batches, word_bounds, words
+from arcloom.storage import written
 
 #: Words of a window; an item of fewer words is one window.
 WINDOW = 10
@@ -257,17 +259,58 @@ def clean_documents(
 ) -> DataFrame:
     """``docs`` without the test items' windows, in the columns of ``docs``.
 
-    Runs of hit words are cut from the text, from the first byte of the run to its last, until no window is
-    left; a document of which more than ``max_coverage`` of the words are hit is dropped. ``chars_col``, if there
-    is one, gets the new number of code points. Documents without hits stay as they are, null texts too.
+    Runs of hit words are cut from the text, from the first byte of the run to its last, until no window of any item is
+    left; a document of which more than ``max_coverage`` of the words are hit, as it came, is dropped. ``chars_col``, if
+    there is one, gets the new number of code points. Documents without hits stay as they are, null texts too.
+
+    With several blocks of ``block_words`` item words, a row carries the words that each block hits, and their union
+    is judged and cut at once; rows that were cut are searched by all blocks again. So the blocks do not show.
     """
     spark, schema, names = bounded(docs).sparkSession, docs.schema, docs.columns
     chars = chars_col if chars_col in names else None
-    out = docs
-    for block in _blocks(items, item_id_col, item_text_col, block_words):
-        shared, key = spark.sparkContext.broadcast(block), uuid.uuid4().hex
+    hits, again = "__hits", "__again"
+    blocks = [(spark.sparkContext.broadcast(x), uuid.uuid4().hex) for x in _blocks(items, item_id_col, item_text_col, block_words)]
 
-        def run(batches, shared=shared, key=key):
+    def marker(shared, key):
+        """Adds a block's hits to those of the blocks before."""
+
+        def run(batches):
+            own = _automaton(key, shared, window)
+            for b in small_batches(batches, text_col, 4 << 20):
+                found = b.column(hits).to_pylist()
+                for i, _, data, rows in passes(b.column(text_col)):
+                    starts, ends = word_bounds(data, ALNUM)
+                    at = np.searchsorted(starts, rows)
+                    for row, (hit, _) in own.match(hash_words(data, starts, ends), at).items():
+                        found[i + row] = np.union1d(found[i + row] or [], hit - at[row]).astype(np.int64).tolist()
+                yield b.set_column(b.schema.get_field_index(hits), hits, pa.array(found, pa.list_(pa.int32())))
+
+        return run
+
+    def cutter(most):
+        """Drops rows with a larger share of hits than ``most``, cuts the others' and tells which rows were cut."""
+
+        def run(batches):
+            for b in small_batches(batches, text_col, 4 << 20):
+                keep, new = np.ones(b.num_rows, bool), {}
+                found = b.column(hits).to_pylist()
+                for row in [r for r, hit in enumerate(found) if hit]:
+                    text = b.column(text_col)[row].as_py()
+                    _, starts, ends = _bounds(text)
+                    if len(found[row]) > most * len(starts):
+                        keep[row] = False
+                    else:
+                        new[row] = _without(text, starts, ends, np.array(found[row]))
+                out = _replaced(b.drop_columns([hits]), names, text_col, chars, new)
+                cut = pa.array(np.isin(np.arange(b.num_rows), list(new)))
+                yield out.append_column(again, cut).filter(pa.array(keep))
+
+        return run
+
+    def whole(shared, key):
+        """All of it, where one block holds every item."""
+
+        def run(batches):
             own = _automaton(key, shared, window)
             for b in small_batches(batches, text_col, 4 << 20):
                 keep, new = np.ones(b.num_rows, bool), {}
@@ -279,37 +322,66 @@ def clean_documents(
                             keep[i + row] = False
                         else:
                             new[i + row] = _cut(own, b.column(text_col)[i + row].as_py())
-                if new:
-                    texts = b.column(text_col).to_pylist()
-                    for row, text in new.items():
-                        texts[row] = text
-                    b = b.set_column(names.index(text_col), b.schema.field(text_col), pa.array(texts, b.schema.field(text_col).type))
-                    if chars:
-                        counts = b.column(chars).to_pylist()
-                        for row, text in new.items():
-                            counts[row] = len(text)
-                        b = b.set_column(names.index(chars), b.schema.field(chars), pa.array(counts, b.schema.field(chars).type))
-                yield b.filter(pa.array(keep))
-
-        out = out.mapInArrow(run, schema)
+                yield _replaced(b, names, text_col, chars, new).filter(pa.array(keep))
+
+        return run
+
+    if len(blocks) == 1:
+        return docs.mapInArrow(whole(*blocks[0]), schema)
+    marked = StructType([*schema.fields, StructField(hits, ArrayType(IntegerType()))])
+    told = StructType([*schema.fields, StructField(again, BooleanType())])
+    rows, most, done = docs, max_coverage, []
+    while True:
+        rows = rows.withColumn(hits, F.lit(None).cast("array<int>"))
+        for block in blocks:
+            rows = rows.mapInArrow(marker(*block), marked)
+        rows = written(rows.mapInArrow(cutter(most), told), "cut")
+        done.append(rows.where(f"not {again}").drop(again))
+        rows, most = rows.where(again).drop(again), 1.0
+        if rows.isEmpty():
+            break
+    out = done[0]
+    for more in done[1:]:
+        out = out.unionByName(more)
     return out
 
 
+def _replaced(b: pa.RecordBatch, names: list[str], text_col: str, chars: str | None, new: dict[int, str]) -> pa.RecordBatch:
+    """``b`` with the new texts of some rows, and their code points in ``chars``."""
+    for col, value in ((text_col, str), (chars, len)) if new else ():
+        if col:
+            values = b.column(col).to_pylist()
+            for row, text in new.items():
+                values[row] = value(text)
+            field = b.schema.field(col)
+            b = b.set_column(names.index(col), field, pa.array(values, field.type))
+    return b
+
+
+def _bounds(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The text's bytes, and where its words start and end."""
+    for _, _, data, _ in passes(pa.array([text], pa.string())):
+        starts, ends = word_bounds(data, ALNUM)
+    return data, starts, ends
+
+
+def _without(text: str, starts: np.ndarray, ends: np.ndarray, hit: np.ndarray) -> str:
+    """The text without runs of hit words, given the bounds of all words."""
+    raw = text.encode()
+    kept, at = [], 0
+    for r in np.split(hit, np.flatnonzero(np.diff(hit) > 1) + 1):
+        kept.append(raw[at : starts[r[0]]])
+        at = ends[r[-1]]
+    return b"".join([*kept, raw[at:]]).decode()
+
+
 def _cut(own: Automaton, text: str) -> str:
     while True:
-        raw = text.encode()
-        for _, _, data, _ in passes(pa.array([text], pa.string())):
-            starts, ends = word_bounds(data, ALNUM)
+        data, starts, ends = _bounds(text)
         hits = own.match(hash_words(data, starts, ends), np.array([0, len(starts)]))
         if not hits:
             return text
-        hit = hits[0][0]
-        runs = np.split(hit, np.flatnonzero(np.diff(hit) > 1) + 1)
-        kept, at = [], 0
-        for r in runs:
-            kept.append(raw[at : starts[r[0]]])
-            at = ends[r[-1]]
-        text = b"".join([*kept, raw[at:]]).decode()
+        text = _without(text, starts, ends, hits[0][0])
 
 
 def items_digest(ids: Iterable[str]) -> str:

@@ -378,3 +378,21 @@ def test_toxicity_keeps_pairs_seen_once(spark):
         at = min(np.searchsorted(models.pairs, key), len(models.pairs) - 1)
         kept += models.pairs[at] == key and models.found[i % 2, at] == pytest.approx(1 - toxicity.DISCOUNT)
     assert kept > 20  # the others are held back for calibration
+
+
+def test_blocks_do_not_change_what_is_cut(spark):
+    item = lambda c, n: " ".join(f"{c}{i}" for i in range(n))
+    a, b = item("a", 12), item("b", 12)
+    items = spark.createDataFrame([("1", a), ("2", b), ("3", "a8 a9 a10 a11 c0 c1 c2 c3 c4 c5"), ("4", "p q")], "item_id string, text string")
+    filler = item("f", 16)
+    rows = [
+        (1, f"{a} {filler} {b}"),  # 24 of 40 words by items of two blocks: over half
+        (2, f"{filler} {a} c0 c1 c2 c3 c4 c5 {filler} x"),  # items that overlap
+        (3, f"{filler} p {a} q {filler}"),  # a cut joins words into another item
+        (4, filler), (5, None), (5, None), (6, f"p {b} q {filler}"),
+    ]
+    docs = spark.createDataFrame([(i, t, len(t or ""), "x") for i, t in rows], "doc_id long, text string, n_chars long, hits string")
+    one, many = (sorted(map(tuple, decontaminate.clean_documents(docs, items, block_words=n).collect()), key=str) for n in (100_000, 12))
+    assert one == many and [r[0] for r in many] == [2, 3, 4, 5, 5, 6]
+    texts = {r[0]: r[1].split() for r in many if r[1]}
+    assert texts[2] == [*filler.split(), *filler.split(), "x"] and texts[3] == filler.split() * 2 and texts[6] == filler.split()
