@@ -264,11 +264,12 @@ def _predict(own: LanguageModel, col: pa.Array, switch: float, spans: bool = Fal
 
 
 def keep_identified(
-    docs: DataFrame, model: LanguageModel, text_col: str = "text", switch: float = SWITCH, least: float = 0.5
+    docs: DataFrame, model: LanguageModel, text_col: str = "text", switch: float = SWITCH, least: float = 0.0
 ) -> DataFrame:
-    """Rows of ``docs``, as they are, whose text has a language that covers at least ``least`` of its letters.
+    """Rows of ``docs``, as they are, whose text has an identified language, however many it has.
 
-    Texts that are null or have no letter go.
+    Texts that are null or have no letter go; so do, if ``least`` is given, those whose main language covers less of
+    their letters.
     """
     shared = bounded(docs).sparkSession.sparkContext.broadcast(model)
 

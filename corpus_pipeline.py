@@ -8,13 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from arcloom.llm import decontaminate, exact_dedup, jaccard_join, language_id, sentencepiece_codec
 from arcloom.storage import run_dir
 
-#: A document's main language covers at least this share of its letters, or the document goes.
-LEAST_LANGUAGE_SHARE = 0.5
-
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with an identified main language; the model learns from the rows that name theirs."""
-    return language_id.keep_identified(docs, language_id.train(docs), least=LEAST_LANGUAGE_SHARE)
+    """Documents with an identified language, mixed ones too; the model learns from the rows that name theirs."""
+    return language_id.keep_identified(docs, language_id.train(docs))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import corpus_pipeline
-from arcloom.llm import decontaminate
+from arcloom.llm import decontaminate, language_id
 
 DATA = "/root/testdata/sf0.001"
 
@@ -54,3 +54,17 @@ def test_empty(spark, planted, tmp_path):
     spark.read.parquet(f"{path}/documents.parquet").limit(0).write.parquet(str(tmp_path / "documents.parquet"))
     spark.read.parquet(f"{path}/benchmark.parquet").limit(0).write.parquet(str(tmp_path / "benchmark.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_clean_documents_of_several_languages_stay(spark, tmp_path):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    texts = {r["lang"]: r["text"] for r in docs.where("length(text) between 2000 and 9000").dropDuplicates(["lang"]).collect()}
+    langs = sorted(texts)[:4]
+    mixed = " ".join(texts[x][:n].rsplit(" ", 1)[0] for x, n in zip(langs, (700, 600, 600, 600)))
+    rows = [(9101, mixed, langs[0], "s", len(mixed)), (9102, "12 34 !!", langs[0], "s", 8), (9103, None, None, "s", 0)]
+    odd = spark.createDataFrame(rows, docs.schema)
+    model = language_id.train(docs)
+    label = {r["doc_id"]: r for r in language_id.label(odd, model).collect()}
+    assert len(langs) == 4 and label[9101]["lang_pred"] != language_id.UNKNOWN and 0 < label[9101]["score"] < 0.5
+    kept = corpus_pipeline.identify(spark, docs.unionByName(odd), str(tmp_path))
+    assert {r["doc_id"] for r in kept.where("doc_id > 9100").collect()} == {9101}
