@@ -63,6 +63,7 @@ class Frame:
     article: bool
     main: bool
     content: bool
+    named: bool = False  # bad only by a class word of what holds the article that this stands in
 
 
 @dataclass
@@ -95,16 +96,19 @@ def _opened(tag: str, attrs: dict[str, str], parent: Frame) -> Frame:
     article = parent.article or tag == "article" or "articleBody" in attrs.get("itemprop", "")
     main = parent.main or tag == "main" or attrs.get("role", "").lower() == "main"
     whole = tag in ("html", "body", "article", "main")
-    bad = (
-        parent.bad or tag in DROPPED or "hidden" in attrs or attrs.get("role", "").lower() in BAD_ROLES
+    words = not (whole and not parent.article) and bool(names & BAD_WORDS) and not names & GOOD_WORDS
+    hard = (
+        tag in DROPPED or "hidden" in attrs or attrs.get("role", "").lower() in BAD_ROLES
         or tag == "header" and not (article or main)
-        or not (whole and not parent.article) and bool(names & BAD_WORDS) and not names & GOOD_WORDS
         or bool(names & {"comment", "comments", "ad", "ads", "advert", "advertisement", "cookie"}) and tag not in ("html", "body")
         or re.search(r"display\s*:\s*none", attrs.get("style", "")) is not None
     )
+    bad = parent.bad or hard or words
+    # a class word outside the article is a hint only; anything else that is bad, or bad inside it, is not
+    named = not hard and (parent.named and not (words and article) if parent.bad else words and not article)
     content = parent.content or bool(names & {"content", "article", "story", "entry", "post"}) and not whole
     shown = tag + "." + ".".join(sorted(names)) if names else tag
-    return Frame(tag, _hash(parent.path, shown), bad, article, main, content)
+    return Frame(tag, _hash(parent.path, shown), bad, article, main, content, named)
 
 
 def parse(source: str) -> Page:
@@ -207,22 +211,39 @@ def _valid(page: Page, template: dict[int, int]) -> set[int]:
 def main_blocks(page: Page, template: dict[int, int]) -> list[Block]:
     """Blocks of the page's main slots: what the template leaves, without boilerplate regions.
 
-    The slots of an article element hold the main text; without one those of main, of a content container, or of
-    the whole body without lists of links.
+    Text that the template holds is no main text wherever it stands, unless it is most of the page's text outside
+    boilerplate regions. Of what is left, names are tie-breakers: the slots of an article element hold the main text;
+    without one those of main, of a content container, or of the whole body without lists of links. An article that
+    only a class word of an ancestor calls boilerplate counts if it has more text than those.
     """
-    good = [b for b in page.blocks if not b.frame.bad]
-    for kind in ("article", "main", "content"):
-        chosen = [b for b in good if getattr(b.frame, kind)]
-        if chosen:
+    left = page.blocks
+    if template:
+        valid = _valid(page, template)
+        left = [b for b in left if template.get(b.token) not in valid]
+    chosen = _by_names(left)
+    if template and len(left) < len(page.blocks):
+        every = _by_names(page.blocks)
+        if _chars(chosen) < (1 - MOST_TEMPLATE) * _chars(every):
+            return every
+    return chosen
+
+
+def _by_names(blocks: list[Block]) -> list[Block]:
+    """The blocks that element and class names call main text."""
+    good = [b for b in blocks if not b.frame.bad]
+    if chosen := [b for b in good if b.frame.article]:
+        return chosen
+    for kind in ("main", "content"):
+        if chosen := [b for b in good if getattr(b.frame, kind)]:
             break
     else:
         chosen = [b for b in good if not (b.linked and b.linked * 2 > len(b.text))]
-    if not template:
-        return chosen
-    valid = _valid(page, template)
-    slots = [b for b in chosen if template.get(b.token) not in valid]
-    left, all_ = sum(len(b.text) for b in slots), sum(len(b.text) for b in chosen)
-    return slots if left >= (1 - MOST_TEMPLATE) * all_ else chosen
+    hinted = [b for b in blocks if b.frame.named and b.frame.article]
+    return hinted if _chars(hinted) > _chars(chosen) else chosen
+
+
+def _chars(blocks: list[Block]) -> int:
+    return sum(len(b.text) for b in blocks)
 
 
 def extract(source: str | None, template: dict[int, int] | None = None) -> str:

@@ -396,3 +396,21 @@ def test_blocks_do_not_change_what_is_cut(spark):
     assert one == many and [r[0] for r in many] == [2, 3, 4, 5, 5, 6]
     texts = {r[0]: r[1].split() for r in many if r[1]}
     assert texts[2] == [*filler.split(), *filler.split(), "x"] and texts[3] == filler.split() * 2 and texts[6] == filler.split()
+
+
+def test_template_decides_before_names(spark):
+    """The article element holds the same words on every page, and a plain division what differs."""
+    body = "<article><p>Members read the whole story here</p></article><div><p>{}</p></div>"
+    rows = [(i, "https://h.example.com/x", page(body.format(f"Only page {i} says {'z' * i} and goes on about it for a while"))) for i in range(12)]
+    got = {r["page_id"]: r["text"] for r in html_extract.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"Only page {i} says {'z' * i} and goes on about it for a while" for i in range(1, 12))
+
+
+@pytest.mark.parametrize("source,want", [
+    (page("<div class='social'><article><h1>T</h1><p>a whole text</p></article></div><p>x</p>"), "T\na whole text"),
+    (page("<div class='social'><article><p>a text</p><div class='share'>s</div></article></div>"), "a text"),
+    (page("<main><p>the main text of the page</p></main><div class='related'><article><p>card</p></article></div>"), "the main text of the page"),
+    (page("<p>x</p><div id='comments'><article><p>a long comment on this</p></article></div>"), "x"),
+])
+def test_class_word_of_an_ancestor_does_not_void_an_article(source, want):
+    assert html_extract.extract(source) == want
