@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from arcloom.config import DEFAULTS
-from arcloom.fixtures import ctes, view
+from arcloom.fixtures import ctes, duck, view
 from arcloom.functions import blocks, labels
 from arcloom.operators import annotate, closure, crossrun, graph, hits, intervals, legacy, liftover, matrix, quant, scoring, sequences, votes
 from arcloom.plans import annotation, consensus
@@ -943,3 +943,13 @@ def tool_union(v):
     rows = calls.join(roots, ["sample", "chrom", "strand", "start", "end"])
     return rows.groupBy(F.col("root_start").alias("start"), "chrom", "strand").agg(
         F.array_join(F.array_sort(F.collect_set("tool")), ",").alias("tools"), F.count_distinct("sample").alias("n_samples"))
+
+
+def _over_all_exons(f):
+    """The query over every exon row, under its name and ``_all``; the one of its name keeps the view of its SQL."""
+    sql = ORACLE_SQL[f.__name__].replace(duck("exons"), duck("exons_all"))
+    _query(sql, f"{f.__name__}_all")(lambda v: f(lambda name: v("exons_all" if name == "exons" else name)))
+
+
+for _f in (feature_merge, type_classify, region_fetch):
+    _over_all_exons(_f)

@@ -72,3 +72,13 @@ def test_lookup_covers_the_loci_of_all_samples(spark, duck):
     want = duck.sql(f"WITH {catalog.ctes('calls')} SELECT DISTINCT chrom || ':' || start_ || '-' || end_ || ':' || strand FROM calls").fetchall()
     got = catalog.QUERIES["crossrun_lookup_all"](spark, DATA).select("id").distinct().collect()
     assert {r["id"] for r in got} == {w[0] for w in want} and "WHERE sample" not in catalog.ORACLE_SQL["crossrun_lookup_all"]
+
+
+@pytest.mark.parametrize("name", ["feature_merge", "type_classify", "region_fetch"])
+def test_all_exons_are_read(name):
+    assert "l_orderkey % 4 = 0" not in catalog.ORACLE_SQL[name + "_all"] and "l_orderkey % 4 = 0" in catalog.ORACLE_SQL[name]
+
+
+def test_all_lineitem_rows_are_exons(spark, duck):
+    n = duck.sql("select count(*) from lineitem").fetchall()[0][0]
+    assert catalog.view(spark, DATA, "exons_all").count() == n
