@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -15,15 +17,21 @@ SHORT_CLASSES, LONG_CLASSES = 40, 55
 CLASSES = SHORT_CLASSES + LONG_CLASSES + 1
 END_CLASS = CLASSES - 1
 SHORT_BYTES, TAIL_BYTES = 3, 2
-#: Slots of hashed features, as powers of two: at least, and at most. Between them there is one for every word of the
-#: vocabulary. A class weight is kept for each slot (4 bytes * CLASSES * slots, 50 MB at most), which every worker holds.
-SLOT_BITS, MOST_SLOT_BITS = 14, 17
-#: Passes over the training documents. In each, every partition starts from the shared weights, and each slot's results
-#: are averaged by the tokens that had it.
+#: Slots of hashed features, as powers of two: at least, and at most. Between them there is one for every SLOT_TOKENS
+#: training tokens. A weight is kept for each slot and class (4 bytes each, 50 MB at most), which every worker holds.
+SLOT_BITS, MOST_SLOT_BITS, SLOT_TOKENS = 14, 17, 512
+#: The training documents are dealt by a hash of their text into so many parts; each part gives one gradient update.
 ROUNDS = 2
-RATE, BATCH = 0.25, 4096
-#: Partitions of the input that learn together, where there are enough of them for all cores: each learner writes its slots.
-TOGETHER = 4
+#: The weights start from the features' class counts: BLEND times the log ratio of a class's share at a slot to its share of
+#: all tokens, with START imagined tokens per slot. An update moves them by STEP times the log ratio of counted to
+#: expected tokens, with DAMP imagined tokens on either side.
+BLEND, START, STEP, DAMP = 0.35, 20.0, 0.3, 8.0
+#: Tokens of one forward pass, and of one sum of expected counts.
+BATCH, CHUNK = 1024, 8192
+#: Partitions of the input that one learner reads, where there are enough of them for all cores: each learner writes its slots.
+TOGETHER = 16
+#: Blocks that a table of slots is split into, and tables that one task adds up; more are added up in a tree.
+BLOCKS, FAN = 64, 16
 #: Most frequent words whose counts every executor holds; all other words meet their counts in a join.
 COMMON_WORDS = 1 << 17
 #: Added to every count, in the base as in the model.
@@ -47,9 +55,9 @@ def tokens(col: pa.Array):
         yield i, at + np.arange(len(at)), np.insert(w, where, _END), np.insert(kind, where, END_CLASS)
 
 
-def slot_bits(vocabulary: int) -> int:
-    """The slots for so many words, as a power of two."""
-    return min(max(int(vocabulary).bit_length(), SLOT_BITS), MOST_SLOT_BITS)
+def slot_bits(n_tokens: int) -> int:
+    """The slots for so many training tokens, as a power of two."""
+    return min(max((int(n_tokens) // SLOT_TOKENS).bit_length(), SLOT_BITS), MOST_SLOT_BITS)
 
 
 def features(rows: np.ndarray, w: np.ndarray, kind: np.ndarray, bits: int = SLOT_BITS) -> np.ndarray:
@@ -75,93 +83,201 @@ def features(rows: np.ndarray, w: np.ndarray, kind: np.ndarray, bits: int = SLOT
     return np.stack([(mix(p) >> np.uint64(64 - bits)).astype(np.int32) for p in parts], 1)
 
 
-def _log_softmax(weights: np.ndarray, slots: np.ndarray) -> np.ndarray:
-    z = weights[slots[:, 0]]
-    for c in range(1, slots.shape[1]):
-        z += weights[slots[:, c]]
-    z -= z.max(1, keepdims=True)
-    z -= np.log(np.exp(z).sum(1, keepdims=True))
-    return z
+@dataclass
+class ClassModel:
+    """Weights (slot x class) and the classes' log shares, to which a token's slots add."""
+
+    weights: np.ndarray
+    bias: np.ndarray
+    bits: int
+
+    def _sums(self, slots: np.ndarray):
+        """``(first token, class sums, largest of each)`` batch by batch; the arrays are used again."""
+        z, x = np.empty((BATCH, CLASSES), np.float32), np.empty((BATCH, CLASSES), np.float32)
+        for a in range(0, len(slots), BATCH):
+            s = slots[a : a + BATCH]
+            out, more = z[: len(s)], x[: len(s)]
+            np.take(self.weights, s[:, 0], 0, out=out, mode="clip")
+            for c in range(1, s.shape[1]):
+                out += np.take(self.weights, s[:, c], 0, out=more, mode="clip")
+            out += self.bias
+            out -= out.max(1, keepdims=True)
+            yield a, out
+
+    def log_share(self, slots: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        """Natural log probability of each token's class given its slots."""
+        out = np.empty(len(slots))
+        for a, z in self._sums(slots):
+            own = z[np.arange(len(z)), kind[a : a + len(z)]].copy()
+            out[a : a + len(z)] = own - np.log(np.exp(z, out=z).sum(1, dtype=np.float64))
+        return out
+
+    def shares(self, slots: np.ndarray) -> np.ndarray:
+        """Probability of every class at each token."""
+        out = np.empty((len(slots), CLASSES), np.float32)
+        for a, z in self._sums(slots):
+            np.exp(z, out=z)
+            np.divide(z, z.sum(1, keepdims=True), out=out[a : a + len(z)])
+        return out
+
+
+def _by_key(key: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, the sums of their rows, and a row of each.
+
+    The runs of equal keys are ordered by length, so the runs that have an r-th row are a prefix.
+    """
+    order = np.argsort(key, kind="stable")
+    k = key[order]
+    first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
+    n = np.diff(np.append(first, len(k)))
+    place = np.argsort(-n, kind="stable")
+    first, n = first[place], n[place]
+    out, r, more = np.take(rows, order[first], 0), 1, len(n)
+    while (more := int(np.searchsorted(-n, -r))) >= 8:
+        out[:more] += np.take(rows, order[first[:more] + r], 0)
+        r += 1
+    for i in range(more):
+        out[i] += np.take(rows, order[first[i] + r : first[i] + n[i]], 0).sum(0)
+    return k[first], out, order[first]
+
+
+def _expect(table: np.ndarray, slots: np.ndarray, shares: np.ndarray, bits: int) -> None:
+    """Add the tokens' class shares at all their slots.
+
+    Tokens with the same slots for one, two and three classes, or for a word and a pair, are summed once for all of them.
+    """
+
+    def add(at: np.ndarray, rows: np.ndarray) -> None:
+        while len(at):  # features that share a slot come one after the other
+            at_once, first = np.unique(at, return_index=True)
+            table[at_once] += rows[first]
+            if len(first) == len(at):
+                break
+            rest = np.ones(len(at), bool)
+            rest[first] = False
+            at, rows = at[rest], rows[rest]
+
+    one, two, three, last, skip, both = slots.T
+    key = one << bits | two
+    for short, long in ((key, three), (last, both)):
+        k, rows, at = _by_key(short << bits | long, shares)
+        add(long[at], rows)
+        if short is key:
+            k, rows, _ = _by_key(k >> bits, rows)
+            add(k & ((1 << bits) - 1), rows)
+        k, rows, _ = _by_key(k >> bits, rows)
+        add(k, rows)
+    k, rows, _ = _by_key(skip, shares)
+    add(k, rows)
+
+
+_TABLE = "part int, block int, slots binary, sums binary"
+
+
+def _emit(part: int, table: np.ndarray, kind):
+    """The table's rows that are not all zero, block by block, as rows of `_TABLE`."""
+    size = len(table) // BLOCKS
+    for i in range(BLOCKS):
+        own = table[i * size : (i + 1) * size]
+        at = np.flatnonzero(own.any(1))
+        if len(at):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([part], pa.int32()), pa.array([i], pa.int32()),
+                 *(pa.array([x.tobytes()], pa.binary()) for x in (at.astype(np.int32), own[at].astype(kind)))],
+                names=["part", "block", "slots", "sums"],
+            )
+
+
+def _summed(tables: DataFrame, learners: int, size: int) -> DataFrame:
+    """Tables of many learners added up by part and block, in a tree in which a task adds up about FAN of a block."""
 
+    def add(batches):
+        found: dict[tuple[int, int], np.ndarray] = {}
+        for b in batches:
+            for r in range(b.num_rows):
+                part, block, at, sums = (b.column(c)[r].as_py() for c in ("part", "block", "slots", "sums"))
+                x = found.setdefault((part, block), np.zeros((size, CLASSES)))
+                x[np.frombuffer(at, np.int32)] += np.frombuffer(sums, np.float32).reshape(-1, CLASSES)
+        for (part, block), x in found.items():
+            at = np.flatnonzero(x.any(1))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([part], pa.int32()), pa.array([block], pa.int32()),
+                 *(pa.array([y.tobytes()], pa.binary()) for y in (at.astype(np.int32), x[at].astype(np.float32)))],
+                names=["part", "block", "slots", "sums"],
+            )
 
-def _step(weights: np.ndarray, squares: np.ndarray, slots: np.ndarray, kind: np.ndarray) -> None:
-    """One Adagrad step on a batch; the gradient touches only the slots that occur."""
-    g = np.exp(_log_softmax(weights, slots))
-    g[np.arange(len(kind)), kind] -= 1
-    flat = slots.ravel()
-    order = np.argsort(flat, kind="stable")
-    used, first = np.unique(flat[order], return_index=True)
-    grad = np.add.reduceat(g[order // slots.shape[1]], first, axis=0)
-    squares[used] += grad * grad
-    weights[used] -= RATE * grad / np.sqrt(squares[used] + 1.0)
+    while learners > FAN:
+        groups = -(-learners // FAN)
+        tables = tables.withColumn("team", F.spark_partition_id() % groups).repartition(groups * BLOCKS, "part", "block", "team")
+        tables = tables.drop("team").mapInArrow(add, _TABLE)
+        learners = groups
+    return tables.repartition(BLOCKS, "part", "block").mapInArrow(add, _TABLE)
 
 
-def fit(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, bits: int = SLOT_BITS) -> np.ndarray:
-    """Class weights (slot x class), learned from every row's whole text.
+def fit(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, bits: int = SLOT_BITS) -> ClassModel:
+    """Class weights, learned from every row's whole text.
 
-    Each partition makes gradient updates on its own copy of the weights and emits each slot it met times the tokens
-    that had it, so a slot that few partitions meet keeps what they learned. The sums are taken by Spark in blocks of
-    slots, so the driver gets one weight table per round, whatever the input.
+    One pass counts the classes at every slot, which gives the weights to start from. Then each of ``rounds`` parts of
+    the documents, dealt by a hash of the text, gives one gradient update: all learners hold the same weights, sum the
+    expected class counts at the slots of their documents, and the sums over all learners move the weights towards the
+    counted ones. So nothing depends on how the rows are split but the rounding of sums. The sums are taken in a
+    tree of tasks by blocks of slots; the driver gets one table per part and pass, whatever the input.
     """
     spark, n = docs.sparkSession, 1 << bits
-    weights, blocks = np.zeros((n, CLASSES), np.float32), 16
     parts = docs.rdd.getNumPartitions()
-    learners = docs.select(F.col(text_col).alias("t")).coalesce(max(1, parts // TOGETHER, min(parts, spark.sparkContext.defaultParallelism)))
+    learners = max(1, parts // TOGETHER, min(parts, spark.sparkContext.defaultParallelism))
+    text = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    text = text.withColumn("part", F.pmod(F.xxhash64("t"), F.lit(rounds)).cast("int"))
+
+    def collected(rows: DataFrame) -> np.ndarray:
+        out = np.zeros((n, CLASSES), np.float32)
+        for r in rows.select("block", "slots", "sums").collect():  # one row per block
+            out[r["block"] * (n // BLOCKS) + np.frombuffer(bytes(r["slots"]), np.int32)] = np.frombuffer(bytes(r["sums"]), np.float32).reshape(-1, CLASSES)
+        return out
+
+    def count(batches):
+        tables: dict[int, np.ndarray] = {}
+        for b in small_batches(batches, "t", 2 << 20):
+            own = b.column("part").to_numpy(zero_copy_only=False)
+            for i, rows, w, kind in tokens(b.column("t")):
+                part = np.repeat(own[i : i + len(rows) - 1], np.diff(rows))
+                at = features(rows, w, kind, bits).astype(np.int64) * CLASSES + kind[:, None]
+                for p in np.unique(part).tolist():
+                    table = tables.setdefault(p, np.zeros(n * CLASSES, np.float32))
+                    table += np.bincount(at[part == p].ravel(), minlength=len(table))
+        for p, table in tables.items():
+            yield from _emit(p, table.reshape(n, CLASSES), np.float32)
+
+    counts = written(_summed(text.coalesce(learners).mapInArrow(count, _TABLE), learners, n // BLOCKS), "class-counts")
+    seen = [collected(counts.where(F.col("part") == p)) for p in range(rounds)]
+    every = sum(seen)
+    width = features(np.array([0, 1]), np.zeros(1, np.uint64), np.zeros(1, np.int64), bits).shape[1]
+    totals = every.sum(0, dtype=np.float64) / width
+    prior = ((totals + 0.5) / (totals.sum() + 0.5 * CLASSES)).astype(np.float32)
+    weights = BLEND * np.log((every + START * prior) / (every.sum(1, keepdims=True) + START) / prior)
+    model = ClassModel(weights.astype(np.float32), np.log(prior), bits)
+    del every, weights
+
     for k in range(rounds):
-        shared = spark.sparkContext.broadcast(weights if k else None)
+        shared = spark.sparkContext.broadcast(model)
 
-        def run(batches, shared=shared):
-            own = np.zeros((n, CLASSES), np.float32) if shared.value is None else shared.value.copy()
-            squares, met = np.zeros((n, CLASSES), np.float32), np.zeros(n, np.int64)
+        def expect(batches, shared=shared):
+            table, own = np.zeros((n, CLASSES), np.float32), shared.value
             for b in small_batches(batches, "t", 2 << 20):
                 for _, rows, w, kind in tokens(b.column("t")):
-                    slots = features(rows, w, kind, bits)
-                    for a in range(0, len(w), BATCH):
-                        _step(own, squares, slots[a : a + BATCH], kind[a : a + BATCH])
-                    met += np.bincount(slots.ravel(), minlength=n)
-            del squares
-            part = n // blocks
-            for i in range(blocks):
-                at = np.flatnonzero(met[i * part : (i + 1) * part])
-                if len(at):
-                    times = met[i * part + at]
-                    sums = own[i * part + at] * times[:, None].astype(np.float32)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([i], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in (at.astype(np.int32), times, sums))],
-                        names=["block", "slots", "met", "sums"],
-                    )
-
-        def add(batches):
-            found: dict[int, list] = {}
-            for b in batches:
-                for block, *raw in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                    x = found.setdefault(block, [np.zeros(n // blocks, np.int64), np.zeros((n // blocks, CLASSES))])
-                    at, times, sums = (np.frombuffer(r, kind) for r, kind in zip(raw, (np.int32, np.int64, np.float32), strict=True))
-                    x[0][at] += times
-                    x[1][at] += sums.reshape(-1, CLASSES)
-            for block, (times, sums) in found.items():
-                at = np.flatnonzero(times)
-                mean = (sums[at] / times[at, None]).astype(np.float32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([block], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in (at.astype(np.int32), times[at], mean))],
-                    names=["block", "slots", "met", "sums"],
-                )
-
-        kind = "block int, slots binary, met binary, sums binary"
-        rows = (
-            learners.mapInArrow(run, kind)
-            .repartition(blocks, "block").mapInArrow(add, kind).collect()  # one row per block
-        )
-        if not rows:
-            break
-        weights = weights.copy()
-        for r in rows:
-            at = r["block"] * (n // blocks) + np.frombuffer(bytes(r["slots"]), np.int32)
-            weights[at] = np.frombuffer(bytes(r["sums"]), np.float32).reshape(-1, CLASSES)
+                    slots = features(rows, w, kind, bits).astype(np.int64)
+                    for a in range(0, len(w), CHUNK):
+                        _expect(table, slots[a : a + CHUNK], own.shares(slots[a : a + CHUNK]), bits)
+            yield from _emit(0, table, np.float32)
+
+        tables = text.where(F.col("part") == k).coalesce(learners).select("t").mapInArrow(expect, _TABLE)
+        expected = collected(_summed(tables, learners, n // BLOCKS))
+        damp = DAMP * prior + 0.5
+        model.weights = model.weights + STEP * np.log((seen[k] + damp) / (expected + damp))
         shared.destroy()
-        del rows, run
+        del tables, expected, expect
         release(spark)
-    return weights
+    return model
 
 
 def count_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -205,8 +321,7 @@ def score_documents(train: DataFrame, docs: DataFrame, id_col: str = "doc_id", t
     for r in totals:
         n_of[r["kind"]], v_of[r["kind"]] = r["n"], r["v"]
     n_all, v_all = int(n_of.sum()), int(v_of.sum())
-    bits = slot_bits(v_all)
-    weights = spark.sparkContext.broadcast(fit(train, text_col, bits=bits))
+    weights = spark.sparkContext.broadcast(fit(train, text_col, bits=slot_bits(n_all)))
     top = counts.orderBy(F.desc("n"), "h").limit(COMMON_WORDS).select("h", "n").toArrow()
     key, n = top.column("h").to_numpy().view(np.uint64), top.column("n").to_numpy()
     order = np.argsort(key)
@@ -215,17 +330,12 @@ def score_documents(train: DataFrame, docs: DataFrame, id_col: str = "doc_id", t
     per_token = np.log10(n_all + ALPHA * (v_all + 1))
 
     def run(batches):
-        w_table, (keys, ns) = weights.value, common.value
+        own, (keys, ns) = weights.value, common.value
         logs = np.log10(ns + ALPHA)
         for b in small_batches(batches, "t", 2 << 20):
             out: dict[str, list] = {c: [] for c in ("n_tokens", "known", "logs", "classes", "tail", "times")}
             for _, rows, w, kind in tokens(b.column("t")):
-                slots = features(rows, w, kind, bits)
-                model = np.empty(len(w))
-                for a in range(0, len(w), BATCH):
-                    p = _log_softmax(w_table, slots[a : a + BATCH])
-                    model[a : a + BATCH] = p[np.arange(len(p)), kind[a : a + BATCH]]
-                model = model / np.log(10) - in_class[kind]
+                model = own.log_share(features(rows, w, kind, own.bits), kind) / np.log(10) - in_class[kind]
                 at = np.minimum(np.searchsorted(keys, w), max(len(keys) - 1, 0))
                 hit = keys[at] == w if len(keys) else np.zeros(len(w), bool)
                 value = np.where(hit, logs[at], 0.0) if len(keys) else np.zeros(len(w))

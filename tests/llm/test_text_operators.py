@@ -338,31 +338,105 @@ def test_language_model(spark):
 
 
 def test_class_probabilities_sum_to_one():
-    w = np.random.RandomState(1).randn(1 << maxent_lm.SLOT_BITS, maxent_lm.CLASSES).astype(np.float32)
-    for _, rows, h, kind in maxent_lm.tokens(pa.array(["a bc def ghij", None], pa.string())):
-        assert rows.tolist() == [0, 5, 6] and kind[4] == kind[5] == maxent_lm.END_CLASS
-        p = np.exp(maxent_lm._log_softmax(w, maxent_lm.features(rows, h, kind)))
+    rng = np.random.RandomState(1)
+    model = maxent_lm.ClassModel(rng.randn(1 << 14, maxent_lm.CLASSES).astype(np.float32), rng.randn(maxent_lm.CLASSES).astype(np.float32), 14)
+    for _, rows, h, kind in maxent_lm.tokens(pa.array(["a bc def ghij", None, "x " * 3000], pa.string())):
+        assert rows.tolist() == [0, 5, 6, 3007] and kind[4] == kind[5] == maxent_lm.END_CLASS
+        slots = maxent_lm.features(rows, h, kind)
+        p = model.shares(slots)
         assert p.sum(1) == pytest.approx(1, abs=1e-4)
-
-
-def test_slots_keep_what_few_partitions_learn(spark):
-    """A pair of words that only one of nine partitions holds is learned as if that partition were alone."""
-    rare, rest = ["alpha beta"] * 40, ["w%d x%d y%d" % (i % 7, i % 5, i % 3) for i in range(4000)]
-    both = spark.createDataFrame([(t, 0) for t in rare] + [(t, 1 + i % 8) for i, t in enumerate(rest)], "text string, p int")
-    both = both.repartitionByRange(9, "p")
-    for _, rows, w, kind in maxent_lm.tokens(pa.array(["alpha beta"], pa.string())):
-        slots = maxent_lm.features(rows, w, kind)
-    alone, shared = (maxent_lm.fit(d, rounds=1) for d in (both.where("p = 0").coalesce(1), both))
-    own = slots[1, 5]  # the slot of the pair before the end token is not met elsewhere
-    assert np.abs(alone[own]).max() > 0 and shared[own] == pytest.approx(alone[own], abs=1e-5)
-
-
-def test_language_model_beats_its_base(spark):
+        assert np.exp(model.log_share(slots, kind)) == pytest.approx(p[np.arange(len(p)), kind], rel=1e-4)
+
+
+def test_expected_counts_are_summed_at_all_slots():
+    texts = ["a b a b a b c", "", "ab cd ab cd " * 90, "x"]
+    for _, rows, h, kind in maxent_lm.tokens(pa.array(texts, pa.string())):
+        slots = maxent_lm.features(rows, h, kind).astype(np.int64)
+        p = np.random.RandomState(2).rand(len(h), maxent_lm.CLASSES).astype(np.float32)
+        got, want = (np.zeros((1 << 14, maxent_lm.CLASSES), np.float32) for _ in range(2))
+        maxent_lm._expect(got, slots, p, maxent_lm.SLOT_BITS)
+        for i, own in enumerate(slots):
+            for s in own:
+                want[s] += p[i]
+        assert got == pytest.approx(want, rel=1e-4)
+
+
+def brute_model(spark, rows, rounds):
+    """Weights and class shares by the definition, token by token in Python."""
+    part = {r["t"]: r["p"] for r in spark.createDataFrame([(t,) for t in {t or "" for _, t in rows}], "t string").select(
+        "t", F.pmod(F.xxhash64("t"), F.lit(rounds)).alias("p")).collect()}
+    events = []
+    for _, t in rows:
+        for _, at, w, kind in maxent_lm.tokens(pa.array([t], pa.string())):
+            events += [(part[t or ""], s, c) for s, c in zip(maxent_lm.features(at, w, kind).tolist(), kind.tolist(), strict=True)]
+    n = maxent_lm.CLASSES
+    prior = [(sum(c == k for _, _, c in events) + 0.5) / (len(events) + 0.5 * n) for k in range(n)]
+    seen = [{} for _ in range(rounds)]
+    for p, slots, c in events:
+        for s in slots:
+            seen[p].setdefault(s, [0.0] * n)[c] += 1
+    used = {s for x in seen for s in x}
+    every = {s: [sum(x[s][k] for x in seen if s in x) for k in range(n)] for s in used}
+    weights = {s: [maxent_lm.BLEND * math.log((every[s][k] + maxent_lm.START * prior[k]) / (sum(every[s]) + maxent_lm.START) / prior[k]) for k in range(n)] for s in used}
+
+    def shares(slots):
+        z = [math.exp(math.log(prior[k]) + sum(weights[s][k] for s in slots if s in weights)) for k in range(n)]
+        return [x / sum(z) for x in z]
+
+    for r in range(rounds):
+        expected = {}
+        for p, slots, _ in events:
+            if p == r:
+                own = shares(slots)
+                for s in slots:
+                    x = expected.setdefault(s, [0.0] * n)
+                    for k in range(n):
+                        x[k] += own[k]
+        for s, x in expected.items():
+            for k in range(n):
+                damp = maxent_lm.DAMP * prior[k] + 0.5
+                weights[s][k] += maxent_lm.STEP * math.log((seen[r][s][k] + damp) / (x[k] + damp))
+    return shares
+
+
+def test_language_model_scores_against_brute_force(spark):
+    rng = random.Random(5)
+    vocab = ["the", "of", "and", "blue", "house", "running", "a", "!!", "été"]
+    train = [(i, " ".join(rng.choices(vocab, k=rng.randrange(1, 25)))) for i in range(40)] + [(41, None), (42, ""), (43, "the of")]
+    docs = [(1, "the of and unseen"), (1, "the of and unseen"), (None, "blue house"), (3, None), (4, "of " * 50)]
+    got = maxent_lm.score_documents(table(spark, train), table(spark, docs)).collect()
+    shares = brute_model(spark, train, maxent_lm.ROUNDS)
+    tok = lambda t: [*re.findall(r"[^\x20\x09-\x0D]+", ascii_lower(t)), None]
+    count, kinds, of_class = Counter(), {}, Counter()
+    for _, t in train:
+        for _, _, w, kind in maxent_lm.tokens(pa.array([t], pa.string())):
+            for x, k in zip(tok(t), kind.tolist(), strict=True):
+                count[x] += 1
+                kinds[x] = k
+                of_class[k] += 1
+    words_of = Counter(kinds.values())
+    want = []
+    for i, t in docs:
+        for _, at, w, kind in maxent_lm.tokens(pa.array([t], pa.string())):
+            total = 0.0
+            for x, slots, k in zip(tok(t), maxent_lm.features(at, w, kind).tolist(), kind.tolist(), strict=True):
+                total += math.log10(shares(slots)[k]) + math.log10((count[x] + 0.1) / (of_class[k] + 0.1 * (words_of[k] + 1)))
+        want.append((str(i), len(tok(t)), total))
+    got = sorted((str(r["doc_id"]), r["n_tokens"], r["score"]) for r in got)
+    for g, x in zip(got, sorted(want), strict=True):
+        assert g[:2] == x[:2] and g[2] == pytest.approx(x[2], rel=1e-4)
+
+
+def test_language_model_beats_its_base_however_rows_are_split(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text")
     held = language_id.fold(F.col("doc_id"), 10) == 0
-    r = maxent_lm.score_documents(docs.where(~held), docs.where(held)).agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
-    assert r[0] > r[1], (r[0] - r[1]) / r[2]
-    assert maxent_lm.CLASSES == 96 and maxent_lm.ROUNDS > 1 and maxent_lm.slot_bits(100_000) == 17 > maxent_lm.slot_bits(10) == maxent_lm.SLOT_BITS
+    gains = []
+    for n in (1, 8, 32):
+        train = docs.where(~held).repartition(n)
+        r = maxent_lm.score_documents(train, docs.where(held)).agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
+        gains.append((r[0] - r[1]) / r[2] / math.log10(2))
+    assert min(gains) > 1.0 and max(gains) - min(gains) < 1e-3, gains
+    assert maxent_lm.CLASSES == 96 and maxent_lm.ROUNDS > 1 and maxent_lm.slot_bits(10**9) == 17 > maxent_lm.slot_bits(10) == maxent_lm.SLOT_BITS
 
 
 def test_toxicity_keeps_pairs_seen_once(spark):
