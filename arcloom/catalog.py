@@ -135,18 +135,6 @@ def mode_hybrid_tol0(v):
     return _entries(v, "hybrid", 0)
 
 
-@_query()
-def mode_hybrid(v):
-    """V6 at the production tolerance."""
-    return _entries(v, "hybrid", 5)
-
-
-@_query()
-def mode_xstruct(v):
-    """V5 at the production tolerance."""
-    return _entries(v, "xstruct", 5)
-
-
 _MOVED = "array_to_string([CAST(CAST(x AS BIGINT) + r_start - ws AS VARCHAR) FOR x IN string_split(block_starts, ',')], ',')"
 
 
@@ -169,6 +157,54 @@ def mode_xstruct_tol0(v):
     return _entries(v, "xstruct", 0)
 
 
+# first-fit clusters of at most four records (place 1 to 4 by rank): head is the place of a record's cluster
+_ALIKE = """r.block_sizes = h.block_sizes AND list_max([abs(CAST(x[1] AS BIGINT) + r.start_ - CAST(x[2] AS BIGINT) - h.start_)
+  FOR x IN list_zip(string_split(r.block_starts, ','), string_split(h.block_starts, ','))]) <= 5"""
+
+
+def _first_fit(records: str) -> str:
+    steps = [f"p AS (SELECT *, row_number() OVER (PARTITION BY {_g()} ORDER BY rank) AS place FROM {records})",
+             "c1 AS (SELECT *, place AS head FROM p WHERE place = 1)"]
+    for k in (2, 3, 4):
+        steps.append(f"""n{k} AS (SELECT {_g("r")}, min(h.place) AS head FROM p r JOIN c{k - 1} h USING ({_g()}) WHERE r.place = {k} AND h.place = h.head AND {_ALIKE} GROUP BY ALL),
+c{k} AS (SELECT * FROM c{k - 1} UNION ALL SELECT p.*, coalesce(n{k}.head, {k}) FROM p LEFT JOIN n{k} USING ({_g()}) WHERE p.place = {k})""")
+    return ",\n".join(steps)
+
+
+_SHIFTED = _VOTED.replace(duck("calls"), duck("shifted"))
+_CLUSTERED = f"""cl AS (SELECT {_g()}, head, count(*) AS struct_agree_count, string_agg(tool, ',' ORDER BY tool) AS isoform_tools, max(score) AS max_score,
+  min(ws) AS ws, min(we) AS we, arg_min(struct_pack(s := start_, t := tool, c := block_count, z := block_sizes, b := block_starts),
+    CASE WHEN start_ = ws AND end_ = we THEN rank ELSE rank + 10 END) AS r, bool_or(start_ = ws AND end_ = we) AS own FROM c4 GROUP BY {_g()}, head),
+ord AS (SELECT *, row_number() OVER (PARTITION BY {_g()} ORDER BY struct_agree_count DESC, head) AS top FROM cl),
+win AS (SELECT {_g()}, arg_min(tool, rank) AS bsj_source, CAST(count(*) AS INT) AS bsj_confidence FROM w WHERE start_ = ws AND end_ = we GROUP BY {_g()})"""
+
+
+@_query(f"""{_SHIFTED}, own_ AS (SELECT * FROM w WHERE start_ = ws AND end_ = we),
+{_first_fit("own_")}, {_CLUSTERED},
+m AS (SELECT {_g()}, start_, end_, CAST(count(*) AS INT) AS bsj_confidence, arg_min(tool, rank) AS src, string_agg(tool, ',' ORDER BY tool) AS isoform_tools, max(score) AS max_score,
+  arg_min(block_count, rank) AS block_count, arg_min(block_sizes, rank) AS block_sizes, arg_min(block_starts, rank) AS block_starts FROM w WHERE NOT (start_ = ws AND end_ = we) GROUP BY {_g()}, start_, end_),
+e AS (SELECT {_g()}, ws AS start_, we AS end_, bsj_source, r.t AS struct_source, bsj_confidence, CAST(struct_agree_count AS INT) AS struct_agree_count, isoform_tools, max_score,
+    r.c AS block_count, r.z AS block_sizes, r.b AS block_starts, CASE WHEN top = 1 THEN 0 ELSE 1 END AS part, head AS o1, 0 AS o2 FROM ord JOIN win USING ({_g()})
+  UNION ALL SELECT {_g()}, start_, end_, src, src, bsj_confidence, 1, isoform_tools, max_score, block_count, block_sizes, block_starts, 2, start_, end_ FROM m),
+l AS (SELECT *, row_number() OVER (PARTITION BY {_g()} ORDER BY part, o1, o2) - 1 AS pos FROM e)
+SELECT {_ENTRY_COLS.replace(", isoform_label", "")}, CASE WHEN pos = 0 THEN 'main' ELSE 'iso' || pos END AS isoform_label FROM l""")
+def mode_hybrid(v):
+    """V6, P4, G9 at the production tolerance, over calls whose blocks differ by more and by less."""
+    return _entries(lambda _: v("shifted"), "hybrid", DEFAULTS.bsj_tolerance)
+
+
+@_query(f"""{_SHIFTED},
+{_first_fit("w")}, {_CLUSTERED}
+SELECT sample, chrom, strand, ws AS start_, we AS end_, bsj_source, r.t AS struct_source, bsj_confidence, CAST(struct_agree_count AS INT) AS struct_agree_count, isoform_tools, max_score,
+  r.c AS block_count, r.z AS block_sizes,
+  CASE WHEN own THEN r.b ELSE array_to_string([CAST(CAST(x AS BIGINT) + r.s - ws AS VARCHAR) FOR x IN string_split(r.b, ',')], ',') END AS block_starts,
+  CASE WHEN top = 1 THEN 'main' ELSE 'iso' || (row_number() OVER (PARTITION BY {_g()} ORDER BY top <> 1, head) - 1) END AS isoform_label
+FROM ord JOIN win USING ({_g()})""")
+def mode_xstruct(v):
+    """V5, P4, P5 at the production tolerance."""
+    return _entries(lambda _: v("shifted"), "xstruct", DEFAULTS.bsj_tolerance)
+
+
 @_query(f"""{_CALLS},
 b AS (SELECT *, count(*) OVER (PARTITION BY {_g()}, start_, end_) AS nb, count(*) OVER (PARTITION BY {_g()}, block_count, block_sizes, block_starts) AS ns,
         min(rank) OVER (PARTITION BY {_g()}) AS top FROM best),
@@ -249,33 +285,78 @@ def strict_group(v):
 
 @_query(f"""WITH {ctes("calls")}
 SELECT sample, chrom, strand, start_, end_, string_agg(DISTINCT tool, ',' ORDER BY tool) AS tools, count(DISTINCT tool) AS n_tools,
-  max(CAST(score AS BIGINT)) AS max_score FROM calls GROUP BY ALL HAVING count(DISTINCT tool) >= 3""")
+  max(CAST(score AS BIGINT)) AS max_score FROM calls GROUP BY ALL HAVING count(DISTINCT tool) = (SELECT count(DISTINCT tool) FROM calls)""")
 def legacy_intersection(v):
-    """Groups of all active callers (here three)."""
-    return legacy.strict_groups(v("calls"), ["sample", "chrom", "strand"]).where("n_tools >= 3")
+    """Groups of all active callers."""
+    calls = v("calls")
+    return legacy.intersection(legacy.strict_groups(calls, ["sample", "chrom", "strand"]), calls.agg(F.count_distinct("tool")).first()[0])
 
 
-@_query()
+_APPEARED = "(start_ + end_) % 7 * 1000000000000 + start_ * 1000 + end_ - start_"
+
+
+@_query(f"""WITH RECURSIVE {ctes("calls")},
+pt AS (SELECT sample, chrom, strand, start_, end_, count(*) AS n_calls FROM calls GROUP BY ALL),
+gp AS (SELECT *, CASE WHEN start_ - lag(start_) OVER w <= 5 THEN 0 ELSE 1 END AS cut FROM pt WINDOW w AS (PARTITION BY sample, chrom, strand ORDER BY start_, end_)),
+ig AS (SELECT *, sum(cut) OVER (PARTITION BY sample, chrom, strand ORDER BY start_, end_) AS isl FROM gp),
+nr AS (SELECT *, row_number() OVER (PARTITION BY sample, chrom, strand, isl ORDER BY {_APPEARED}) AS n FROM ig),
+wk AS (SELECT sample, chrom, strand, isl, n, [struct_pack(s := start_, e := end_)] AS leads, struct_pack(s := start_, e := end_) AS lead FROM nr WHERE n = 1
+  UNION ALL SELECT sample, chrom, strand, isl, n, CASE WHEN len(near) > 0 THEN leads ELSE list_append(leads, own) END, coalesce(near[1], own) FROM (
+    SELECT r.sample, r.chrom, r.strand, r.isl, r.n, k.leads, struct_pack(s := r.start_, e := r.end_) AS own,
+      list_filter(k.leads, lambda x: abs(x.s - r.start_) <= 5 AND abs(x.e - r.end_) <= 5) AS near
+    FROM wk k JOIN nr r ON k.sample = r.sample AND k.chrom = r.chrom AND k.strand = r.strand AND k.isl = r.isl AND r.n = k.n + 1))
+SELECT sample, chrom, strand, lead.s AS lead_start, lead.e AS lead_end, CAST(sum(n_calls) AS BIGINT) AS n_calls FROM wk JOIN nr USING (sample, chrom, strand, isl, n) GROUP BY ALL""")
 def legacy_leader_group(v):
     """G3."""
-    calls = v("calls").withColumn("ord", F.xxhash64("start", "end"))
+    s, e = F.col("start"), F.col("end")
+    calls = v("calls").withColumn("ord", (s + e) % 7 * 1000000000000 + s * 1000 + e - s)
     return legacy.leader_groups(calls, ["sample", "chrom", "strand"], DEFAULTS.bsj_tolerance).groupBy(
         "sample", "chrom", "strand", "lead_start", "lead_end").agg(F.count("*").alias("n_calls"))
 
 
 def _records(v):
-    return v("calls").select(
+    """Records of the runs: one per run, source, score and structure, numbered by what they hold."""
+    rows = v("shifted").select(
         "chrom", "strand", F.floor(F.col("start") / 1000).alias("locus"), F.col("sample").alias("run"), F.col("tool").alias("source"),
-        F.col("score").cast("long").alias("agree"), F.col("score").cast("long").alias("score"), "start", "end", "block_sizes", "block_starts",
-        F.struct("start", "end", "sample", "tool", "score", "block_sizes").alias("o"),
-    ).withColumn("agree", F.col("agree") % 4).dropDuplicates().withColumn(
-        "ord", F.xxhash64("start", "end", "run", "source", "score", "block_sizes", "block_starts")).drop("o")
-
-
-@_query()
+        (F.col("score").cast("long") % 4).alias("agree"), F.col("score").cast("long").alias("score"), "start", "end", "block_sizes", "block_starts",
+    ).distinct()
+    return rows.withColumn("ord", F.struct("score", "source", "run", "block_sizes", "block_starts"))
+
+
+_RANK = "CASE {0} WHEN 'isocirc' THEN 1 WHEN 'circfl' THEN 2 WHEN 'cirilong' THEN 3 WHEN 'circnick' THEN 4 ELSE 5 END"
+_CROSS = f"""WITH RECURSIVE {ctes("shifted")},
+rec AS (SELECT DISTINCT chrom, strand, start_ // 1000 AS locus, sample AS run, tool AS source, CAST(score AS BIGINT) % 4 AS agree, CAST(score AS BIGINT) AS score,
+  start_, end_, block_sizes, block_starts FROM shifted),
+nr AS (SELECT *, row_number() OVER (PARTITION BY chrom, strand, start_, end_ ORDER BY score, source, run, block_sizes, block_starts) AS n FROM rec),
+wk AS (SELECT chrom, strand, start_, end_, n, [struct_pack(n := n, z := block_sizes, b := block_starts)] AS heads, n AS head FROM nr WHERE n = 1
+  UNION ALL SELECT chrom, strand, start_, end_, n, CASE WHEN len(near) > 0 THEN heads ELSE list_append(heads, own) END, coalesce(near[1].n, n) FROM (
+    SELECT r.chrom, r.strand, r.start_, r.end_, r.n, k.heads, struct_pack(n := r.n, z := r.block_sizes, b := r.block_starts) AS own,
+      list_filter(k.heads, lambda h: h.z = r.block_sizes AND list_max(list_transform(list_zip(string_split(h.b, ','), string_split(r.block_starts, ',')),
+        lambda x: abs(CAST(x[1] AS BIGINT) - CAST(x[2] AS BIGINT)))) <= 5) AS near
+    FROM wk k JOIN nr r ON k.chrom = r.chrom AND k.strand = r.strand AND k.start_ = r.start_ AND k.end_ = r.end_ AND r.n = k.n + 1)),
+cr AS (SELECT nr.*, head, struct_pack(a := {_RANK.format("source")}, b := -agree, c := 5, d := n) AS o FROM nr JOIN wk USING (chrom, strand, start_, end_, n)),
+po AS (SELECT chrom, strand, locus, start_, end_, count(DISTINCT run) AS n_runs, sum(agree) AS weight, min(struct_pack(a := score, b := source, c := run, d := block_sizes, e := block_starts)) AS first,
+  string_agg(DISTINCT run, ',' ORDER BY run) AS all_runs, arg_min(run, o) AS rep FROM cr GROUP BY ALL),
+pw AS (SELECT *, row_number() OVER (PARTITION BY chrom, strand, locus ORDER BY n_runs DESC, weight DESC, first, start_, end_) = 1 AS wins FROM po),
+kl AS (SELECT chrom, strand, locus, start_, end_, head, count(DISTINCT run) AS runs, sum(agree) AS w, min({_RANK.format("source")}) AS best, string_agg(DISTINCT run, ',' ORDER BY run) AS tools,
+  arg_min(run, o) AS src, arg_min(score, o) AS score, arg_min(block_sizes, o) AS block_sizes, arg_min(block_starts, o) AS block_starts FROM cr GROUP BY ALL),
+kr AS (SELECT *, row_number() OVER (PARTITION BY chrom, strand, start_, end_ ORDER BY w DESC, best, head) AS place FROM kl),
+en AS (SELECT k.*, p.n_runs, p.rep AS bsj_source, k.tools AS isoform_tools, 0 AS part FROM kr k JOIN pw p USING (chrom, strand, locus, start_, end_) WHERE wins AND NOT (runs = 1 AND w < 2)
+  UNION ALL SELECT k.*, p.n_runs, k.src, p.all_runs, 1 FROM kr k JOIN pw p USING (chrom, strand, locus, start_, end_) WHERE NOT wins AND place = 1 AND NOT (n_runs = 1 AND weight < 2)),
+eo AS (SELECT *, row_number() OVER (PARTITION BY chrom, strand, locus ORDER BY part, CASE part WHEN 0 THEN place ELSE 0 END, start_, end_) AS pos,
+  min(part) OVER (PARTITION BY chrom, strand, locus) AS has FROM en),
+cx AS (SELECT chrom, strand, locus, start_, end_, bsj_source, src AS struct_source, CAST(n_runs AS INT) AS bsj_confidence, CAST(w AS BIGINT) AS struct_agree_count,
+  CASE WHEN has = 0 AND pos = 1 THEN 'main' ELSE 'iso' || (pos - 1) END AS isoform_label, isoform_tools, score, block_sizes, block_starts FROM eo)"""
+
+
+def _cross(v):
+    return crossrun.cross_run_entries(_records(v), ["chrom", "strand", "locus"], DEFAULTS.bsj_tolerance, DEFAULTS.min_tool_agreement)
+
+
+@_query(f"{_CROSS} SELECT * FROM cx")
 def crossrun_entries(v):
-    """V8, V9."""
-    return crossrun.cross_run_entries(_records(v), ["chrom", "strand", "locus"], 0, DEFAULTS.min_tool_agreement)
+    """V8, V9 at the production tolerance: runs vote on the junction, agreement on the structure."""
+    return _cross(v)
 
 
 _OBS = "CAST(greatest(0, least(a.{0}, b.{1}) - greatest(a.{2}, b.{3})) AS BIGINT)"
@@ -328,7 +409,14 @@ def pair_fraction_lookup(v):
     return intervals.fraction_lookup(ids, pairs).groupBy("sample", "id").agg(F.count("*").alias("n_pairs"))
 
 
-@_query()
+@_query(f"""{_TYPED},
+fr AS (SELECT *, overlap_bp / length_a AS fa, overlap_bp / length_b AS fb FROM pf),
+bo AS (SELECT sample, tool_a, tool_b, id_a AS id, struct_pack(f := id_a <> id_b, a := id_a, b := id_b) AS o, fa, fb FROM fr
+  UNION ALL SELECT sample, tool_a, tool_b, id_b, struct_pack(f := id_a <> id_b, a := id_a, b := id_b), fa, fb FROM fr),
+bb AS (SELECT sample, tool_a, tool_b, id, arg_min(fa, o) AS fa, arg_min(fb, o) AS fb FROM bo GROUP BY ALL),
+mf AS (SELECT sample, id, avg((fa + fb) / 2) AS f FROM bb WHERE tool_a <> 'circnick' AND tool_b <> 'circnick' GROUP BY ALL)
+SELECT i.sample, i.id, CASE WHEN f IS NULL OR f < 0.25 THEN 1 WHEN f < 0.5 THEN 2 WHEN f < 0.75 THEN 3 ELSE 4 END AS overlap_score
+FROM (SELECT DISTINCT sample, id FROM t) i LEFT JOIN mf USING (sample, id)""")
 def overlap_scores(v):
     """Mean fractions of the pairs among an entry's callers."""
     typed = _typed(v)
@@ -344,7 +432,7 @@ x AS (SELECT *, max(end_) OVER (PARTITION BY chrom, strand ORDER BY start_, end_
 y AS (SELECT *, sum(CASE WHEN reach IS NULL OR start_ > reach THEN 1 ELSE 0 END) OVER (PARTITION BY chrom, strand ORDER BY start_, end_ ROWS UNBOUNDED PRECEDING) AS isl FROM x)
 SELECT chrom, strand, min(start_) AS start_, max(end_) AS end_ FROM y GROUP BY chrom, strand, isl""")
 def feature_merge(v):
-    """S22, W3."""
+    """W3."""
     return intervals.merge(v("exons"), ["chrom", "strand"])
 
 
@@ -413,7 +501,7 @@ k AS (SELECT coalesce(CASE WHEN qry_id LIKE 'q%' AND ord % 2 = 0 THEN 'L' || ord
 m AS (SELECT bsj_id, arg_max(class_code, struct_pack(o := ord, k := k)) AS class_code, arg_max(ref_id, struct_pack(o := ord, k := k)) AS ref_id FROM k GROUP BY bsj_id)
 SELECT bsj_id, coalesce(class_code, 'NA') AS class_code, coalesce(ref_id, '.') AS ref_id FROM loci LEFT JOIN m USING (bsj_id)""")
 def class_code_join(v):
-    """S23, S24, J10."""
+    """J10."""
     loci = v("loci")
     o = F.col("ord").cast("string")
     tmap = loci.where("ord % 3 <> 0").select(
@@ -425,7 +513,7 @@ def class_code_join(v):
 
 @_query(f"WITH {ctes('both_strands')} SELECT chrom, start_, end_, strand, count(DISTINCT read_id) AS n_reads FROM both_strands GROUP BY ALL")
 def readset_union(v):
-    """S11 to S13, A1, U3."""
+    """A1, U3."""
     return quant.readset_union(v("both_strands"))
 
 
@@ -445,7 +533,7 @@ def strand_fallback_lookup(v):
 
 @_query(f"{_FALL} SELECT q.id, greatest(coalesce(n_reads, 0), coalesce(native, 0)) AS old_tool_count FROM q LEFT JOIN f USING (id)")
 def read_baseline(v):
-    """S14, A2."""
+    """A2."""
     reads = v("both_strands")
     return quant.baseline(_circles(v).drop("blocks"), reads, reads.select("chrom", "start", "end", "strand", F.col("reads").cast("long").alias("count")))
 
@@ -570,7 +658,7 @@ def proximity_gate(v):
 
 @_query(f"{_SEG} SELECT * FROM ok")
 def hit_scores(v):
-    """A5, A6."""
+    """A6."""
     return hits.score_coords(v("segments"), v("joins"))
 
 
@@ -613,9 +701,21 @@ def cigar_window(v):
     return rows.groupBy("qname", "rname", "s", "q", "v").agg(F.sum("w.m").alias("m"), F.sum("w.e").alias("e"))
 
 
-@_query()
+def _inside(part: str, low: str, high: str) -> str:
+    a, b = {"m1": ("s", "s + 3 * q"), "x": ("s + 3 * q", "s + 3 * q + v"), "m2": ("s + 3 * q + v", "s + 3 * q + v + 60")}[part]
+    return f"greatest(0, least({b}, {high}) - greatest({a}, {low}))"
+
+
+_ANCHORS = f"""WITH {ctes("cigars")},
+sg AS (SELECT *, s + 60 + 3 * q + v AS e, {_inside("m1", "jp - 20", "jp")} + {_inside("m2", "jp - 20", "jp")} AS ml, {_inside("x", "jp - 20", "jp")} AS el,
+  {_inside("m1", "jp", "jp + 20")} + {_inside("m2", "jp", "jp + 20")} AS mr, {_inside("x", "jp", "jp + 20")} AS er FROM cigars),
+an AS (SELECT qname, rname, CAST(sum(e - s) AS BIGINT) AS score, bool_or(s < jp AND jp < e) OR (bool_or(e BETWEEN jp - 50 AND jp) AND bool_or(s BETWEEN jp AND jp + 50)) AS gate,
+  max(struct_pack(m := ml, f := -el)) AS l, max(struct_pack(m := mr, f := -er)) AS r, sum(3 * q + v + 60) >= 0.3 * max(65 + 3 * q + v) AS whole FROM sg GROUP BY qname, rname)"""
+
+
+@_query(f"{_ANCHORS} SELECT qname, rname, score FROM an WHERE gate AND whole AND l.m >= 10 AND l.f >= -15 AND r.m >= 10 AND r.f >= -15")
 def anchor_cigar(v):
-    """P16, P17."""
+    """P16, P17, A5."""
     op = lambda code, n: F.struct(F.lit(code).alias("op"), n.cast("int").alias("len"))
     cigar = F.array(op(4, F.lit(5)), op(7, F.col("q") * 3), op(8, F.col("v")), op(7, F.lit(60)))
     rows = v("cigars").select("qname", "rname", F.col("s").cast("long"), (F.col("s") + 60 + F.col("q") * 3 + F.col("v")).cast("long").alias("e"), cigar.alias("cigar"),
@@ -658,7 +758,7 @@ lo AS (SELECT q.id, q_chrom AS new_chrom, s AS new_start, e AS new_end, CASE q_s
 
 @_query(f"{_LIFT} SELECT * REPLACE (coalesce(new_start, -1) AS new_start, coalesce(new_end, -1) AS new_end) FROM lo")
 def liftover_coords(v):
-    """J15, S27."""
+    """J15."""
     out = liftover.liftover(_circles(v).drop("blocks", "ord"), v("chain")).drop("chrom", "start", "end", "strand")
     return out.na.fill(-1, ["new_start", "new_end"])
 
@@ -683,7 +783,7 @@ r AS (SELECT id, CASE strand WHEN '-' THEN reverse(translate(fw, 'ACGTN', 'TGCAN
 SELECT id AS bsj_id, CAST(length(one) AS BIGINT) AS circle_length, CAST(2 * length(one) AS BIGINT) AS ref_length, CAST(length(one) AS BIGINT) AS join_pos, md5(one || one) AS seq_md5
 FROM r WHERE length(one) >= 30""")
 def circle_seq(v):
-    """P12, P13, D11."""
+    """P12, D11."""
     start = F.col("start") % 3000
     loci = _circles(v).withColumn("blocks", F.transform("blocks", lambda b: F.struct((b["s"] - F.col("start") + start).alias("s"), b["n"].alias("n"))))
     out = sequences.circle_sequences(loci.withColumnRenamed("id", "bsj_id"), v("genome"))
@@ -703,7 +803,7 @@ def candidate_windows(v):
 w AS (SELECT bsj_id, chrom, start_ AS s, end_ AS e FROM loci)
 SELECT bsj_id, count(*) AS n FROM w JOIN exons x ON w.chrom = x.chrom AND x.start_ < w.e AND w.s < x.end_ GROUP BY 1""")
 def region_fetch(v):
-    """J14, J13."""
+    """J14."""
     a = v("loci").select("bsj_id", "chrom", "start", "end")
     return intervals.overlap_join(a, v("exons"), ["chrom"]).groupBy(F.col("a.bsj_id").alias("bsj_id")).agg(F.count("*").alias("n"))
 
@@ -718,11 +818,11 @@ def tier_min_runs(v):
         "min_runs", labels.min_runs(F.col("tier"), F.col("n")).cast("int"))
 
 
-@_query()
+@_query(f"""WITH {ctes("loci")}
+SELECT chunk, least(100, total - chunk * 100) AS n FROM (SELECT total, unnest(range(0, (total + 99) // 100)) AS chunk FROM (SELECT count(*) AS total FROM loci))""")
 def chunk_assign(v):
-    """O7."""
-    loci = v("loci")
-    return quant.chunks(loci, DEFAULTS.chunk_size, DEFAULTS.chunk_seed, loci.count()).groupBy("chunk").agg(F.count("*").alias("n"))
+    """Chunks of a fixed size; which locus is in which is a matter of the seed."""
+    return quant.chunks(v("loci"), DEFAULTS.chunk_size, DEFAULTS.chunk_seed).groupBy("chunk").agg(F.count("*").alias("n"))
 
 
 def flagship(spark, sf_dir):
@@ -745,7 +845,7 @@ def _text(c):
 @_query(f"""WITH {ctes("calls")}
 SELECT 'isocirc' AS tool, chrom, start_, end_, score, strand, block_count, block_sizes, block_starts, count(*) AS n FROM calls GROUP BY ALL""")
 def bed_parse(v):
-    """Comments, track lines and blanks are skipped."""
+    """Comments, track lines and blanks are skipped."""
     calls = v("calls")
     lines = _lines(calls, "chrom", _text("start"), _text("end"), F.lit("x"), "score", "strand", _text("start"), _text("start"), F.lit("0"), "block_count", "block_sizes", "block_starts")
     extra = lines.limit(3).withColumn("value", F.element_at(F.array(F.lit("# note"), F.lit("track a"), F.lit("  ")), (F.col("ord") % 3 + 1).cast("int")))
@@ -840,48 +940,31 @@ def sibling_components(v):
 
 
 _EXON = f"""{_TYPED.replace("WITH ", "WITH RECURSIVE ", 1)},
-sm AS (SELECT * FROM pf WHERE sample = 'S0' AND chrom = 'chr1' AND overlap_bp * 20 >= length_a * 19 AND overlap_bp * 20 >= length_b * 19),
-s AS (SELECT id_a AS a, id_b AS b FROM sm UNION SELECT id_b, id_a FROM sm),
-nd AS (SELECT id_a AS node FROM pf WHERE sample = 'S0' AND chrom = 'chr1' UNION SELECT id_b FROM pf WHERE sample = 'S0' AND chrom = 'chr1'),
-r AS (SELECT node, node AS x FROM nd UNION SELECT r.node, s.b FROM r JOIN s ON r.x = s.a),
-cm AS (SELECT node, min(x) AS component FROM r GROUP BY node)""".replace(
-    "SELECT a.sample, a.tool AS tool_a", "SELECT a.sample, a.chrom, a.tool AS tool_a")
-
-
-_EXON_PART = "sample = 'S0' and chrom = 'chr1'"
+sm AS (SELECT * FROM pf WHERE overlap_bp * 20 >= length_a * 19 AND overlap_bp * 20 >= length_b * 19),
+s AS (SELECT sample, id_a AS a, id_b AS b FROM sm UNION SELECT sample, id_b, id_a FROM sm),
+nd AS (SELECT sample, id_a AS node FROM pf UNION SELECT sample, id_b FROM pf),
+r AS (SELECT sample, node, node AS x FROM nd UNION SELECT r.sample, r.node, s.b FROM r JOIN s ON r.sample = s.sample AND r.x = s.a),
+cm AS (SELECT sample, node, min(x) AS component FROM r GROUP BY sample, node)"""
 
 
-def _components(v, part="true"):
-    typed = _typed(v).where(part)
+def _components(v):
+    typed = _typed(v)
     return typed, legacy.exon_components(intervals.pair_overlaps(typed), 0.95, ("sample",))
 
 
-@_query(f"{_EXON} SELECT node, component FROM cm")
+@_query(f"{_EXON} SELECT sample, node, component FROM cm")
 def legacy_exon_components(v):
-    """One chromosome of one sample, as its SQL; `legacy_exon_components_all` has every call."""
-    return _components(v, _EXON_PART)[1].drop("sample")
-
-
-@_query()
-def legacy_exon_components_all(v):
-    """All samples and chromosomes; a recursive SQL over them is too slow, tests hold it against brute force."""
+    """G8."""
     return _components(v)[1]
 
 
-@_query(f"""{_EXON}, c AS (SELECT component, tool, rank, chrom, start_, end_, strand FROM cm JOIN t ON t.id = cm.node AND t.sample = 'S0' AND t.chrom = 'chr1'),
-g AS (SELECT component, count(DISTINCT tool) AS n_tools, string_agg(DISTINCT tool, ',' ORDER BY tool) AS tools,
-  min(struct_pack(a := rank, b := chrom, c := start_, d := end_, e := strand)) AS r FROM c GROUP BY 1)
-SELECT component, n_tools, tools, r.b AS chrom, r.c AS start_, r.d AS end_, r.e AS strand, '1' AS block_count, CAST(r.d - r.c AS VARCHAR) AS block_sizes,
+@_query(f"""{_EXON}, c AS (SELECT cm.sample, component, tool, rank, chrom, start_, end_, strand FROM cm JOIN t ON t.sample = cm.sample AND t.id = cm.node),
+g AS (SELECT sample, component, count(DISTINCT tool) AS n_tools, string_agg(DISTINCT tool, ',' ORDER BY tool) AS tools,
+  min(struct_pack(a := rank, b := chrom, c := start_, d := end_, e := strand)) AS r FROM c GROUP BY 1, 2)
+SELECT sample, component, n_tools, tools, r.b AS chrom, r.c AS start_, r.d AS end_, r.e AS strand, '1' AS block_count, CAST(r.d - r.c AS VARCHAR) AS block_sizes,
   {_BIN.format("n_tools")} AS score, {_LABEL.format(_BIN.format("n_tools"))} AS consensus FROM g""")
 def legacy_exon_scores(v):
-    """One chromosome of one sample, as its SQL; `legacy_exon_scores_all` has every call."""
-    typed, comps = _components(v, _EXON_PART)
-    return legacy.exon_group_scores(typed.drop("blocks"), comps, 4, ("sample",)).drop("sample")
-
-
-@_query()
-def legacy_exon_scores_all(v):
-    """All samples and chromosomes."""
+    """V13."""
     typed, comps = _components(v)
     return legacy.exon_group_scores(typed.drop("blocks"), comps, 4, ("sample",))
 
@@ -907,33 +990,20 @@ def largest_gaps(v):
     return _flagged(v).where("flagged").orderBy(F.desc("gap"), "bsj_id").limit(20).select("bsj_id", "gap")
 
 
-_LOOKUP = f"""WITH {ctes("calls")},
-q AS (SELECT DISTINCT chrom, start_, end_, strand, chrom || ':' || start_ || '-' || end_ || ':' || strand AS id FROM calls WHERE sample = 'S0'),
+@_query(f"""WITH {ctes("calls")},
+q AS (SELECT DISTINCT chrom, start_, end_, strand, chrom || ':' || start_ || '-' || end_ || ':' || strand AS id FROM calls),
 n AS (SELECT q.id, c.sample, c.start_ AS s, c.end_ AS e, c.tool, CAST(c.score AS INT) AS score FROM q JOIN calls c
       ON q.chrom = c.chrom AND q.strand = c.strand AND abs(q.start_ - c.start_) <= 5 AND abs(q.end_ - c.end_) <= 5)
-SELECT id, sample, arg_min(tool, struct_pack(a := s, b := e, c := tool, d := score)) AS tool, arg_min(score, struct_pack(a := s, b := e, c := tool, d := score)) AS score FROM n GROUP BY ALL"""
-
-
-def _lookup(v, part="true"):
+SELECT id, sample, arg_min(tool, struct_pack(a := s, b := e, c := tool, d := score)) AS tool, arg_min(score, struct_pack(a := s, b := e, c := tool, d := score)) AS score FROM n GROUP BY ALL""")
+def crossrun_lookup(v):
+    """Per sample the first row within tolerance, own strand only."""
     calls = v("calls").withColumn("score", F.col("score").cast("int"))
-    q = calls.where(part).select("chrom", "start", "end", "strand").distinct().withColumn(
+    q = calls.select("chrom", "start", "end", "strand").distinct().withColumn(
         "id", blocks.junction_id(F.col("chrom"), F.col("start"), F.col("end"), F.col("strand")))
     table = calls.select("sample", "chrom", "start", "end", "strand", F.struct("start", "end", "tool", "score").alias("ord"), F.struct("tool", "score").alias("info"))
     return annotation.cross_run_lookup(q, table).select("id", "sample", "info.*")
 
 
-@_query(_LOOKUP)
-def crossrun_lookup(v):
-    """Per sample the first row within tolerance, own strand only; the loci of one sample, as its SQL."""
-    return _lookup(v, "sample = 'S0'")
-
-
-@_query(_LOOKUP.replace(" FROM calls WHERE sample = 'S0'", " FROM calls"))
-def crossrun_lookup_all(v):
-    """The loci of all samples."""
-    return _lookup(v)
-
-
 @_query(f"""{_CALLS}
 SELECT rs AS start_, chrom, strand, string_agg(DISTINCT tool, ',' ORDER BY tool) AS tools, count(DISTINCT sample) AS n_samples FROM j GROUP BY rs, chrom, strand""")
 def tool_union(v):
@@ -943,13 +1013,3 @@ def tool_union(v):
     rows = calls.join(roots, ["sample", "chrom", "strand", "start", "end"])
     return rows.groupBy(F.col("root_start").alias("start"), "chrom", "strand").agg(
         F.array_join(F.array_sort(F.collect_set("tool")), ",").alias("tools"), F.count_distinct("sample").alias("n_samples"))
-
-
-def _over_all_exons(f):
-    """The query over every exon row, under its name and ``_all``; the one of its name keeps the view of its SQL."""
-    sql = ORACLE_SQL[f.__name__].replace(duck("exons"), duck("exons_all"))
-    _query(sql, f"{f.__name__}_all")(lambda v: f(lambda name: v("exons_all" if name == "exons" else name)))
-
-
-for _f in (feature_merge, type_classify, region_fetch):
-    _over_all_exons(_f)

@@ -41,7 +41,7 @@ FROM {part} WHERE p_partkey % 7 <> 0""",
 SELECT 'chr' || CAST(l_partkey % 22 + 1 AS STRING) AS chrom, l_partkey * 1000 + (l_linenumber % 4) * 40 AS start_,
        l_partkey * 1000 + (l_linenumber % 4) * 40 + 20 + CAST(l_quantity AS INT) % 90 AS end_,
        CASE WHEN l_partkey % 3 = 0 THEN '-' ELSE '+' END AS strand
-FROM {lineitem} WHERE l_orderkey % 4 = 0""",
+FROM {lineitem}""",
     "segments": """
 SELECT 'q' || CAST(l_orderkey AS STRING) AS qname, 'c' || CAST(l_partkey AS STRING) AS rname,
        120 + (l_linenumber % 5) * 20 + l_partkey % 50 AS s,
@@ -85,8 +85,8 @@ SELECT 'q' || CAST(l_orderkey AS STRING) AS qname, 'c' || CAST(l_partkey AS STRI
 FROM {lineitem}""",
 }
 
-#: The exons view takes a quarter of the rows; this one takes all.
-VIEWS["exons_all"] = VIEWS["exons"].replace(" WHERE l_orderkey % 4 = 0", "")
+#: Calls whose second and third block are up to 9 base pairs apart, within and beyond the tolerance.
+VIEWS["shifted"] = VIEWS["calls"].replace("'0,100' ELSE '0,100,200'", "'0,' || (100 + l_orderkey % 4 * 3) ELSE '0,' || (100 + l_orderkey % 4 * 3) || ',' || (200 + l_suppkey % 4 * 3)")
 
 
 def duck(name: str) -> str:

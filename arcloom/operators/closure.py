@@ -4,12 +4,10 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Distinct coordinates that one Python group takes together, about; islands are never cut.
-BATCH = 200_000
-
+from arcloom.operators.sweep import runs
 
 def _components(starts: np.ndarray, ends: np.ndarray, tolerance: int) -> np.ndarray:
     """Component number (index of its first row) of points sorted by start."""
@@ -31,33 +29,33 @@ def _components(starts: np.ndarray, ends: np.ndarray, tolerance: int) -> np.ndar
     return np.array([root(i) for i in range(len(parent))])
 
 
+def apart(points: DataFrame, keys: list[str], tolerance: int) -> DataFrame:
+    """``points`` with ``head``: rows of different values, or on either side of a gap over ``tolerance``, can't be in one group."""
+    return runs(points, keys, "start", lambda before: before.isNull() | (F.col("start") - before > tolerance)).drop("run")
+
+
 def closure(df: DataFrame, keys: list[str], tolerance: int, start: str = "start", end: str = "end") -> DataFrame:
     """``keys, start, end, root_start, root_end``: each distinct interval and its group's smallest interval.
 
     Two intervals of one key touch when both starts and both ends differ by at most ``tolerance``; groups are the
-    transitive closure. Only distinct coordinates move, once. Positions whose start is over ``tolerance`` away from the
-    one before begin an island that no group can cross; islands are packed into batches, so a chromosome with
-    very many calls is many Python groups. Null coordinates are left out.
+    transitive closure. Only distinct coordinates move. Positions whose start is over ``tolerance`` away from the
+    one before begin an island that no group can cross; the islands that begin in one stretch of a chromosome are one
+    Python group. Null coordinates are left out.
     """
     points = df.select(*keys, F.col(start).cast("long").alias("start"), F.col(end).cast("long").alias("end")).where(
         "start is not null and end is not null"
     ).distinct()
-    w = Window.partitionBy(*keys).orderBy("start", "end")
-    cut = F.when(F.col("start") - F.lag("start").over(w) <= tolerance, 0).otherwise(1)
-    marked = points.withColumn("cut", cut).withColumn("n", F.row_number().over(w))
-    # a batch is named by the place of its first island, rounded down
-    first = F.max(F.when(F.col("cut") == 1, F.col("n"))).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    marked = marked.withColumn("batch", F.floor(first / BATCH)).drop("cut", "n")
+    marked = apart(points, keys, tolerance)
 
     def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["start", "end"], kind="stable").reset_index(drop=True)
         top = _components(pdf["start"].to_numpy(), pdf["end"].to_numpy(), tolerance)
         pdf["root_start"], pdf["root_end"] = pdf["start"].to_numpy()[top], pdf["end"].to_numpy()[top]
-        return pdf.drop(columns="batch")
+        return pdf.drop(columns="head")
 
     kinds = dict(df.dtypes)
     schema = ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", start long, end long, root_start long, root_end long"
-    return marked.groupBy(*keys, "batch").applyInPandas(kernel, schema)
+    return marked.groupBy(*keys, "head").applyInPandas(kernel, schema)
 
 
 def group_relaxed(calls: DataFrame, keys: list[str], tolerance: int, order: list[str]) -> DataFrame:

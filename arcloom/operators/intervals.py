@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arcloom.functions import blocks
+from arcloom.operators.sweep import runs
 
 #: Width of position bins; a pair is kept in the first bin that both intervals touch.
 BIN = 10_000
@@ -84,13 +85,10 @@ def overlap_score(entries: DataFrame, found: DataFrame) -> DataFrame:
 def islands(df: DataFrame, keys: list[str], touching: bool, order: str | None = None) -> DataFrame:
     """``df`` with ``island`` numbers along sorted intervals: a new one starts where nothing before reaches.
 
-    ``touching`` intervals ([0,10) and [10,20)) share an island or not. One sort per key.
+    ``touching`` intervals ([0,10) and [10,20)) share an island or not.
     """
-    w = Window.partitionBy(*keys).orderBy("start", "end", *([order] if order else []))
-    reach = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    new = (F.col("start") > reach) if touching else (F.col("start") >= reach)
-    marked = df.withColumn("__new", F.when(reach.isNull() | new, 1).otherwise(0))
-    return marked.withColumn("island", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("__new")
+    new = (lambda reach: F.col("start") > reach) if touching else (lambda reach: F.col("start") >= reach)
+    return runs(df, keys, "end", lambda reach: reach.isNull() | new(reach), (order,) if order else ()).withColumnRenamed("run", "island").drop("head")
 
 
 def merge(df: DataFrame, keys: list[str]) -> DataFrame:

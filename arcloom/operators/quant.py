@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arcloom.config import DEFAULTS
@@ -116,10 +116,18 @@ def rescue_counts(refs: DataFrame, assigned: DataFrame, name: str) -> DataFrame:
     return refs.select("bsj_id").distinct().join(n, "bsj_id", "left").na.fill(0, [name])
 
 
-def chunks(loci: DataFrame, size: int, seed: int, total: int) -> DataFrame:
-    """``loci`` with a chunk number by a seeded hash order, in chunks of about ``size``: no row is sorted globally."""
-    n = max(1, -(-total // size))
-    return loci.withColumn("chunk", F.pmod(F.xxhash64("bsj_id", F.lit(seed)), F.lit(n)))
+def chunks(loci: DataFrame, size: int, seed: int, id_col: str = "bsj_id", buckets: int = 4096) -> DataFrame:
+    """``loci`` with a chunk number: chunks of exactly ``size`` rows (the last one fewer) in a seeded hash order.
+
+    Rows are numbered within buckets of the hash; one row per bucket carries the counts before it, so no task sorts all.
+    """
+    rows = loci.withColumn("__h", F.xxhash64(F.col(id_col), F.lit(seed))).withColumn("__b", F.pmod("__h", F.lit(buckets)))
+    before = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)  # over one row per bucket
+    counts = rows.groupBy("__b").agg(F.count("*").alias("__n"))
+    counts = counts.select("__b", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    place = F.row_number().over(Window.partitionBy("__b").orderBy("__h", id_col)) - 1
+    return rows.withColumn("__i", place).join(F.broadcast(counts), "__b").withColumn(  # at most ``buckets`` rows
+        "chunk", F.floor((F.col("__i") + F.col("__before")) / size)).drop("__h", "__b", "__i", "__before")
 
 
 def windows(loci: DataFrame, flank: int = DEFAULTS.flank) -> DataFrame:

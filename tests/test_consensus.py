@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from arcloom.operators import closure, crossrun, graph, scoring, votes
+from arcloom.operators import closure, crossrun, graph, intervals, scoring, sweep, votes
 from arcloom.plans import consensus
 
 SCHEMA = "tool string, start long, end long, score string, block_sizes string, block_starts string"
@@ -105,7 +105,7 @@ def brute_components(nodes, linked):
 
 
 def test_closure_is_two_dimensional(spark, monkeypatch):
-    monkeypatch.setattr(closure, "BATCH", 7)
+    monkeypatch.setattr(sweep.runs, "__defaults__", ((), 16))
     r = random.Random(3)
     points = sorted({(r.randrange(150), 300 + r.randrange(60)) for _ in range(120)} | {(500, 600), (504, 608), (508, 604)})
     want = brute_components(points, lambda a, b: abs(a[0] - b[0]) <= 5 and abs(a[1] - b[1]) <= 5)
@@ -114,6 +114,22 @@ def test_closure_is_two_dimensional(spark, monkeypatch):
     assert got == want
 
 
+@pytest.mark.parametrize("touching", [True, False])
+def test_islands_do_not_depend_on_bins(spark, monkeypatch, touching):
+    r = random.Random(4)
+    rows = [(k, s, s + r.choice([1, 2, 3, 40])) for k in "ab" for s in sorted(r.sample(range(300), 70))]
+    monkeypatch.setattr(sweep.runs, "__defaults__", ((), 8))
+    df = spark.createDataFrame(rows, "chrom string, start long, end long")
+    got = {(x["chrom"], x["start"], x["end"]): x["island"] for x in intervals.islands(df, ["chrom"], touching).collect()}
+    for key in "ab":
+        reach, n = None, 0
+        for _, s, e in sorted(x for x in rows if x[0] == key):
+            if reach is None or (s > reach if touching else s >= reach):
+                n += 1
+            reach = max(reach or 0, e)
+            assert got[key, s, e] == n
+
+
 def test_connected_components(spark):
     r = random.Random(5)
     edges = [(r.randrange(60), r.randrange(60)) for _ in range(45)] + [(7, 7), (100, 101), (101, 102), (102, 103), (103, 104), (100, 101)]
