@@ -95,11 +95,28 @@ def expression_d(lines: DataFrame, strand_column: int = 4, count_column: int = 5
 
 def reads_of(rows: DataFrame, tool: str, column: str = "read_ids", shift: int = 0) -> DataFrame:
     """One row per locus and read from rows with comma-joined read ids; ``shift`` is taken from 1-based starts."""
-    ids = F.explode(F.split(column, ","))
-    out = rows.select(F.lit(tool).alias("tool"), "chrom", (F.col("start") - shift).alias("start"), "end", "strand", F.trim(ids).alias("read_id"))
+    ids = F.explode(F.transform(F.split(column, ","), F.trim))
+    out = rows.select(F.lit(tool).alias("tool"), "chrom", (F.col("start") - shift).alias("start"), "end", "strand", ids.alias("read_id"))
     return out.where("read_id <> ''").distinct()
 
 
+def native_counts(rows: DataFrame) -> DataFrame:
+    """``chrom, start, end, strand, count``: the largest count of a locus among rows of caller D."""
+    return rows.groupBy("chrom", "start", "end", "strand").agg(F.max("count").alias("count"))
+
+
+def lift_names(rows: DataFrame, kind: str, place: str = "place") -> DataFrame:
+    """``chrom, start, end, name`` for lifting parts of circles: ``<circ_id>_<kind>_<place>``.
+
+    The place is the row's number in its table. ``region`` (``..._chrom:...``), if there, names the chromosome after its last
+    underscore; rows whose region holds no colon are left out.
+    """
+    if "region" in rows.columns:
+        last = F.element_at(F.split("region", "_"), -1)
+        rows = rows.withColumn("chrom", F.element_at(F.split(last, ":"), 1)).where(last.contains(":"))
+    return rows.select("chrom", "start", "end", F.concat_ws("_", "circ_id", F.lit(kind), F.col(place).cast("string")).alias("name"))
+
+
 def presence(rows: DataFrame, tools: list[str]) -> DataFrame:
     """Flags 0/1 per caller; blank and NA count as 0."""
     return rows.withColumns({t: F.coalesce(F.col(t).try_cast("int"), F.lit(0)) for t in tools})

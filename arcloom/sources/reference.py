@@ -59,8 +59,9 @@ def parse_sam(lines: DataFrame) -> DataFrame:
 
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """``name, sequence`` of FASTA records; the name is the whole header line. Records are split by Spark's reader, not by line."""
-    rows = spark.read.option("lineSep", ">").text(path).where(F.trim("value") != "")
+    """``name, sequence`` of FASTA records; the name is the whole header line, which may hold ``>``. Spark's reader splits the records."""
+    rows = spark.read.option("lineSep", "\n>").text(path).where(F.trim("value") != "")
+    rows = rows.select(F.regexp_replace("value", r"^\s*>", "").alias("value"))
     head = F.regexp_extract("value", r"^([^\r\n]*)", 1)
     body = F.regexp_replace(F.substring(F.col("value"), F.length(head) + 1, F.length("value")), r"\s", "")
     return rows.select(F.trim(head).alias("name"), body.alias("sequence"))

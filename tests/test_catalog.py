@@ -6,7 +6,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from arcloom import catalog
+from arcloom import catalog, catalog_tables  # noqa: F401
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")

@@ -204,13 +204,18 @@ def test_quantify(spark):
 
 
 def test_clean_and_sinks(spark, tmp_path):
-    e = spark.createDataFrame([("i", "c", 0, 100, "+", 0, 1, 0)], "id string, chrom string, start long, end long, strand string, ord int, isocirc int, circfl int")
-    e = e.withColumn("blocks", F.array(F.struct(F.col("start").alias("s"), F.lit(100).cast("long").alias("n"))))
+    e = spark.createDataFrame([("c:0-100:+", "c", 0, 100, "+", "1", "100", "0", 1, 0), ("c:0-100:+|iso1", "c", 0, 100, "+", "1", "90", "0", 0, 1)],
+                              "bsj_id string, chrom string, start long, end long, strand string, sel_block_count string, sel_block_sizes string, sel_block_starts string, isocirc int, circfl int")
+    e = e.withColumns({"bsj_confidence": F.lit(1), "isoform_confidence": F.lit(1), "class_code": F.lit("="), "ref_gene_id": F.lit("g"), "other": F.lit(1)})
     empty = spark.createDataFrame([], "chrom string, start long, end long, strand string")
     table = spark.createDataFrame([("c", 2, 101, ".", 7, 0, 1), ("c", 0, 100, "+", 9, 1, 2)], "chrom string, start long, end long, strand string, value long, ord long, source_rank int")
-    got = annotation.clean(e, empty, empty, table).first()
-    assert (got["circ_type"], got["expression"], got["supporting_tools"]) == ("intergenic", 7, "isocirc")
-    assert len(sinks.clean_table(spark.createDataFrame([("c",)], "chrom string")).columns) == 15
+    out = annotation.clean(e, empty, empty, table)
+    assert ",".join(out.columns) == ("#chrom,start,end,strand,sel_block_count,sel_block_sizes,sel_block_starts,bsj_id,bsj_confidence,isoform_confidence,"
+                                     "class_code,ref_gene_id,type,supporting_reads,supporting_tools")
+    assert sorted((r["bsj_id"], r["type"], r["supporting_reads"], r["supporting_tools"]) for r in out.collect()) == [
+        ("c:0-100:+", "intergenic", 7, "isocirc"), ("c:0-100:+|iso1", "intergenic", 7, "circfl")]
+    with pytest.raises(ValueError, match="missing"):
+        sinks.clean_table(spark.createDataFrame([("c",)], "chrom string"))
     sinks.write_tsv(spark.createDataFrame([("a", True, 0.5, None)], "s string, f boolean, x double, n long").coalesce(1), str(tmp_path / "o"))
     body = "".join(p.read_text() for p in (tmp_path / "o").glob("part-*"))
     assert body == "s\tf\tx\tn\na\tTrue\t0.5000\t\n"
