@@ -95,7 +95,7 @@ def expression_d(lines: DataFrame, strand_column: int = 4, count_column: int = 5
 
 def reads_of(rows: DataFrame, tool: str, column: str = "read_ids", shift: int = 0) -> DataFrame:
     """One row per locus and read from rows with comma-joined read ids; ``shift`` is taken from 1-based starts."""
-    ids = F.explode(F.transform(F.split(column, ","), F.trim))
+    ids = F.explode(F.transform(F.split(column, ","), lambda x: F.trim(x)))
     out = rows.select(F.lit(tool).alias("tool"), "chrom", (F.col("start") - shift).alias("start"), "end", "strand", ids.alias("read_id"))
     return out.where("read_id <> ''").distinct()
 
