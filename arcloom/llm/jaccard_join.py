@@ -337,10 +337,23 @@ def _label(rows: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with the smallest id of each component; rows with a null id stay, an id that goes takes all its rows along."""
-    marked = linked_components(docs, id_col, text_col, **options)
-    gone = written(marked.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct(), "gone")
-    return docs.join(small_side(gone), F.col(id_col) == F.col("__gone"), "left_anti")
+    """``docs`` with one document of each component: the smallest id's.
+
+    Where rows repeat an id or have none, they are told apart by id and text: the row with the smallest id stays (one
+    without an id only if no other has one), among several texts of that id one, and other texts under its id are judged by themselves.
+    """
+    if not _unnamed(docs.select(F.col(id_col).alias("doc_id"))):
+        marked = linked_components(docs, id_col, text_col, **options)
+        gone = written(marked.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct(), "gone")
+        return docs.join(small_side(gone), F.col(id_col) == F.col("__gone"), "left_anti")
+    node = F.xxhash64(F.col(id_col), F.col(text_col), F.lit("n"))
+    named = docs.select(node.alias("__node"), F.col(id_col).alias("id"), F.col(text_col).alias("t")).dropDuplicates(["__node"])
+    marked = linked_components(named, "__node", "t", **options).withColumnRenamed("doc_id", "__node").drop("n_shingles")
+    marked = written(marked.join(named.select("__node", "id"), "__node"), "named")
+    stays = marked.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "__node")).alias("s"))
+    gone = marked.join(stays, "component_id").where("__node <> s.__node").select(F.col("__node").alias("__gone"))
+    gone = written(gone, "gone")
+    return docs.join(small_side(gone), node == F.col("__gone"), "left_anti")
 
 
 def prefix_length(n: int, percent: int) -> int:

@@ -117,5 +117,12 @@ def test_keep_one(spark):
     assert left.columns == ["doc_id", "text", "h", "keep_id", "n"] and sorted(r["doc_id"] for r in left.collect()) == [1, 2, 4, 5]
 
 
+def test_keep_one_tells_rows_apart_by_id_and_text(spark):
+    a, b = "one two three four five six", "other words that stand alone here"
+    rows = [(1, a), (2, a), (2, b), (None, a), (None, "x y z"), (None, None), (3, b + " too"), (4, "x y z")]
+    left = sorted(((r["doc_id"], r["text"]) for r in jaccard_join.keep_one(table(spark, rows)).collect()), key=str)
+    assert left == sorted([(1, a), (2, b), (None, None), (3, b + " too"), (4, "x y z")], key=str)
+
+
 def test_prefix_length():
     assert [jaccard_join.prefix_length(n, 85) for n in (1, 6, 7, 100)] == [1, 1, 2, 16]
