@@ -27,7 +27,7 @@ ROUNDS = 2
 #: expected tokens, with DAMP imagined tokens on either side.
 BLEND, START, STEP, DAMP = 0.35, 20.0, 0.3, 8.0
 #: Tokens of one forward pass, and of one sum of expected counts.
-BATCH, CHUNK = 1024, 8192
+BATCH, CHUNK = 1024, 32768
 #: Partitions of the input that one learner reads, where there are enough of them for all cores: each learner writes its slots.
 TOGETHER = 16
 #: Blocks that a table of slots is split into, and tables that one task adds up; more are added up in a tree.
@@ -92,8 +92,8 @@ class ClassModel:
     bits: int
 
     def _sums(self, slots: np.ndarray):
-        """``(first token, class sums, largest of each)`` batch by batch; the arrays are used again."""
-        z, x = np.empty((BATCH, CLASSES), np.float32), np.empty((BATCH, CLASSES), np.float32)
+        """``(first token, exponentials of the class sums, their sum by token)`` batch by batch; the arrays are used again."""
+        z, x, ones = np.empty((BATCH, CLASSES), np.float32), np.empty((BATCH, CLASSES), np.float32), np.ones(CLASSES, np.float32)
         for a in range(0, len(slots), BATCH):
             s = slots[a : a + BATCH]
             out, more = z[: len(s)], x[: len(s)]
@@ -101,23 +101,24 @@ class ClassModel:
             for c in range(1, s.shape[1]):
                 out += np.take(self.weights, s[:, c], 0, out=more, mode="clip")
             out += self.bias
-            out -= out.max(1, keepdims=True)
-            yield a, out
+            if out.max() > 60 or out.min() < -60:  # beyond what single precision adds up
+                out -= out.max(1, keepdims=True)
+            np.exp(out, out=out)
+            yield a, out, out @ ones
 
     def log_share(self, slots: np.ndarray, kind: np.ndarray) -> np.ndarray:
         """Natural log probability of each token's class given its slots."""
         out = np.empty(len(slots))
-        for a, z in self._sums(slots):
-            own = z[np.arange(len(z)), kind[a : a + len(z)]].copy()
-            out[a : a + len(z)] = own - np.log(np.exp(z, out=z).sum(1, dtype=np.float64))
+        for a, z, total in self._sums(slots):
+            own = z[np.arange(len(z)), kind[a : a + len(z)]]
+            out[a : a + len(z)] = np.log(np.maximum(own, 1e-37)) - np.log(total)
         return out
 
     def shares(self, slots: np.ndarray) -> np.ndarray:
         """Probability of every class at each token."""
         out = np.empty((len(slots), CLASSES), np.float32)
-        for a, z in self._sums(slots):
-            np.exp(z, out=z)
-            np.divide(z, z.sum(1, keepdims=True), out=out[a : a + len(z)])
+        for a, z, total in self._sums(slots):
+            np.multiply(z, (1 / total)[:, None], out=out[a : a + len(z)])
         return out
 
 
@@ -126,7 +127,7 @@ def _by_key(key: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
     The runs of equal keys are ordered by length, so the runs that have an r-th row are a prefix.
     """
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     k = key[order]
     first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
     n = np.diff(np.append(first, len(k)))
@@ -141,32 +142,36 @@ def _by_key(key: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return k[first], out, order[first]
 
 
-def _expect(table: np.ndarray, slots: np.ndarray, shares: np.ndarray, bits: int) -> None:
+def _expect(table: np.ndarray, slots: np.ndarray, shares: np.ndarray, bits: int, scratch: np.ndarray) -> None:
     """Add the tokens' class shares at all their slots.
 
     Tokens with the same slots for one, two and three classes, or for a word and a pair, are summed once for all of them.
+    ``scratch`` is an int for each slot.
     """
 
-    def add(at: np.ndarray, rows: np.ndarray) -> None:
+    def add(at: np.ndarray, rows: np.ndarray) -> None:  # may overwrite the rows
         while len(at):  # features that share a slot come one after the other
-            at_once, first = np.unique(at, return_index=True)
-            table[at_once] += rows[first]
-            if len(first) == len(at):
-                break
-            rest = np.ones(len(at), bool)
-            rest[first] = False
-            at, rows = at[rest], rows[rest]
+            place = np.arange(len(at), dtype=np.int32)
+            scratch[at] = place
+            last = scratch[at] == place
+            if last.all():
+                rows += np.take(table, at, 0)
+                table[at] = rows
+                return
+            table[at[last]] += rows[last]
+            at, rows = at[~last], rows[~last]
 
     one, two, three, last, skip, both = slots.T
     key = one << bits | two
     for short, long in ((key, three), (last, both)):
         k, rows, at = _by_key(short << bits | long, shares)
+        upper, above, _ = _by_key(k >> bits, rows)
         add(long[at], rows)
         if short is key:
-            k, rows, _ = _by_key(k >> bits, rows)
-            add(k & ((1 << bits) - 1), rows)
-        k, rows, _ = _by_key(k >> bits, rows)
-        add(k, rows)
+            k, rows, _ = _by_key(upper >> bits, above)
+            add(upper & ((1 << bits) - 1), above)
+            upper, above = k, rows
+        add(upper, above)
     k, rows, _ = _by_key(skip, shares)
     add(k, rows)
 
@@ -241,10 +246,12 @@ def fit(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, bits: int
             own = b.column("part").to_numpy(zero_copy_only=False)
             for i, rows, w, kind in tokens(b.column("t")):
                 part = np.repeat(own[i : i + len(rows) - 1], np.diff(rows))
-                at = features(rows, w, kind, bits).astype(np.int64) * CLASSES + kind[:, None]
+                at = features(rows, w, kind, bits) * np.int32(CLASSES) + kind[:, None].astype(np.int32)
                 for p in np.unique(part).tolist():
                     table = tables.setdefault(p, np.zeros(n * CLASSES, np.float32))
-                    table += np.bincount(at[part == p].ravel(), minlength=len(table))
+                    seen = np.sort(at[part == p], axis=None)
+                    first = np.flatnonzero(np.concatenate([[True], seen[1:] != seen[:-1]]))
+                    table[seen[first]] += np.diff(first, append=len(seen))
         for p, table in tables.items():
             yield from _emit(p, table.reshape(n, CLASSES), np.float32)
 
@@ -262,12 +269,12 @@ def fit(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, bits: int
         shared = spark.sparkContext.broadcast(model)
 
         def expect(batches, shared=shared):
-            table, own = np.zeros((n, CLASSES), np.float32), shared.value
+            table, scratch, own = np.zeros((n, CLASSES), np.float32), np.empty(n, np.int32), shared.value
             for b in small_batches(batches, "t", 2 << 20):
                 for _, rows, w, kind in tokens(b.column("t")):
                     slots = features(rows, w, kind, bits).astype(np.int64)
                     for a in range(0, len(w), CHUNK):
-                        _expect(table, slots[a : a + CHUNK], own.shares(slots[a : a + CHUNK]), bits)
+                        _expect(table, slots[a : a + CHUNK], own.shares(slots[a : a + CHUNK]), bits, scratch)
             yield from _emit(0, table, np.float32)
 
         tables = text.where(F.col("part") == k).coalesce(learners).select("t").mapInArrow(expect, _TABLE)
