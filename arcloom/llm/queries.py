@@ -127,14 +127,15 @@ def op9_url_filter(spark, sf_dir):
 def _spread_sql(name: str, shares: str, seeds: str) -> str:
     """The rounds of `url_filter.spread` as common table expressions."""
     d, digits = url_filter.DAMPING, url_filter.DIGITS
-    out = [f"{name}0 AS MATERIALIZED (SELECT host, round(weight, {digits}) AS score FROM {seeds})"]
+    out = [f"{name}0 AS MATERIALIZED (SELECT host, round(weight, {digits}) AS score FROM {seeds})",
+           f"{name}s AS (SELECT sum(score) AS total FROM {name}0)"]
     for i in range(url_filter.ROUNDS):
         out.append(f"""{name}{i + 1} AS MATERIALIZED (
   SELECT host, round(sum(score), {digits}) AS score FROM (
     SELECT dst AS host, {d} * score * share AS score FROM {name}{i} JOIN {shares} ON host = src
     UNION ALL
     SELECT host, score * ((1 - {d}) + {d} * (
-      SELECT coalesce(sum(score), 0.0) FROM {name}{i} WHERE host NOT IN (SELECT src FROM {shares}))) FROM {name}0)
+      SELECT coalesce(sum(score), 0.0) FROM {name}{i} WHERE host NOT IN (SELECT src FROM {shares})) / (SELECT total FROM {name}s)) FROM {name}0)
   GROUP BY host)""")
     return ",\n".join(out)
 
@@ -159,8 +160,9 @@ WITH u AS (
               ELSE regexp_extract(substr(url, strpos(url, '://') + 3), '^[^/?#]*([^?#]*)', 1) END AS path
   FROM pages),
 r AS (SELECT page_id, html, host, path, {_rules_sql()[0]} AS rule, {_rules_sql()[1]} AS by_rule FROM u),
-h AS (SELECT host, count(*) FILTER (WHERE coalesce(by_rule, 'allow') = 'allow') AS good,
+h AS (SELECT host, count(*) AS pages, count(*) FILTER (WHERE by_rule = 'allow') AS good,
              count(*) FILTER (WHERE by_rule = 'block') AS bad FROM r WHERE host <> '' GROUP BY host),
+a AS (SELECT sum(pages) AS pages, greatest(sum(good), 1) AS good, greatest(sum(bad), 1) AS bad FROM h),
 l AS (SELECT host AS src, unnest(regexp_extract_all(html,
         '(?i)<a\b[^>]*?\bhref\s*=\s*["'']?\s*((?:https?:)?//[^"''\s>]+)', 1)) AS link FROM r WHERE host <> ''),
 e AS (SELECT src, dst, count(*) AS links FROM (
@@ -168,15 +170,15 @@ e AS (SELECT src, dst, count(*) AS links FROM (
       WHERE dst <> '' AND dst <> src GROUP BY 1, 2),
 sf AS (SELECT src, dst, links / sum(links) OVER (PARTITION BY src) AS share FROM e),
 sb AS (SELECT dst AS src, src AS dst, links / sum(links) OVER (PARTITION BY dst) AS share FROM e),
-good AS (SELECT host, good / (SELECT sum(good) FROM h) AS weight FROM h WHERE good > 0),
-bad AS (SELECT host, bad / (SELECT sum(bad) FROM h) AS weight FROM h WHERE bad > 0),
+good AS (SELECT host, CAST(good AS DOUBLE) AS weight FROM h WHERE good > 0),
+bad AS (SELECT host, CAST(bad AS DOUBLE) AS weight FROM h WHERE bad > 0),
 {_spread_sql("t", "sf", "good")},
 {_spread_sql("d", "sb", "bad")},
 te AS (SELECT * FROM t{url_filter.ROUNDS} WHERE EXISTS (SELECT 1 FROM e) UNION ALL SELECT * FROM t0 WHERE NOT EXISTS (SELECT 1 FROM e)),
 de AS (SELECT * FROM d{url_filter.ROUNDS} WHERE EXISTS (SELECT 1 FROM e) UNION ALL SELECT * FROM d0 WHERE NOT EXISTS (SELECT 1 FROM e))
-SELECT page_id, r.host, path, rule, coalesce(by_rule, CASE WHEN coalesce(de.score, 0) > {url_filter.THRESHOLD} * coalesce(te.score, 0)
-       THEN 'block' ELSE 'allow' END) AS verdict
-FROM r LEFT JOIN te ON te.host = r.host LEFT JOIN de ON de.host = r.host
+SELECT page_id, r.host, path, rule, coalesce(by_rule, CASE WHEN coalesce(de.score, 0) / a.bad
+       > {url_filter.THRESHOLD} * (coalesce(te.score, 0) / a.good + coalesce(h.pages, 0) / a.pages) THEN 'block' ELSE 'allow' END) AS verdict
+FROM r LEFT JOIN te ON te.host = r.host LEFT JOIN de ON de.host = r.host LEFT JOIN h ON h.host = r.host CROSS JOIN a
 """
 
 

@@ -17,10 +17,12 @@ RULES = [
 ]
 ROUNDS = 12
 DAMPING = 0.85
-#: A host is blocked if its distrust exceeds this many times its trust.
+#: A host is blocked if its share of all distrust exceeds this many times the sum of its share of all trust and its share
+#: of all pages, which is what a walk without seeds would give it.
 THRESHOLD = 1.0
-#: Scores are sums of doubles whose order may vary; they are rounded to so many digits each round.
-DIGITS = 12
+#: Scores count pages: a seed page brings 1. They are sums of doubles whose order may vary, rounded to so many digits each
+#: round; how large the crawl is has no part in it.
+DIGITS = 9
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -66,7 +68,7 @@ def host_edges(pages: DataFrame, html_col: str = "html") -> DataFrame:
 
 
 def spread(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
-    """``host, score`` of personalised PageRank: ``edges`` (src, dst, links), ``seeds`` (host, weight; sum 1).
+    """``host, score`` of personalised PageRank: ``edges`` (src, dst, links), ``seeds`` (host, weight; the scores have the same sum).
 
     A host's score goes to the hosts it links to, by their share of its links; a host without links returns it to
     the seeds. Each round is one join on the source and one aggregate by the target with partial sums; nothing is
@@ -76,23 +78,22 @@ def spread(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: fl
     shares = written(edges.join(out_of, "src").select("src", "dst", (F.col("links") / F.col("total")).alias("share")), "shares")
     sources = small_side(written(shares.select(F.col("src").alias("host")).distinct(), "sources"))
     start = seeds.select("host", F.round("weight", DIGITS).alias("score"))
-    score = start
-    if shares.isEmpty():
+    score, total = start, start.agg(F.sum("score")).first()[0]
+    if not total or shares.isEmpty():
         return start
     for _ in range(rounds):
         moved = score.join(shares, score["host"] == shares["src"]).select(
             F.col("dst").alias("host"), (damping * F.col("score") * F.col("share")).alias("score")
         )
         lost = score.join(sources, "host", "left_anti").agg(F.coalesce(F.sum("score"), F.lit(0.0))).first()[0]
-        back = start.select("host", (F.col("score") * ((1 - damping) + damping * lost)).alias("score"))
+        back = start.select("host", (F.col("score") * ((1 - damping) + damping * lost / total)).alias("score"))
         score = moved.unionByName(back).groupBy("host").agg(F.round(F.sum("score"), DIGITS).alias("score"))
         score = written(score, "scores")
     return score
 
 
 def _seeds(hosts: DataFrame, count: str) -> DataFrame:
-    total = hosts.agg(F.sum(count)).first()[0] or 1
-    return hosts.where(F.col(count) > 0).select("host", (F.col(count) / F.lit(total)).alias("weight"))
+    return hosts.where(F.col(count) > 0).select("host", F.col(count).cast("double").alias("weight"))
 
 
 def judge(
@@ -101,11 +102,12 @@ def judge(
 ) -> DataFrame:
     """``page_id, host, path, rule, verdict, trust, distrust`` of every page.
 
-    The longest fitting rule decides. For other pages the host decides: trust spreads from hosts along their links,
-    seeded by each host's share of the pages that rules allow or that no rule names; distrust spreads against
-    the links (a host that links to blocked hosts is suspect), seeded by each host's share of blocked pages. A host
-    whose distrust exceeds ``threshold`` times its trust is blocked; a host without a score is allowed. A page without
-    a host is allowed. Rows may repeat; null urls and pages count as empty; an empty table gives no rows.
+    The longest fitting rule decides. For other pages the host decides: trust spreads from the hosts that have pages a
+    rule allows, along their links; distrust spreads against the links (a host that links to blocked hosts is
+    suspect) from the hosts that have pages a rule blocks; either by the number of such pages. A host is blocked if its share
+    of the distrust exceeds ``threshold`` times its share of the trust plus its share of the pages, so a large host
+    needs more than a small one. A page without a host is allowed. Rows may repeat; null urls and pages count as
+    empty; an empty table gives no rows.
 
     Host counts use partial sums, so a host with a third of all pages is one row per task; the scores (one row
     per host) join the pages by broadcast if they are few, else by a join that adaptive execution splits.
@@ -115,8 +117,7 @@ def judge(
     ruled = apply_rules(named, rules)
     hosts = written(
         ruled.where("host <> ''").groupBy("host").agg(
-            F.count_if(F.coalesce("by_rule", F.lit("allow")) == "allow").alias("good"),
-            F.count_if(F.col("by_rule") == "block").alias("bad"),
+            F.count("*").alias("pages"), F.count_if(F.col("by_rule") == "allow").alias("good"), F.count_if(F.col("by_rule") == "block").alias("bad"),
         ),
         "hosts",
     )
@@ -125,11 +126,13 @@ def judge(
     back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "links")
     distrust = spread(back, _seeds(hosts, "bad"), rounds, damping)
     scores = (
-        hosts.select("host").join(trust.withColumnRenamed("score", "trust"), "host", "left")
+        hosts.select("host", "pages").join(trust.withColumnRenamed("score", "trust"), "host", "left")
         .join(distrust.withColumnRenamed("score", "distrust"), "host", "left").na.fill(0.0)
     )
     scores = small_side(written(scores, "host-scores"))
-    own = F.when(F.col("distrust") > threshold * F.col("trust"), "block").otherwise("allow")
+    sums = hosts.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("pages", "good", "bad"))).first()
+    share = lambda c, n: F.col(c) / float(sums[n] or 1)
+    own = F.when(share("distrust", "bad") > threshold * (share("trust", "good") + share("pages", "pages")), "block").otherwise("allow")
     return ruled.drop("html").join(scores, "host", "left").select(
         "page_id", "host", "path", "rule", F.coalesce("by_rule", own).alias("verdict"),
         F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"),
