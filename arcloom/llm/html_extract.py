@@ -48,7 +48,7 @@ GOOD_WORDS = frozenset("article articlebody content entry main post story wrappe
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>?",
+    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"<]*\"|'[^'<]*'|[\"'])*)>?",
     re.S,
 )
 _ATTR = re.compile(r"([^\s=\"'/>]+)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
@@ -64,6 +64,7 @@ class Frame:
     main: bool
     content: bool
     named: bool = False  # bad only by a class word of what holds the article that this stands in
+    form: bool = False  # bad only by a form that holds it
 
 
 @dataclass
@@ -96,6 +97,7 @@ def _opened(tag: str, attrs: dict[str, str], parent: Frame) -> Frame:
     article = parent.article or tag == "article" or "articleBody" in attrs.get("itemprop", "")
     main = parent.main or tag == "main" or attrs.get("role", "").lower() == "main"
     whole = tag in ("html", "body", "article", "main")
+    inherited = parent.bad and not (parent.form and tag in ("article", "main"))  # a form may wrap a whole page
     words = not (whole and not parent.article) and bool(names & BAD_WORDS) and not names & GOOD_WORDS
     hard = (
         tag in DROPPED or "hidden" in attrs or attrs.get("role", "").lower() in BAD_ROLES
@@ -103,12 +105,13 @@ def _opened(tag: str, attrs: dict[str, str], parent: Frame) -> Frame:
         or bool(names & {"comment", "comments", "ad", "ads", "advert", "advertisement", "cookie"}) and tag not in ("html", "body")
         or re.search(r"display\s*:\s*none", attrs.get("style", "")) is not None
     )
-    bad = parent.bad or hard or words
+    bad = inherited or hard or words
+    form = bad and (parent.form and not (hard or words) if inherited else tag == "form" and not words)
     # a class word outside the article is a hint only; anything else that is bad, or bad inside it, is not
     named = not hard and (parent.named and not (words and article) if parent.bad else words and not article)
     content = parent.content or bool(names & {"content", "article", "story", "entry", "post"}) and not whole
     shown = tag + "." + ".".join(sorted(names)) if names else tag
-    return Frame(tag, _hash(parent.path, shown), bad, article, main, content, named)
+    return Frame(tag, _hash(parent.path, shown), bad, article, main, content, named, form)
 
 
 def parse(source: str) -> Page:
@@ -117,6 +120,19 @@ def parse(source: str) -> Page:
     parts: list[str] = []
     links = linked = at = 0
     owner = stack[0]
+    places: dict[str, list[int]] = {}  # where each tag stands on the stack
+    holders: list[int] = []  # of them, what a stray end tag inside does not close
+
+    def push(frame: Frame) -> None:
+        places.setdefault(frame.tag, []).append(len(stack))
+        if frame.tag in ("article", "main", "body", "html"):
+            holders.append(len(stack))
+        stack.append(frame)
+
+    def pop() -> None:
+        places[stack.pop().tag].pop()
+        while holders and holders[-1] >= len(stack):
+            holders.pop()
 
     def flush() -> None:
         nonlocal parts, linked
@@ -155,19 +171,18 @@ def parse(source: str) -> Page:
                 links = max(0, links - 1)
             if tag in BLOCK:
                 flush()
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    flush() if any(f.bad != stack[k - 1].bad for f in stack[k:]) else None
-                    page.tokens.append(_hash(stack[k].path, "close"))
-                    del stack[k:]
-                    break
-                if stack[k].tag in ("article", "main", "body", "html") and tag not in ("main", "body", "html"):
-                    break  # a stray end tag does not close what holds it
+            k = places[tag][-1] if places.get(tag) else 0
+            if k and (tag in ("main", "body", "html") or not holders or k >= holders[-1]):
+                if any(f.bad != stack[k - 1].bad for f in stack[k:]):
+                    flush()
+                page.tokens.append(_hash(stack[k].path, "close"))
+                while len(stack) > k:
+                    pop()
             continue
         if tag in BLOCK:
             flush()
             if stack[-1].tag == "p" or tag == stack[-1].tag and tag in ("li", "dt", "dd", "td", "th", "tr", "option"):
-                stack.pop()
+                pop()
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*[^>]*>", re.I).search(source, at)
             at = end.end() if end else n
@@ -185,7 +200,7 @@ def parse(source: str) -> Page:
                 flush()
             page.tokens.append(_hash(frame.path, "open"))
             if not m["attrs"].rstrip().endswith("/") or tag not in ("span", "svg"):
-                stack.append(frame)
+                push(frame)
     flush()
     return page
 
@@ -238,6 +253,8 @@ def _by_names(blocks: list[Block]) -> list[Block]:
             break
     else:
         chosen = [b for b in good if not (b.linked and b.linked * 2 > len(b.text))]
+    if not chosen:  # a form around the whole page
+        chosen = [b for b in blocks if b.frame.form and not (b.linked and b.linked * 2 > len(b.text))]
     hinted = [b for b in blocks if b.frame.named and b.frame.article]
     return hinted if _chars(hinted) > _chars(chosen) else chosen
 
