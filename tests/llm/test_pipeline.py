@@ -1,7 +1,12 @@
 """The pipeline's stages on a small table with planted copies, passages and noise."""
 
+import itertools
+import re
+
 import duckdb
+import public_tokenizers
 import pytest
+import sentencepiece
 
 import corpus_pipeline
 from arcloom.llm import decontaminate, language_id
@@ -43,6 +48,85 @@ def test_stages(spark, planted):
     assert all(r["round_trip"] and r["n_ids"] == len(r["ids"]) for r in docs.collect())
 
 
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def ascii_lower(t):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")
+
+
+def brute_copies(rows):
+    least = {}
+    for i, t in rows.items():
+        key = re.sub(r"[\x20\x09-\x0D]+", " ", t or "")
+        least[key] = min(least.get(key, i), i)
+    return {i: rows[i] for i in least.values()}
+
+
+def brute_near(rows, k=5, percent=80):
+    sets = {}
+    for i, t in rows.items():
+        w = re.findall(r"[^\x20\x09-\x0D]+", ascii_lower(t))
+        sets[i] = {tuple(w[a : a + k]) for a in range(len(w) - k + 1)} or ({tuple(w)} if w else set())
+    comp = {i: i for i in rows}
+
+    def root(x):
+        while comp[x] != x:
+            x = comp[x]
+        return x
+
+    for a, b in itertools.combinations(sorted(rows), 2):
+        both = len(sets[a] & sets[b])
+        if both and 100 * both >= percent * len(sets[a] | sets[b]):
+            comp[max(root(a), root(b))] = min(root(a), root(b))
+    return {i: t for i, t in rows.items() if root(i) == i}
+
+
+def brute_clean(rows, items, n=10):
+    windows = set()
+    for _, t in items:
+        w = WORD.findall(ascii_lower(t))
+        windows |= {tuple(w[a : a + n]) for a in range(max(len(w) - n, 0) + 1)} if w else set()
+    sizes = {len(w) for w in windows}
+    out = {}
+    for i, t in rows.items():
+        first = True
+        while True:
+            found = list(WORD.finditer(ascii_lower(t)))
+            w = [m.group() for m in found]
+            hit = {x for m in sizes for a in range(len(w) - m + 1) if tuple(w[a : a + m]) in windows for x in range(a, a + m)}
+            if first and len(hit) > len(w) / 2:
+                break
+            if not hit:
+                out[i] = t
+                break
+            first, kept, at = False, [], 0
+            for x in sorted(hit):
+                if x - 1 not in hit:
+                    kept.append(t[at : found[x].start()])
+                at = found[x].end()
+            t = "".join([*kept, t[at:]])
+    return out
+
+
+def test_rows_against_brute_force(spark, planted):
+    """What language identification keeps goes through the other stages; ids and texts are held against plain Python."""
+    path, _, items = planted
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    want = None
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, path)
+        out.write.parquet(f"{path}/brute-{name}")
+        docs = spark.read.parquet(f"{path}/brute-{name}")
+        if name == "sentencepiece":
+            assert {r["doc_id"]: list(r["ids"]) for r in docs.collect()} == {i: model.encode(t) for i, t in want.items()}
+            continue
+        got = {r["doc_id"]: r["text"] for r in docs.collect()}
+        want = {"language_id": lambda x: got, "exact_dedup": brute_copies, "jaccard_join": brute_near, "decontaminate": lambda x: brute_clean(x, items)}[name](want)
+        assert got == want, name
+
+
 def test_run(spark):
     out = corpus_pipeline.run(spark, DATA)
     n = spark.read.parquet(f"{DATA}/documents.parquet").count()
