@@ -43,7 +43,7 @@ STAGES = [
     ("sentencepiece", tokenize),
 ]
 
-#: Language identification is learned, so no SQL gives these rows; tests hold them against brute force.
+#: Language identification is learned, so no SQL gives these rows; from what it keeps on, tests hold them against brute force.
 ORACLE_SQL = None
 
 
