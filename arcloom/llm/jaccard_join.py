@@ -21,6 +21,8 @@ ORDERS = 3
 #: The orders decide how many candidates there are, never which pairs link.
 HOT_SETS = 24
 HOT_MOST = 1 << 18
+#: So many tokens of a prefix before a shared one are looked at to see whether the pair was given before.
+NEAR = 32
 
 _SEEDS = [np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB), np.uint64(0x8EBC6AF09C88C6E3)]
 _MIX = [np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5,
@@ -127,18 +129,26 @@ def _member_tokens(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataF
     return docs.select(id_col, text_col).mapInArrow(run, "id long, tokens array<long>")
 
 
-def _ordered(tokens: np.ndarray, hot: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens in one global order, and whether each is hot: rare before hot, then by a hash of the order's own."""
-    is_hot = _hot(tokens, hot)
-    place = np.lexsort((mix(tokens ^ _SEEDS[order]) >> np.uint64(1), is_hot))
-    return tokens[place], is_hot[place]
+def _hot(tokens: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    if not len(hot):
+        return np.zeros(len(tokens), bool)
+    return hot[np.minimum(np.searchsorted(hot, tokens), len(hot) - 1)] == tokens
+
+
+def _prefix(tokens: np.ndarray, is_hot: np.ndarray, order: int, n: int) -> np.ndarray:
+    """The first ``n`` tokens in one global order: by the order's own hash, hot tokens after all others."""
+    rank = mix(tokens ^ _SEEDS[order]) >> np.uint64(1)
+    rank[is_hot] |= np.uint64(1 << 63)
+    first = np.argpartition(rank, n - 1)[:n]
+    return tokens[first[np.argsort(rank[first])]]
 
 
-def _postings(members: DataFrame, hot, percent: int) -> DataFrame:
-    """``token, pos, id, n, weight``: each set's prefix under the first order.
+def _prefixes(members: DataFrame, hot, percent: int, orders: int) -> DataFrame:
+    """``id, n, weight, prefix, others``: each set's prefix under the first order, and under each further one.
 
     ``weight`` is the share of the set's tokens that are hot: the text that copies were made from has the
-    highest in its family, so it serves as the centre to compare the others with.
+    highest in its family, so it serves as the centre to compare the others with. ``others`` has 32 bits of each
+    token: prefixes that share a token share its bits, so a pair that could link is never refused.
     """
 
     def run(batches):
@@ -146,44 +156,53 @@ def _postings(members: DataFrame, hot, percent: int) -> DataFrame:
         for b in batches:
             for i in range(0, b.num_rows, 512):
                 s = b.slice(i, 512)
-                ids, lists = s.column("id").to_pylist(), s.column("tokens")
-                out: dict[str, list] = {x: [] for x in ("token", "pos", "id", "n", "weight")}
-                for j, id_ in enumerate(ids):
+                lists, first, rest, n, weight = s.column("tokens"), [], [], [], []
+                for j in range(s.num_rows):
                     t = lists[j].values.to_numpy(zero_copy_only=False).view(np.uint64)
-                    seq, is_hot = _ordered(t, table, 0)
-                    p = int(_allowed(len(t), percent)) + 1
-                    out["token"].append(seq[:p])
-                    out["pos"].append(np.arange(p))
-                    out["id"].append(np.full(p, id_))
-                    out["n"].append(np.full(p, len(t)))
-                    out["weight"].append(np.full(p, is_hot.mean()))
-                if ids:
-                    yield pa.RecordBatch.from_arrays(
-                        [_signed(np.concatenate(out["token"])), *(pa.array(np.concatenate(out[x])) for x in ("pos", "id", "n", "weight"))],
-                        names=list(out),
-                    )
+                    is_hot, p = _hot(t, table), int(_allowed(len(t), percent)) + 1
+                    first.append(_prefix(t, is_hot, 0, p))
+                    rest += [(mix(_prefix(t, is_hot, r, p)) >> np.uint64(32)).astype(np.uint32).view(np.int32) for r in range(1, orders)]
+                    n.append(len(t))
+                    weight.append(is_hot.mean())
+                ends = lambda parts: pa.array(np.cumsum([0, *map(len, parts)]), pa.int32())
+                inner = pa.ListArray.from_arrays(ends(rest), pa.array(np.concatenate([*rest, np.empty(0, np.int32)])))
+                outer = pa.array(np.arange(s.num_rows + 1) * (orders - 1), pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        s.column("id"), pa.array(n, pa.int64()), pa.array(weight, pa.float64()),
+                        pa.ListArray.from_arrays(ends(first), _signed(np.concatenate([*first, np.empty(0, np.uint64)]))),
+                        pa.ListArray.from_arrays(outer, inner),
+                    ],
+                    names=["id", "n", "weight", "prefix", "others"],
+                )
+
+    return members.mapInArrow(run, "id long, n long, weight double, prefix array<long>, others array<array<int>>")
+
 
-    return members.mapInArrow(run, "token long, pos long, id long, n long, weight double")
+def _meet(pairs: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` whose prefixes meet under every further order; no set is fetched for it."""
+    side = lambda c: prefixes.select(F.col("id").alias(c), F.col("others").alias(f"o{c}"))
+    every = F.forall(F.zip_with("oa", "ob", lambda x, y: F.arrays_overlap(x, y)), lambda x: x)
+    return pairs.select("a", "b").join(side("b"), "b").join(side("a"), "a").where(every).select("a", "b")
 
 
-def _verify(pairs: DataFrame, members: DataFrame, hot, percent: int, orders: int) -> DataFrame:
-    """The pairs ``a, b`` that link: first their prefixes must meet under each further order, then sets are counted.
+def _verify(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a, b`` that link, by their whole sets.
 
     Each side's set joins by its id; a centre that very many pairs name is a hot key of an equi-join, which
     adaptive execution splits.
     """
 
     def run(batches):
-        table = hot.value
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 s = batch.slice(i, 256)
                 a, b = s.column("a").to_pylist(), s.column("b").to_pylist()
                 left, right, kept = s.column("ta"), s.column("tb"), []
                 for j in range(len(a)):
-                    x = left[j].values.to_numpy(zero_copy_only=False).view(np.uint64)
-                    y = right[j].values.to_numpy(zero_copy_only=False).view(np.uint64)
-                    if _linked(x, y, table, percent, orders):
+                    x = left[j].values.to_numpy(zero_copy_only=False)
+                    y = right[j].values.to_numpy(zero_copy_only=False)
+                    if _linked(x, y, percent):
                         kept.append(j)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([a[j] for j in kept], pa.int64()), pa.array([b[j] for j in kept], pa.int64())], names=["a", "b"]
@@ -195,27 +214,7 @@ def _verify(pairs: DataFrame, members: DataFrame, hot, percent: int, orders: int
     )
 
 
-def _prefix(tokens: np.ndarray, is_hot: np.ndarray, order: int, n: int) -> np.ndarray:
-    """The first ``n`` tokens in one global order, as a set: by the order's hash, hot tokens after all others."""
-    rank = mix(tokens ^ _SEEDS[order]) >> np.uint64(1)
-    rank[is_hot] |= np.uint64(1 << 63)
-    return tokens[np.argpartition(rank, n - 1)[:n]]
-
-
-def _hot(tokens: np.ndarray, hot: np.ndarray) -> np.ndarray:
-    if not len(hot):
-        return np.zeros(len(tokens), bool)
-    return hot[np.minimum(np.searchsorted(hot, tokens), len(hot) - 1)] == tokens
-
-
-def _linked(x: np.ndarray, y: np.ndarray, hot: np.ndarray, percent: int, orders: int) -> bool:
-    hx, hy = _hot(x, hot), _hot(y, hot)
-    nx, ny = int(_allowed(len(x), percent)) + 1, int(_allowed(len(y), percent)) + 1
-    for order in range(1, orders):
-        near = np.concatenate([_prefix(x, hx, order, nx), _prefix(y, hy, order, ny)])
-        near.sort()
-        if not (near[1:] == near[:-1]).any():
-            return False
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     both = len(np.intersect1d(x, y, assume_unique=True))
     return 100 * both >= percent * (len(x) + len(y) - both)
 
@@ -226,6 +225,30 @@ def _candidates(rows: DataFrame, percent: int) -> DataFrame:
     return rows.where((F.col("a") != F.col("b")) & (small * 100 >= large * percent)).select("a", "b").distinct()
 
 
+def _remaining(lists: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` of sets in different components that share a token of ``lists`` and could link by what follows it.
+
+    At the first token that two prefixes share nothing before it on either side is shared, so what follows bounds
+    the intersection. A row carries the ``NEAR`` tokens before its own, which stops most repeats at later tokens;
+    it does not grow with the text. A list is split by size: sets that could link are in one level or in
+    neighbouring ones, and the smaller of the two has its token in the first half of its prefix.
+    """
+    before = F.slice("prefix", F.greatest(F.lit(1), F.col("pos") - NEAR + 1), F.least("pos", F.lit(NEAR)))
+    ranked = lists.join(prefixes.select("id", "prefix"), "id").select("token", "id", "n", "pos", "component", before.alias("near"))
+    step = math.log(100 / percent * 1.001)  # a little more than linked sizes may differ by, so rounding loses none
+    ranked = written(ranked.withColumn("level", F.floor(F.log("n") / step)), "open")
+    side = lambda x, level: ranked.select(
+        "token", level.alias("level"), F.col("id").alias(x), *[F.col(c).alias(f"{c[:2]}{x}") for c in ("n", "pos", "component", "near")]
+    )
+    small = side("a", F.col("level")).where(f"{100 + percent} * (na - poa) >= {2 * percent} * na")
+    large = side("b", F.explode(F.array(F.col("level"), F.col("level") - 1)))
+    found = small.join(large, ["token", "level"]).where(
+        f"(na < nb or na = nb and a < b) and coa <> cob and na * 100 >= nb * {percent} "
+        f"and {100 + percent} * least(na - poa, nb - pob) >= {percent} * (na + nb) and not arrays_overlap(nea, neb)"
+    )
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def linked_components(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, percent: int = 85,
     probe: float = PROBE, orders: int = ORDERS, hot_sets: int = HOT_SETS, hot_most: int = HOT_MOST,
@@ -245,10 +268,10 @@ def linked_components(
     3. The other classes are indexed under the first order by their prefix (one token more than may be lacking):
        tokens of many sets come last, so passages that many documents share stay out of prefixes. In every
        token's list each set is paired with the list's centre only. Pairs must meet in the prefixes of the other
-       orders as well, before whole sets are compared.
-    4. Lists that still hold several components give the pairs across components that could still link, each at the
-       first token that its prefixes share: as nothing before that token is shared, the tokens after it on either side
-       bound the intersection. A family that its centre has joined gives none, and no link is lost.
+       orders as well, which are joined by themselves; only then are whole sets fetched and compared.
+    4. Lists that still hold several components give the pairs across components that could still link by size and
+       by the tokens after the first shared one (``_remaining``). They pass the other orders and the comparison as
+       well. A family that its centre has joined gives none, and no link is lost.
     """
     spark = bounded(docs).sparkSession
     rows = written(_sets(docs, id_col, text_col, k), "sets")
@@ -278,7 +301,9 @@ def linked_components(
         .where(F.col("sets") >= hot_sets).orderBy(F.desc("sets"), "token").limit(hot_most).select("token").toPandas()
     )
     hot = spark.sparkContext.broadcast(np.sort(table["token"].to_numpy(np.int64).view(np.uint64)))
-    lists = written(_postings(members, hot, percent), "postings")
+    prefixes = written(_prefixes(members, hot, percent, orders), "prefixes")
+    hot.unpersist()
+    lists = prefixes.select("id", "n", "weight", F.posexplode("prefix").alias("pos", "token"))
     shared = lists.groupBy("token").agg(
         F.count("*").alias("sets"),
         F.max(F.struct("weight", (-F.col("id")).alias("i"), F.col("n").alias("na"))).alias("c"),
@@ -287,32 +312,18 @@ def linked_components(
     stars = lists.join(shared, "token").select("a", "na", F.col("id").alias("b"), F.col("n").alias("nb"))
     stars = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "na", "nb")
     stars = written(_candidates(stars, percent), "stars")
-    links = written(_verify(stars, members, hot, percent, orders), "links")
+    links = written(_verify(written(_meet(stars, prefixes), "met"), members, percent), "links")
     part = written(connected_components(links), "parts")
 
-    # what the centres have not joined: all pairs of a list that lie in different components
+    # what the centres have not joined: pairs of a list that lie in different components
     own = lists.join(shared.select("token"), "token", "left_semi").join(
         part.select(F.col("node").alias("id"), "component"), "id", "left"
     ).withColumn("component", F.coalesce("component", "id"))
+    own = written(own.drop("weight"), "shared")
     open_ = own.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-    own = written(own, "shared")
-    before = own.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("pos", "token"))).alias("p"))
-    before = before.select("id", F.transform("p", lambda x: x["token"]).alias("prefix"))
-    ranked = own.join(open_.select("token"), "token", "left_semi").join(before, "id").withColumn(
-        "earlier", F.slice("prefix", F.lit(1), (F.array_position("prefix", F.col("token")) - 1).cast("int"))
-    )
-    ranked = written(ranked.drop("prefix", "weight"), "open")
-    side = lambda x: ranked.select(
-        "token", F.col("id").alias(x), *[F.col(c).alias(f"{c[0]}{x}") for c in ("n", "pos", "component", "earlier")]
-    )
-    # the first token that two prefixes share: what stands before it on either side is not shared, nor anything else before
-    rest = side("a").join(side("b"), "token").where(
-        f"a < b and ca <> cb and least(na, nb) * 100 >= greatest(na, nb) * {percent} "
-        f"and {100 + percent} * (1 + least(na - 1 - pa, nb - 1 - pb)) >= {percent} * (na + nb) and not arrays_overlap(ea, eb)"
-    )
-    rest = written(rest.select("a", "b"), "rest")
-    rest = rest.join(stars, ["a", "b"], "left_anti")
-    more = _verify(rest, members, hot, percent, orders)
+    rest = _remaining(own.join(open_.select("token"), "token", "left_semi"), prefixes, percent)
+    rest = written(rest.join(stars, ["a", "b"], "left_anti"), "rest")
+    more = _verify(written(_meet(rest, prefixes), "met"), members, percent)
     part = connected_components(links.unionByName(written(more, "links")))
 
     joined = classes.join(part, F.col("id") == F.col("node"), "left").select(

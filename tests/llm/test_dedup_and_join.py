@@ -4,6 +4,8 @@ import hashlib
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -126,3 +128,41 @@ def test_keep_one_tells_rows_apart_by_id_and_text(spark):
 
 def test_prefix_length():
     assert [jaccard_join.prefix_length(n, 85) for n in (1, 6, 7, 100)] == [1, 1, 2, 16]
+
+
+def test_other_orders_refuse_pairs_before_sets_are_fetched(spark):
+    texts = family(5, 30, 12) + family(6, 30, 12)
+    sets = [sorted(s) for _, s in sorted(jaccard_join.shingle_sets(pa.array(texts), 4))]
+    members = spark.createDataFrame([(i, [int(x) for x in np.array(s, np.uint64).view(np.int64)]) for i, s in enumerate(sets)], "id long, tokens array<long>")
+    hot = spark.sparkContext.broadcast(np.empty(0, np.uint64))
+    pairs = [(a, b) for b in range(60) for a in range(b)]
+    counts = []
+    for orders in (1, 2, 3):
+        prefixes = jaccard_join._prefixes(members, hot, 85, orders)
+        got = {tuple(r) for r in jaccard_join._meet(spark.createDataFrame(pairs, "a long, b long"), prefixes).collect()}
+        none = np.zeros(0, bool)
+        head = lambda i, r: set(jaccard_join._prefix(np.array(sets[i], np.uint64), none if not sets[i] else np.zeros(len(sets[i]), bool), r, jaccard_join.prefix_length(len(sets[i]), 85)).tolist())  # noqa: E731, B023
+        assert got == {(a, b) for a, b in pairs if all(head(a, r) & head(b, r) for r in range(1, orders))}
+        links = {(a, b) for a, b in pairs if 100 * len(set(sets[a]) & set(sets[b])) >= 85 * len(set(sets[a]) | set(sets[b]))}
+        assert links <= got
+        counts.append(len(got))
+    assert counts[0] > counts[1] > counts[2]
+
+
+def test_texts_of_the_same_hot_sentences(spark):
+    r = random.Random(8)
+    sentences = [" ".join(f"s{i}x{j}" for j in range(12)) for i in range(24)]
+    rows = [(i, " ".join(r.sample(sentences, r.randint(9, 12)))) for i in range(120)]
+    rows += [(200 + i, t + " end") for i, (_, t) in enumerate(rows[:20])]
+    got = [tuple(x) for x in jaccard_join.linked_components(table(spark, rows), hot_sets=3).collect()]
+    assert sorted(got, key=str) == brute_components(rows, 4, 85)
+
+
+def test_very_long_texts(spark):
+    r = random.Random(9)
+    base = [f"v{r.randrange(10**6)}" for _ in range(300_000)]
+    other = base[:200_000] + [f"u{i}" for i in range(100_000)]  # shares much, links with none
+    near = other[:290_000] + [f"t{i}" for i in range(10_000)]
+    rows = [(3, " ".join(base)), (2, " ".join(other)), (1, " ".join(near)), (4, " ".join(base[5:])), (5, " ".join(base[:1000]))]
+    got = {x["doc_id"]: x["component_id"] for x in jaccard_join.linked_components(table(spark, rows)).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 3, 5: 5}
