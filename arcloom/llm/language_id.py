@@ -21,14 +21,17 @@ UNKNOWN = "und"
 
 #: First code points of script blocks, and the script that each block belongs to.
 SCRIPT_STARTS = [
-    0x0000, 0x0370, 0x0400, 0x0530, 0x0590, 0x0600, 0x0900, 0x0980, 0x0A00, 0x0B80, 0x0C00, 0x0E00, 0x0E80, 0x10A0,
-    0x1100, 0x1200, 0x1E00, 0x1F00, 0x2000, 0x2C60, 0x2E80, 0x3040, 0x3100, 0x3130, 0x3190, 0x3400, 0xA000, 0xAC00,
-    0xD7B0, 0xF900, 0xFB00, 0xFB50, 0xFE00, 0x10000, 0x20000,
+    0x0000, 0x0370, 0x0400, 0x0530, 0x0590, 0x0600, 0x0900, 0x0980, 0x0A00, 0x0B80, 0x0C00, 0x0E00, 0x0E80, 0x0F00,
+    0x1000, 0x10A0, 0x1100, 0x1200, 0x13A0, 0x1400, 0x1680, 0x1780, 0x1800, 0x18B0, 0x1900, 0x1AB0, 0x1B00, 0x1C80,
+    0x1C90, 0x1CC0, 0x1D00, 0x1DC0, 0x1E00, 0x1F00, 0x2000, 0x2C60, 0x2E80, 0x3040, 0x3100, 0x3130, 0x3190, 0x3400,
+    0xA000, 0xAC00, 0xD7B0, 0xF900, 0xFB00, 0xFB50, 0xFE00, 0x10000, 0x20000,
 ]
 SCRIPT_NAMES = [
     "latin", "greek", "cyrillic", "armenian", "hebrew", "arabic", "devanagari", "bengali", "indic", "tamil", "indic",
-    "thai", "lao", "georgian", "hangul", "ethiopic", "latin", "greek", "common", "latin", "han", "kana", "han",
-    "hangul", "han", "han", "common", "hangul", "common", "han", "latin", "arabic", "common", "common", "han",
+    "thai", "lao", "tibetan", "myanmar", "georgian", "hangul", "ethiopic", "cherokee", "aboriginal", "runic", "khmer",
+    "mongolian", "aboriginal", "tai", "common", "island", "cyrillic", "georgian", "island", "latin", "common", "latin",
+    "greek", "common", "latin", "han", "kana", "han", "hangul", "han", "han", "common", "hangul", "common", "han",
+    "latin", "arabic", "common", "common", "han",
 ]
 SCRIPTS = sorted(set(SCRIPT_NAMES) - {"common"})
 _START = np.array(SCRIPT_STARTS)

@@ -206,7 +206,7 @@ class Codec:
                 self.differ.update(g[i] for i in self._check(g, [np.frombuffer(out[c], self.dtype).tolist() for c in g]))
         for c, ids in zip(odd, self._whole([" " + c for c in odd]), strict=True):
             out[c] = np.array(ids, self.dtype).tobytes()
-            # a lone space has no text of its own that could be compared
+            # a lone space has no text of its own that could be compared: `encode` compares the text that holds it
             if c and self._check([c], [ids]):
                 self.differ.add(c)
         return [out[c] for c in chunks]
@@ -234,9 +234,11 @@ class Codec:
             return [np.array(x, self.dtype) for x in ids], [None if none else i not in bad for i in range(len(ids))]
         parts = [self.cut(t) for t in texts]
         found, at, out, same = self.cache.lookup([c for p in parts for c in p]), 0, [], []
-        for p in parts:
+        for t, p in zip(texts, parts, strict=True):
             out.append(np.frombuffer(b"".join(found[at : at + len(p)]), self.dtype))
             same.append(None if none else not self.differ or self.differ.isdisjoint(p))
+            if same[-1] and "" in p:  # lone spaces are compared in their text
+                same[-1] = not self._check([t], [out[-1].tolist()])
             at += len(p)
         return out, same
 

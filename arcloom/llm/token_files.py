@@ -19,6 +19,8 @@ from arcloom.storage import run_dir
 CACHE_CHUNKS = 200_000
 #: What a null id becomes in the files.
 NULL_ID = np.iinfo(np.int64).min
+#: Input bytes for each part of the files; an estimate from UNKNOWN_BYTES on is Spark's way to say that it has none.
+PART_BYTES, UNKNOWN_BYTES = 256 << 20, 1 << 60
 #: Text between two chunks that are encoded in one call.
 _BETWEEN = "<|startoftext|>"
 
@@ -100,6 +102,13 @@ def _open(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
+def _parts(docs: DataFrame) -> int:
+    """Parts to write: the session's shuffle partitions, or more where the plan's size estimate asks for parts of PART_BYTES."""
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, size // PART_BYTES) if size < UNKNOWN_BYTES else least  # results do not depend on it
+
+
 def write_token_files(
     docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -148,7 +157,7 @@ def write_token_files(
                 names=["part", "first_id", "n_docs", "n_tokens", "width"],
             )
 
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = _parts(docs.select(id_col, text_col))
     rows = (
         docs.select(F.col(id_col).alias(id_col), F.col(text_col).alias(text_col))
         .repartitionByRange(parts, F.col(id_col))

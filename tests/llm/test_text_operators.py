@@ -132,6 +132,16 @@ def test_token_files(spark):
     assert token_files.digest_documents(table(spark, rows).limit(0), WORDS, 2).count() == 0
 
 
+def test_parts_grow_with_the_input(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert token_files._parts(docs) == least
+    monkeypatch.setattr(token_files, "PART_BYTES", 1 << 14)
+    assert token_files._parts(docs) > least
+    unknown = spark.createDataFrame(spark.sparkContext.parallelize([(1, "a")]), "doc_id long, text string")
+    assert token_files._parts(unknown) == least
+
+
 def test_chunk_cache():
     from arcloom.llm.chunk_cache import ChunkCache
 
@@ -167,6 +177,16 @@ def test_sentencepiece_parity(spark):
     assert sentencepiece_codec.digest_documents(docs.limit(0), MODEL).count() == 0
 
 
+def test_lone_spaces_are_compared_in_their_text():
+    codec = sentencepiece_codec.Codec(MODEL, verify=True)
+    texts = ["a  b", "a b", " ", "a "]
+    assert codec.encode(texts)[1] == [True] * 4
+    codec = sentencepiece_codec.Codec(MODEL, verify=True)
+    right = codec.cache.compute
+    codec.cache.compute = lambda chunks: [x if c else b"" for c, x in zip(chunks, right(chunks), strict=True)]  # loses lone spaces
+    assert codec.encode(texts)[1] == [True, True, True, False]
+
+
 def test_unigram_model(tmp_path):
     import sentencepiece
     from sentencepiece import sentencepiece_model_pb2 as pb
@@ -340,6 +360,10 @@ def test_scripts():
     starts, ends = text.word_bounds(data, language_id._LETTER)
     names = [language_id.SCRIPTS[x] for x in language_id.word_scripts(data, starts, ends)]
     assert names == ["latin", "cyrillic", "han", "latin", "greek"]
+    data = np.frombuffer("བོད မြန် ᏣᎳᎩ ខ្មែ ᠮᠣᠩ አማ ລາວ ქარ".encode(), np.uint8)
+    starts, ends = text.word_bounds(data, language_id._LETTER)
+    names = [language_id.SCRIPTS[x] for x in language_id.word_scripts(data, starts, ends)]
+    assert names == ["tibetan", "myanmar", "cherokee", "khmer", "mongolian", "ethiopic", "lao", "georgian"]
 
 
 def test_toxicity(spark):
