@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only where the setting is missing (tests)."""
+    """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode without the setting (tests)."""
     name = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not name:
+        if not spark.sparkContext.master.startswith("local"):  # executors do not see the driver's own folders
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         name = getattr(shared_dir, "own", None) or "file://" + tempfile.mkdtemp(prefix="arcloom-")
         shared_dir.own = name
     return name.rstrip("/")
