@@ -16,7 +16,10 @@ from arcloom.llm.chunk_cache import ChunkCache
 from arcloom.llm.text import small_batches
 from arcloom.storage import run_dir
 
-CACHE_CHUNKS = 200_000
+#: Chunks, and the words that chunks come down to, of which a worker holds the ids: each at most twice so many.
+CACHE_CHUNKS, CACHE_WORDS = 200_000, 300_000
+#: Marks that end a chunk; behind an ASCII letter they are pieces of their own where the tokenizer says so.
+_MARKS = ".,;:!?"
 #: What a null id becomes in the files.
 NULL_ID = np.iinfo(np.int64).min
 #: Input bytes for each part of the files; an estimate from UNKNOWN_BYTES on is Spark's way to say that it has none.
@@ -31,9 +34,13 @@ class WordEncoder:
     No token spans a space or a line feed in such a model, so texts are cut there and equal chunks are encoded
     once. New chunks go in joined by a special token, whose id marks where to cut; a file without that token, or
     one whose tokens may span spaces, encodes whole texts.
+
+    Where the tokenizer gives ASCII letters of either case the same ids, ASCII chunks are lower-cased first, and where
+    it sets a mark behind a letter apart, a chunk is its word's ids and the mark's: such chunks share one encoding.
+    Text with ``<|`` in it is left as it is, since special tokens are told by their case.
     """
 
-    def __init__(self, path: str, end_id: int, cache: int = CACHE_CHUNKS) -> None:
+    def __init__(self, path: str, end_id: int, cache: int = CACHE_CHUNKS, cache_words: int = CACHE_WORDS) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -45,12 +52,35 @@ class WordEncoder:
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if max(size, end_id + 1) <= 1 << 16 else "<u4")
         self.end = np.array([end_id], self.dtype).tobytes()
+        self.folds = all(self._ids(x) == self._ids(x.lower()) for x in ("".join(map(chr, range(33, 127))), *"ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
+        words = [x + y for x in ("ab", "ab's", "a1b", "'b", "é.b") for y in "abcdefghijklmnopqrstuvwxyz"]
+        self.marks = {m: self._bytes(m) for m in _MARKS if all(self._ids(w + m) == self._ids(w) + self._ids(m) for w in words)}
+        self.words = ChunkCache(self._words, cache_words)
         self.cache = ChunkCache(self._chunks, cache)
 
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _bytes(self, text: str) -> bytes:
+        return np.array(self._ids(text), self.dtype).tobytes()
+
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _chunks(self, chunks: list[str]) -> list[bytes]:
+        marks, words, ends = self.marks, [], []
+        for c in chunks:
+            end = b""
+            if "<|" not in c:
+                if self.folds and c.isascii():
+                    c = c.lower()
+                if c[-1:] in marks and len(c) > 1 and c[-2].isascii() and c[-2].isalpha():
+                    end, c = marks[c[-1]], c[:-1]
+            words.append(c)
+            ends.append(end)
+        return [w + e if e else w for w, e in zip(self.words.lookup(words), ends, strict=True)]
+
+    def _words(self, chunks: list[str]) -> list[bytes]:
         out: dict[str, bytes] = {"": b""}
         odd = [c for c in chunks if "<|" in c]
         plain = [c for c in chunks if c and "<|" not in c]
@@ -74,6 +104,8 @@ class WordEncoder:
         texts = [t or "" for t in texts]
         if not self.chunked:
             return [np.array(x, self.dtype).tobytes() + self.end for x in self._whole(texts)]
+        if self.folds:
+            texts = [t.lower() if t.isascii() and "<|" not in t else t for t in texts]
         parts = [t.replace("\n", " ").split(" ") for t in texts]
         found, at, out = self.cache.lookup([c for p in parts for c in p]), 0, []
         for p in parts:
