@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +17,8 @@ from arcloom.llm.chunk_cache import ChunkCache
 from arcloom.llm.text import small_batches
 from arcloom.storage import run_dir
 
-#: Chunks, and the words that chunks come down to, of which a worker holds the ids: each at most twice so many.
-CACHE_CHUNKS, CACHE_WORDS = 200_000, 300_000
+#: A worker holds the ids of at most twice so many words.
+CACHE_WORDS = 300_000
 #: Marks that end a chunk; behind an ASCII letter they are pieces of their own where the tokenizer says so.
 _MARKS = ".,;:!?"
 #: What a null id becomes in the files.
@@ -40,7 +41,7 @@ class WordEncoder:
     Text with ``<|`` in it is left as it is, since special tokens are told by their case.
     """
 
-    def __init__(self, path: str, end_id: int, cache: int = CACHE_CHUNKS, cache_words: int = CACHE_WORDS) -> None:
+    def __init__(self, path: str, end_id: int, cache: int = CACHE_WORDS) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -54,32 +55,15 @@ class WordEncoder:
         self.end = np.array([end_id], self.dtype).tobytes()
         self.folds = all(self._ids(x) == self._ids(x.lower()) for x in ("".join(map(chr, range(33, 127))), *"ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
         words = [x + y for x in ("ab", "ab's", "a1b", "'b", "é.b") for y in "abcdefghijklmnopqrstuvwxyz"]
-        self.marks = {m: self._bytes(m) for m in _MARKS if all(self._ids(w + m) == self._ids(w) + self._ids(m) for w in words)}
-        self.words = ChunkCache(self._words, cache_words)
-        self.cache = ChunkCache(self._chunks, cache)
+        self.marks = [m for m in _MARKS if all(self._ids(w + m) == self._ids(w) + self._ids(m) for w in words)]
+        self.cache = ChunkCache(self._words, cache)
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _bytes(self, text: str) -> bytes:
-        return np.array(self._ids(text), self.dtype).tobytes()
-
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _chunks(self, chunks: list[str]) -> list[bytes]:
-        marks, words, ends = self.marks, [], []
-        for c in chunks:
-            end = b""
-            if "<|" not in c:
-                if self.folds and c.isascii():
-                    c = c.lower()
-                if c[-1:] in marks and len(c) > 1 and c[-2].isascii() and c[-2].isalpha():
-                    end, c = marks[c[-1]], c[:-1]
-            words.append(c)
-            ends.append(end)
-        return [w + e if e else w for w, e in zip(self.words.lookup(words), ends, strict=True)]
-
     def _words(self, chunks: list[str]) -> list[bytes]:
         out: dict[str, bytes] = {"": b""}
         odd = [c for c in chunks if "<|" in c]
@@ -99,19 +83,51 @@ class WordEncoder:
             out[c] = np.array(ids, self.dtype).tobytes()
         return [out[c] for c in chunks]
 
+    def _split_marks(self, chunks: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The word of each chunk, and the number of the mark behind it (``len(self.marks)``: none)."""
+        plain = pc.invert(pc.match_substring(chunks, "<|"))
+        if self.folds:
+            chunks = pc.if_else(pc.and_(plain, pc.string_is_ascii(chunks)), pc.ascii_lower(chunks), chunks)
+        mark = np.full(len(chunks), len(self.marks), np.int64)
+        if self.marks:
+            ends = pc.and_(plain, pc.match_substring_regex(chunks, "[A-Za-z][" + "".join(self.marks) + "]$"))
+            last = pc.index_in(pc.utf8_slice_codeunits(chunks, -1, None), pa.array(self.marks, chunks.type))
+            mark = pc.if_else(ends, pc.cast(last, pa.int64()), len(self.marks)).to_numpy(zero_copy_only=False)
+            chunks = pc.if_else(ends, pc.utf8_slice_codeunits(chunks, 0, -1), chunks)
+        return chunks, mark
+
+    def encode_column(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, the end id behind each, and how many each text has; null counts as empty.
+
+        Chunks are cut and told apart in Arrow, so each distinct one of a batch is looked up once.
+        """
+        col = col.cast(pa.large_string()).fill_null("")
+        if not self.chunked:
+            lists = self._whole(col.to_pylist())
+            flat = np.array([x for ids in lists for x in ids], self.dtype)
+            ends = np.cumsum([len(x) for x in lists], dtype=np.int64)
+        else:
+            parts = pc.split_pattern(pc.replace_substring(col, "\n", " "), " ")
+            chunks = parts.flatten().dictionary_encode()
+            words, mark = self._split_marks(chunks.dictionary)
+            words = words.dictionary_encode()
+            found = self.cache.lookup(words.dictionary.to_pylist() + self.marks + [""])
+            size = np.fromiter(map(len, found), np.int64, len(found)) // self.dtype.itemsize
+            ids = pa.LargeListArray.from_arrays(
+                pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int64()), pa.array(np.frombuffer(b"".join(found), self.dtype))
+            )
+            pairs = np.stack([words.indices.to_numpy(), mark + len(words.dictionary)], 1)  # of each distinct chunk
+            index = pairs[chunks.indices.to_numpy()].ravel()
+            flat = ids.take(pa.array(index)).flatten().to_numpy(zero_copy_only=False)
+            upto = np.concatenate([[0], np.cumsum(size[index])])[::2]
+            ends = upto[parts.offsets.to_numpy()[1:] - parts.offsets[0].as_py()]
+        counts = np.diff(ends, prepend=0) + 1
+        return np.insert(flat, ends, np.frombuffer(self.end, self.dtype)[0]), counts
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text and the end id, as little-endian integers of ``dtype``; null counts as empty."""
-        texts = [t or "" for t in texts]
-        if not self.chunked:
-            return [np.array(x, self.dtype).tobytes() + self.end for x in self._whole(texts)]
-        if self.folds:
-            texts = [t.lower() if t.isascii() and "<|" not in t else t for t in texts]
-        parts = [t.replace("\n", " ").split(" ") for t in texts]
-        found, at, out = self.cache.lookup([c for p in parts for c in p]), 0, []
-        for p in parts:
-            out.append(b"".join(found[at : at + len(p)]) + self.end)
-            at += len(p)
-        return out
+        ids, counts = self.encode_column(pa.array(texts, pa.large_string()))
+        return [x.tobytes() for x in np.split(ids, np.cumsum(counts)[:-1])] if texts else []
 
 
 _ENCODERS: dict[tuple[str, int], WordEncoder] = {}
@@ -170,14 +186,14 @@ def write_token_files(
         ):
             off_out.write(np.zeros(1, "<i8").tobytes())
             for b in small_batches(batches, text_col, 2 << 20):
-                raw = own.encode(b.column(text_col).to_pylist())
-                ends = np.cumsum([len(x) // own.dtype.itemsize for x in raw]) + n_ids
+                ids, counts = own.encode_column(b.column(text_col))
+                ends = np.cumsum(counts) + n_ids
                 doc = b.column(id_col).cast(pa.int64()).fill_null(NULL_ID).to_numpy(zero_copy_only=False)
-                ids_out.write(b"".join(raw))
+                ids_out.write(ids.tobytes())
                 off_out.write(ends.astype("<i8").tobytes())
                 doc_out.write(doc.astype("<i8").tobytes())
                 first = int(doc[0]) if first is None else first
-                n_docs, n_ids = n_docs + len(raw), int(ends[-1])
+                n_docs, n_ids = n_docs + len(counts), int(ends[-1])
         for kind in ("bin", "off", "doc"):
             if n_docs:
                 files.move(f"{mine}.{kind}", f"{root}/{part:06d}.{kind}")
