@@ -547,3 +547,19 @@ def test_template_decides_before_names(spark):
 ])
 def test_class_word_of_an_ancestor_does_not_void_an_article(source, want):
     assert html_extract.extract(source) == want
+
+
+def test_words_share_encodings():
+    """Case, end marks, special tokens, marks of their own and combining letters: as the library encodes whole texts."""
+    texts = [
+        "A. B, x<|ENDOFTEXT|>. <|endoftext|>.", "H̱. İ. ΑΣ. ab... 's. it's, 3.14. a.b.c!", "", ". , á.",
+        "ÉA. KK. Á.", " \tx. y. ", "\n\n", "Word word WORD. word, word", None, "long " * 5000, "It's IT'S.",
+    ]
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    own = token_files.WordEncoder(path, 2, cache=4)  # so few that words are forgotten and encoded again
+    assert own.chunked and own.folds and own.marks
+    for _ in range(2):
+        for t, raw in zip(texts, own.encode(texts), strict=True):
+            assert np.frombuffer(raw, own.dtype).tolist() == [*library.encode(t or "", add_special_tokens=False).ids, 2]
+    assert own.encode([]) == []
