@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -12,11 +13,11 @@ from pyspark.sql import functions as F
 from arcloom.llm.text import NOT_SPACE, bounded, hash_words, mix, passes, small_batches, word_bounds
 from arcloom.storage import release, written
 
-#: Word classes: short words by their hash, longer ones by the hash of their last bytes, and one for the end.
+#: Word classes: short words by their hash, longer ones by the hash of their last two bytes, and one for the end.
 SHORT_CLASSES, LONG_CLASSES = 40, 55
 CLASSES = SHORT_CLASSES + LONG_CLASSES + 1
 END_CLASS = CLASSES - 1
-SHORT_BYTES, TAIL_BYTES = 3, 2
+SHORT_BYTES = 3
 #: Slots of hashed features, as powers of two: at least, and at most. Between them there is one for every SLOT_TOKENS
 #: training tokens. A weight is kept for each slot and class (4 bytes each, 50 MB at most), which every worker holds.
 SLOT_BITS, MOST_SLOT_BITS, SLOT_TOKENS = 14, 17, 512
@@ -26,8 +27,10 @@ ROUNDS = 2
 #: all tokens, with START imagined tokens per slot. An update moves them by STEP times the log ratio of counted to
 #: expected tokens, with DAMP imagined tokens on either side.
 BLEND, START, STEP, DAMP = 0.35, 20.0, 0.3, 8.0
-#: Tokens of one forward pass, and of one sum of expected counts.
-BATCH, CHUNK = 1024, 32768
+#: Tokens of one forward pass, and of one sum of expected counts; longer runs of a slot's tokens are added up one by one.
+BATCH, CHUNK, LONG_RUN = 1024, 65536, 64
+#: Rows of the table that are added up together, which the processor's cache holds.
+SUM_ROWS = 512
 #: Partitions of the input that one learner reads, where there are enough of them for all cores: each learner writes its slots.
 TOGETHER = 16
 #: Blocks that a table of slots is split into, and tables that one task adds up; more are added up in a tree.
@@ -41,16 +44,25 @@ _EDGE = np.uint64(0x6C62272E07BB0142)
 _SALT = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)]
 
 
+@cache
+def _tail_classes() -> np.ndarray:
+    """Class of every long word, by its last two bytes, the first of them times 256."""
+    pairs = np.arange(1 << 16)
+    data = np.stack([pairs >> 8, pairs & 255], 1).astype(np.uint8).ravel()
+    tail = hash_words(data, 2 * pairs, 2 * pairs + 2)
+    return SHORT_CLASSES + (tail % np.uint64(LONG_CLASSES)).astype(np.int64)
+
+
 def tokens(col: pa.Array):
     """``(first row, row starts, word hashes, classes)`` of passes over a column; every row ends in the end token."""
     for i, _, data, rows in passes(col):
         starts, ends = word_bounds(data, NOT_SPACE)
         at = np.searchsorted(starts, rows)
         w = hash_words(data, starts, ends)
-        long = ends - starts > SHORT_BYTES
         kind = (w % np.uint64(SHORT_CLASSES)).astype(np.int64)
-        tail = hash_words(data, np.maximum(ends[long] - TAIL_BYTES, starts[long]), ends[long])
-        kind[long] = SHORT_CLASSES + (tail % np.uint64(LONG_CLASSES)).astype(np.int64)
+        long = np.flatnonzero(ends - starts > SHORT_BYTES)
+        last = ends[long]
+        kind[long] = _tail_classes()[data[last - 2].astype(np.int64) << 8 | data[last - 1]]
         where = at[1:]
         yield i, at + np.arange(len(at)), np.insert(w, where, _END), np.insert(kind, where, END_CLASS)
 
@@ -122,58 +134,36 @@ class ClassModel:
         return out
 
 
-def _by_key(key: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys, the sums of their rows, and a row of each.
-
-    The runs of equal keys are ordered by length, so the runs that have an r-th row are a prefix.
-    """
-    order = np.argsort(key)
-    k = key[order]
-    first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
-    n = np.diff(np.append(first, len(k)))
-    place = np.argsort(-n, kind="stable")
-    first, n = first[place], n[place]
-    out, r, more = np.take(rows, order[first], 0), 1, len(n)
-    while (more := int(np.searchsorted(-n, -r))) >= 8:
-        out[:more] += np.take(rows, order[first[:more] + r], 0)
-        r += 1
-    for i in range(more):
-        out[i] += np.take(rows, order[first[i] + r : first[i] + n[i]], 0).sum(0)
-    return k[first], out, order[first]
-
-
 def _expect(table: np.ndarray, slots: np.ndarray, shares: np.ndarray, bits: int, scratch: np.ndarray) -> None:
     """Add the tokens' class shares at all their slots.
 
-    Tokens with the same slots for one, two and three classes, or for a word and a pair, are summed once for all of them.
-    ``scratch`` is an int for each slot.
+    Slots and tokens are sorted as one number, so every slot's tokens are a run; runs of about the same length are added up
+    together, their r-th tokens at once, and each sum goes to the table once. ``scratch`` is memory of four-byte items,
+    in which the sums are made: at least two rows of the table.
     """
-
-    def add(at: np.ndarray, rows: np.ndarray) -> None:  # may overwrite the rows
-        while len(at):  # features that share a slot come one after the other
-            place = np.arange(len(at), dtype=np.int32)
-            scratch[at] = place
-            last = scratch[at] == place
-            if last.all():
-                rows += np.take(table, at, 0)
-                table[at] = rows
-                return
-            table[at[last]] += rows[last]
-            at, rows = at[~last], rows[~last]
-
-    one, two, three, last, skip, both = slots.T
-    key = one << bits | two
-    for short, long in ((key, three), (last, both)):
-        k, rows, at = _by_key(short << bits | long, shares)
-        upper, above, _ = _by_key(k >> bits, rows)
-        add(long[at], rows)
-        if short is key:
-            k, rows, _ = _by_key(upper >> bits, above)
-            add(upper & ((1 << bits) - 1), above)
-            upper, above = k, rows
-        add(upper, above)
-    k, rows, _ = _by_key(skip, shares)
-    add(k, rows)
+    room = 63 - bits
+    key = (slots.T.astype(np.int64) << room | np.arange(len(slots))).ravel()
+    key.sort()
+    at, token = key >> room, key & ((1 << room) - 1)
+    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    n = np.diff(first, append=len(at))
+    order = np.argsort(-np.minimum(n, LONG_RUN + 1).astype(np.int16), kind="stable")
+    first, n = first[order], n[order]
+    at, long = at[first], int((n > LONG_RUN).sum())
+    for s, a, k in zip(at[:long].tolist(), first[:long].tolist(), n[:long].tolist(), strict=True):
+        table[s] += np.take(shares, token[a : a + k], 0).sum(0)
+    block = scratch.size // (2 * CLASSES)
+    sums, more = scratch.reshape(-1).view(np.float32)[: 2 * block * CLASSES].reshape(2, block, CLASSES)
+    for a in range(long, len(at), block):
+        f, k = first[a : a + block], n[a : a + block]
+        own = sums[: len(f)]
+        np.take(shares, token[f], 0, out=own, mode="clip")
+        for r in range(1, int(k[0])):
+            f = f[: int(np.searchsorted(-k, -r))]
+            own[: len(f)] += np.take(shares, token[f + r], 0, out=more[: len(f)], mode="clip")
+        s = at[a : a + block]
+        own += np.take(table, s, 0, out=more[: len(s)], mode="clip")
+        table[s] = own
 
 
 _TABLE = "part int, block int, slots binary, sums binary"
@@ -269,10 +259,10 @@ def fit(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, bits: int
         shared = spark.sparkContext.broadcast(model)
 
         def expect(batches, shared=shared):
-            table, scratch, own = np.zeros((n, CLASSES), np.float32), np.empty(n, np.int32), shared.value
+            table, scratch, own = np.zeros((n, CLASSES), np.float32), np.empty(2 * SUM_ROWS * CLASSES, np.float32), shared.value
             for b in small_batches(batches, "t", 2 << 20):
                 for _, rows, w, kind in tokens(b.column("t")):
-                    slots = features(rows, w, kind, bits).astype(np.int64)
+                    slots = features(rows, w, kind, bits)
                     for a in range(0, len(w), CHUNK):
                         _expect(table, slots[a : a + CHUNK], own.shares(slots[a : a + CHUNK]), bits, scratch)
             yield from _emit(0, table, np.float32)

@@ -420,6 +420,27 @@ def test_expected_counts_are_summed_at_all_slots():
         assert got == pytest.approx(want, rel=1e-4)
 
 
+def test_expected_counts_reach_each_slot_once():
+    class Table(np.ndarray):
+        written = 0
+
+        def __setitem__(self, at, rows):
+            Table.written += np.size(at)
+            super().__setitem__(at, rows)
+
+    rng = np.random.RandomState(3)
+    text_ = " ".join(f"w{x}" for x in rng.zipf(1.3, 5000) % 3000)  # some slots have thousands of tokens, most have one
+    _, rows, h, kind = next(maxent_lm.tokens(pa.array([text_], pa.string())))
+    slots = maxent_lm.features(rows, h, kind).astype(np.int64)
+    p = rng.rand(len(h), maxent_lm.CLASSES).astype(np.float32)
+    got = np.ones((1 << 14, maxent_lm.CLASSES), np.float32).view(Table)
+    maxent_lm._expect(got, slots, p, maxent_lm.SLOT_BITS, np.empty(1 << 14, np.int32))
+    want = np.ones((1 << 14, maxent_lm.CLASSES))
+    np.add.at(want, slots.ravel(), np.repeat(p, slots.shape[1], 0))
+    assert np.asarray(got) == pytest.approx(want, rel=1e-4)
+    assert Table.written == len(np.unique(slots))
+
+
 def brute_model(spark, rows, rounds):
     """Weights and class shares by the definition, token by token in Python."""
     part = {r["t"]: r["p"] for r in spark.createDataFrame([(t,) for t in {t or "" for _, t in rows}], "t string").select(
