@@ -76,23 +76,26 @@ def features(rows: np.ndarray, w: np.ndarray, kind: np.ndarray, bits: int = SLOT
     """Slots of each token's features: the classes of the last one, two and three tokens, the last word, the word before it
     (a skip), and both words."""
     n = len(w)
-    place = np.arange(n) - np.repeat(rows[:-1], np.diff(rows))
     back_w, back_k = [], []
     for d in (1, 2, 3):
-        inside = place >= d
-        at = np.maximum(np.arange(n) - d, 0)
-        back_w.append(np.where(inside, w[at], _EDGE))
-        back_k.append(np.where(inside, kind[at], CLASSES).astype(np.uint64))
+        word, cls = np.empty(n, np.uint64), np.empty(n, np.uint64)
+        word[d:], cls[d:] = w[:-d], kind[:-d]
+        for i in range(d):  # a row's first tokens
+            at = rows[:-1] + i
+            at = at[at < rows[1:]]
+            word[at], cls[at] = _EDGE, CLASSES
+        back_w.append(word)
+        back_k.append(cls)
     k1, k2, k3 = back_k
-    parts = [
-        k1 + _SALT[0],
-        k1 * np.uint64(128) + k2 + _SALT[1],
-        (k1 * np.uint64(128) + k2) * np.uint64(128) + k3 + _SALT[2],
-        back_w[0] ^ _SALT[3],
-        back_w[1] ^ _SALT[4],
-        mix(back_w[0]) + back_w[1],
-    ]
-    return np.stack([(mix(p) >> np.uint64(64 - bits)).astype(np.int32) for p in parts], 1)
+    pair = k1 * np.uint64(128) + k2
+    few = np.arange(1 << 14, dtype=np.uint64)
+    slot = lambda p: (mix(p) >> np.uint64(64 - bits)).astype(np.int32)
+    out = np.empty((n, 6), np.int32)
+    out[:, 0] = slot(few[:128] + _SALT[0])[k1.astype(np.int64)]
+    out[:, 1] = slot(few + _SALT[1])[pair.astype(np.int64)]
+    for i, p in enumerate((pair * np.uint64(128) + k3 + _SALT[2], back_w[0] ^ _SALT[3], back_w[1] ^ _SALT[4], mix(back_w[0]) + back_w[1])):
+        out[:, 2 + i] = slot(p)
+    return out
 
 
 @dataclass
@@ -277,6 +280,26 @@ def fit(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, bits: int
     return model
 
 
+def _buckets(keys: np.ndarray) -> tuple[np.uint64, np.ndarray]:
+    """For sorted hashes: a shift, and the first key of each value that a shifted hash can have; two to four values a key."""
+    bits = len(keys).bit_length() + 1
+    shift = np.uint64(64 - bits)
+    return shift, np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << shift).astype(np.int32)
+
+
+def _places(keys: np.ndarray, buckets: tuple[np.uint64, np.ndarray], w: np.ndarray) -> np.ndarray:
+    """The place of each hash among the sorted keys, or a place with another key (or none there) if it is not among them."""
+    shift, first = buckets
+    at = first[(w >> shift).view(np.int64)]
+    if len(keys):
+        np.minimum(at, len(keys) - 1, out=at)
+        left = np.flatnonzero(keys[at] < w)
+        while len(left := left[at[left] < len(keys) - 1]):
+            at[left] += 1
+            left = left[keys[at[left]] < w[left]]
+    return at
+
+
 def count_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``h, kind, n``: the count of every token, end tokens too, in all rows' whole texts."""
 
@@ -286,9 +309,13 @@ def count_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
             for _, _, w, kind in tokens(b.column("t")):
                 seen.append(w)
                 kinds.append(kind)
-            h, first, n = np.unique(np.concatenate(seen), return_index=True, return_counts=True)
+            h = np.concatenate(seen)
+            order = np.argsort(h)
+            h = h[order]
+            first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+            n = np.diff(first, append=len(h))  # equal words are of one class
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h.view(np.int64)), pa.array(np.concatenate(kinds)[first].astype(np.int32)), pa.array(n.astype(np.int64))],
+                [pa.array(h[first].view(np.int64)), pa.array(np.concatenate(kinds)[order[first]].astype(np.int32)), pa.array(n)],
                 names=["h", "kind", "n"],
             )
 
@@ -328,12 +355,12 @@ def score_documents(train: DataFrame, docs: DataFrame, id_col: str = "doc_id", t
 
     def run(batches):
         own, (keys, ns) = weights.value, common.value
-        logs = np.log10(ns + ALPHA)
+        logs, buckets = np.log10(ns + ALPHA), _buckets(keys)
         for b in small_batches(batches, "t", 2 << 20):
             out: dict[str, list] = {c: [] for c in ("n_tokens", "known", "logs", "classes", "tail", "times")}
             for _, rows, w, kind in tokens(b.column("t")):
                 model = own.log_share(features(rows, w, kind, own.bits), kind) / np.log(10) - in_class[kind]
-                at = np.minimum(np.searchsorted(keys, w), max(len(keys) - 1, 0))
+                at = _places(keys, buckets, w)
                 hit = keys[at] == w if len(keys) else np.zeros(len(w), bool)
                 value = np.where(hit, logs[at], 0.0) if len(keys) else np.zeros(len(w))
                 out["n_tokens"].append(np.diff(rows))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -78,16 +79,56 @@ def word_bounds(data: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.flatnonzero(d == 1), np.flatnonzero(d == -1)
 
 
+#: Longest word that is hashed eight bytes at a time, and the factors of a step of two and of eight bytes.
+_LONG_WORD, _TWO, _EIGHT = 64, *_powers(9)[[2, 8]]
+
+
+@functools.cache
+def _eights() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What two bytes add to a hash, what the zeros after n of eight bytes add, and the bits of the first n."""
+    pair, p = np.arange(1 << 16, dtype=np.uint64), _powers(8)[:8]
+    two = (pair & np.uint64(255)) + np.uint64(1) + ((pair >> np.uint64(8)) + np.uint64(1)) * _BASE
+    after = np.array([p[n:].sum(dtype=np.uint64) for n in range(9)], np.uint64)
+    return two, after, np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
+def _sum_eights(data: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """`_sum_bytes` of words of some bytes: eight are read at once, and every two of them looked up."""
+    two, after, keep = _eights()
+    eight = np.ndarray(len(data) + 1, "<u8", np.append(data, np.zeros(8, np.uint8)), strides=(1,))
+    out, word, scale = np.zeros(len(starts), np.uint64), np.arange(len(starts)), _powers(1)
+    while len(word):
+        n = np.minimum(lens, 8)
+        pairs = (eight[starts] & keep[n]).astype("<u8", copy=False).view("<u2").reshape(-1, 4)
+        own = two[pairs[:, 3]]
+        for j in (2, 1, 0):
+            own *= _TWO
+            own += two[pairs[:, j]]
+        own -= after[n]
+        out[word] += own * scale
+        more = np.flatnonzero(lens > 8)
+        word, starts, lens, scale = word[more], starts[more] + 8, lens[more] - 8, scale * _EIGHT
+    return out
+
+
+def _sum_bytes(data: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """Every word's polynomial of its bytes plus one."""
+    first = np.cumsum(lens) - lens
+    inside = np.arange(int(lens.sum())) - np.repeat(first, lens)
+    byte = data[np.repeat(starts, lens) + inside].astype(np.uint64) + np.uint64(1)
+    byte *= _powers(int(lens.max()))[inside]
+    return np.add.reduceat(byte, first)
+
+
 def hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of each ``data[start:end]``; the same bytes give the same hash everywhere."""
     if not len(starts):
         return np.empty(0, np.uint64)
     lens = ends - starts
-    first = np.cumsum(lens) - lens
-    inside = np.arange(int(lens.sum())) - np.repeat(first, lens)
-    byte = data[np.repeat(starts, lens) + inside].astype(np.uint64) + np.uint64(1)
-    byte *= _powers(int(lens.max()))[inside]
-    return mix(np.add.reduceat(byte, first) + lens.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
+    sums = _sum_eights(data, starts, np.minimum(lens, _LONG_WORD))
+    if len(long := np.flatnonzero(lens > _LONG_WORD)):
+        sums[long] = _sum_bytes(data, starts[long], lens[long])
+    return mix(sums + lens.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
 
 
 def words(col: pa.Array, table: np.ndarray = NOT_SPACE) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

@@ -441,6 +441,32 @@ def test_expected_counts_reach_each_slot_once():
     assert Table.written == len(np.unique(slots))
 
 
+def test_word_hashes_are_the_polynomial_of_their_bytes():
+    rng = np.random.RandomState(5)
+    data = rng.randint(0, 256, 20_000).astype(np.uint8)
+    data[100:300], data[400:470] = 255, 0
+    starts = np.concatenate([rng.randint(0, 19_990, 300), [100, 400, 19_999, 19_936, 19_935]])
+    lens = np.concatenate([rng.randint(1, 20, 150), rng.randint(1, 300, 150), [200, 70, 1, 64, 65]])
+    ends = np.minimum(starts + lens, len(data))
+    base, want = int(text._BASE), []
+    for a, e in zip(starts.tolist(), ends.tolist(), strict=True):
+        h = sum((b + 1) * pow(base, i, 1 << 64) for i, b in enumerate(data[a:e].tolist())) + (e - a) * 0xD1B54A32D192ED03
+        want.append(h % (1 << 64))
+    assert text.hash_words(data, starts, ends).tolist() == text.mix(np.array(want, np.uint64)).tolist()
+
+
+def test_common_words_are_found_by_their_bucket():
+    rng = np.random.RandomState(6)
+    some = rng.randint(0, 1 << 63, 5000).astype(np.uint64) * np.uint64(2)
+    ends_ = np.array([0, 1, (1 << 64) - 1], np.uint64)
+    w = np.concatenate([some, some + np.uint64(1), ends_])
+    for keys in (some, some[:1], np.concatenate([some[::3], ends_]), np.arange(1000, dtype=np.uint64), ends_[:0]):
+        keys = np.unique(keys)
+        at = maxent_lm._places(keys, maxent_lm._buckets(keys), w)
+        if len(keys):
+            assert ((keys[at] == w) == np.isin(w, keys)).all()
+
+
 def brute_model(spark, rows, rounds):
     """Weights and class shares by the definition, token by token in Python."""
     part = {r["t"]: r["p"] for r in spark.createDataFrame([(t,) for t in {t or "" for _, t in rows}], "t string").select(
